@@ -32,7 +32,7 @@ def split_marker(marker: Column) -> Column:
     """``CHROM:POS`` as struct<chrom string, pos int>."""
     return F.struct(
         F.substring_index(marker, ":", 1).alias("chrom"),
-        F.substring_index(marker, ":", -1).cast("int").alias("pos"),
+        F.substring_index(marker, ":", -1).try_cast("int").alias("pos"),
     )
 
 

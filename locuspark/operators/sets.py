@@ -88,4 +88,4 @@ def marker_order(df: DataFrame) -> DataFrame:
 def share(df: DataFrame, keys: Sequence[str], n: str = "n") -> DataFrame:
     """Each row's part of its group's total."""
     totals = df.groupBy(*keys).agg(F.sum(n).alias("_total"))
-    return df.join(totals, list(keys)).withColumn("pct", F.col(n) / F.col("_total")).drop("_total")
+    return df.join(totals, list(keys)).withColumn("pct", F.try_divide(F.col(n), F.col("_total"))).drop("_total")

@@ -80,7 +80,7 @@ def variance_explained(joined: DataFrame, keys: tuple[str, ...] = ("trait_id", "
         F.collect_list(F.struct("n", "mean", "spread")).alias("_classes"),
         F.min("n").alias("_least"),
         F.count(F.lit(1)).alias("_k"),
-        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("_grand"),
+        F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("_grand"),
     )
 
     def total(term):
@@ -108,5 +108,8 @@ def marker_r2(joined: DataFrame, keys: tuple[str, ...] = ("trait_id", "marker"))
     complete = F.col("phenotype").isNotNull() & F.col("allele").isNotNull()
     value = F.when(complete, F.col("phenotype"))
     allele = F.when(complete, F.col("allele"))
-    r = F.corr(value, allele)
-    return joined.groupBy(*keys).agg(F.when(~F.isnan(r), r * r).alias("var_exp"))
+    shared = F.covar_pop(value, allele)
+    spread = F.var_pop(value) * F.var_pop(allele)
+    return joined.groupBy(*keys).agg(
+        F.when(spread > 0, shared * shared / spread).alias("var_exp")
+    )

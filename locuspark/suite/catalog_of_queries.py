@@ -1,6 +1,6 @@
 """Imports every query module, so that the registry is complete."""
 
-from locuspark.suite import detection  # noqa: F401
+from locuspark.suite import assessment, detection, scalars  # noqa: F401
 from locuspark.suite.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

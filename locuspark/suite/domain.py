@@ -183,6 +183,45 @@ select t.trait_id,
        case when off_marker = 1 then -({allele}) else {allele} end as allele
 from d_causal c join d_geno g on g.rf = c.rf and g.pk = c.pk
 join traits t on t.rf = c.rf and t.ln = c.ln"""
+    # One parameter set and one file name per line item.
+    out["id_rows"] = f"""
+select l_orderkey, l_linenumber as nqtl, concat(' P', cast(l_suppkey as {text}), ' ') as population,
+       cast(0.01 as double) + l_tax as maf,
+       case l_returnflag when 'A' then ' C_elegans' when 'N' then 'c_briggsae ' else 'c_tropicalis' end as species,
+       case l_returnflag when 'A' then '20220216' when 'N' then '20240129' else '20231201' end as vcf_release_id,
+       cast(0.5 as double) + l_discount as ms_ld, case when l_tax < cast(0.04 as double) then ' Gamma'
+       else '0.2-0.3' end as effect, cast(l_quantity as int) as rep, cast(0.1 as double) + l_discount as h2,
+       cast(0.01 as double) + l_tax as cv_maf_effective, cast(0.9 as double) as cv_ld,
+       case when l_linestatus = 'O' then 'Inbred' else 'loco ' end as algorithm,
+       l_discount >= cast(0.05 as double) as pca, l_partkey
+from lineitem"""
+    out["name_rows"] = f"""
+select l_orderkey, l_linenumber, l_partkey,
+       concat('/data/', cast(l_orderkey as {text}), '/', cast(l_linenumber as {text}), '_', cast(l_suppkey as {text}),
+              '_', cast(l_discount as {text}), '_', cast(l_tax as {text}), '_',
+              case l_returnflag when 'A' then 'gamma' when 'N' then 'uniform' else '0.2-0.3' end,
+              '_pop_', cast(l_partkey as {text}), '_processed_LMM-EXACT-',
+              case when l_linestatus = 'O' then 'INBRED' else 'LOCO' end,
+              case when l_quantity > 25 then '_PCA' else '' end,
+              case when l_tax > cast(0.05 as double) then '_mapping.tsv' when l_tax > cast(0.02 as double)
+                   then '_mapping_reprocessed.tsv' when l_tax > cast(0.01 as double) then '_qtl_regions_reprocessed.tsv'
+                   else '.txt' end) as mapping_path,
+       concat('runs/', cast(l_linenumber as {text}), '_', cast(l_suppkey as {text}), '_', cast(l_discount as {text}), '_',
+              cast(l_tax as {text}), '_', case l_returnflag when 'A' then 'gamma' else '0.2-0.3' end, '_pop.',
+              cast(l_partkey as {text}), '_lmm-exact_', case when l_linestatus = 'O' then 'inbred.fastGWA'
+              else 'loco_pca.mlma' end) as result_path,
+       concat('pop_', cast(l_suppkey as {text}), case when l_linestatus = 'O' then '_0.05' else '_x' end,
+              '_total_independent_tests.txt') as eigen_file,
+       case when l_returnflag = 'A' then concat('/vcf/W', cast(20200000 + l_partkey as {text}), '.', cast(l_suppkey as {text}), '.vcf.gz')
+            else cast(20210000 + l_partkey as {text}) end as vcf,
+       case l_returnflag when 'A' then 'gamma' when 'N' then concat('0.', cast(l_linenumber as {text}), '-0.9')
+            else 'normal' end as effect_spec,
+       case l_linenumber when 1 then '0|0' when 2 then '0/0' when 3 then '1|1' when 4 then '1/1' when 5 then '0|1'
+            when 6 then '.|.' else '1|2' end as gt,
+       case when l_linestatus = 'O' then 'inbred' else 'loco' end as algorithm,
+       l_discount >= cast(0.05 as double) as pca,
+       case when l_quantity > 25 then 'LMM-exact-inbred_pca_EIGEN' else 'loco_nopca_BF' end as algorithm_id
+from lineitem"""
     # Work-directory logs: a task per order, its files are the order's lines.
     out["work_tasks"] = f"""
 select concat('w', cast(o_orderkey as {text})) as work_dir,
