@@ -48,6 +48,11 @@ def assessment(d: Domain) -> DataFrame:
     )
 
 
+def stored_assessment(d: Domain) -> DataFrame:
+    """The assessment as a stored table, for the queries that read one."""
+    return d.staged("assessment", lambda: assessment(d))
+
+
 def rounded(df: DataFrame, digits: int = 9, **special: int) -> DataFrame:
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
     return df.withColumns({c: r(c, special.get(c, digits)) for c in doubles})
@@ -296,7 +301,7 @@ def _(d):
        from c_assess""",
 )
 def _(d):
-    return C.assessment_columns(rounded(assessment(d)).drop("Simulated_QTL_VarExp", "alpha"))
+    return C.assessment_columns(rounded(stored_assessment(d)).drop("Simulated_QTL_VarExp", "alpha"))
 
 
 @query(
@@ -305,7 +310,7 @@ def _(d):
               designation from c_desig""",
 )
 def _(d):
-    return P.designate(assessment(d)).select(
+    return P.designate(stored_assessment(d)).select(
         "mode",
         "type",
         "threshold",
@@ -323,7 +328,7 @@ def _(d):
 
 @query("agg10_count_outcomes", "select * from c_counts")
 def _(d):
-    return P.count_outcomes(P.designate(assessment(d)), (*P.CELL, "threshold"))
+    return P.count_outcomes(P.designate(stored_assessment(d)), (*P.CELL, "threshold"))
 
 
 _COUNTS = """Detected_CV + CV_Not_Significant_In_Interval + False_Discovery as Detected,
@@ -337,7 +342,7 @@ _COUNTS = """Detected_CV + CV_Not_Significant_In_Interval + False_Discovery as D
         from (select *, {_COUNTS} from c_counts) z""",
 )
 def _(d):
-    counts = P.count_outcomes(P.designate(assessment(d)), (*P.CELL, "threshold"))
+    counts = P.count_outcomes(P.designate(stored_assessment(d)), (*P.CELL, "threshold"))
     return rounded(P.power_fdr(counts, stringent=True))
 
 
@@ -350,7 +355,7 @@ def _(d):
         from c_counts""",
 )
 def _(d):
-    counts = P.count_outcomes(P.designate(assessment(d)), (*P.CELL, "threshold"))
+    counts = P.count_outcomes(P.designate(stored_assessment(d)), (*P.CELL, "threshold"))
     return rounded(P.power_only(counts))
 
 
@@ -362,4 +367,4 @@ def _(d):
         from (select *, {_COUNTS} from c_counts) z""",
 )
 def _(d):
-    return rounded(P.performance(assessment(d)))
+    return rounded(P.performance(stored_assessment(d)))

@@ -1,6 +1,15 @@
 """Imports every query module, so that the registry is complete."""
 
-from locuspark.suite import assessment, detection, scalars  # noqa: F401
+from locuspark.suite import (  # noqa: F401
+    assessment,
+    checks,
+    comparison,
+    completeness,
+    detection,
+    lookups,
+    scalars,
+    worklogs,
+)
 from locuspark.suite.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -183,6 +183,12 @@ select t.trait_id,
        case when off_marker = 1 then -({allele}) else {allele} end as allele
 from d_causal c join d_geno g on g.rf = c.rf and g.pk = c.pk
 join traits t on t.rf = c.rf and t.ln = c.ln"""
+    # The strainfile of the verified run: one group has no marker set yet.
+    out["d_strainfile"] = """
+select population, maf, cast(null as double) as ms_ld, concat('/vcf/', vcf_release_id, '.vcf.gz') as vcf
+from d_sets
+union all
+select 'xx.panel', maf, cast(0.7 as double), '/vcf/20200101.vcf.gz' from d_sets where rf = 'A'"""
     # One parameter set and one file name per line item.
     out["id_rows"] = f"""
 select l_orderkey, l_linenumber as nqtl, concat(' P', cast(l_suppkey as {text}), ' ') as population,
@@ -222,6 +228,31 @@ select l_orderkey, l_linenumber, l_partkey,
        l_discount >= cast(0.05 as double) as pca,
        case when l_quantity > 25 then 'LMM-exact-inbred_pca_EIGEN' else 'loco_nopca_BF' end as algorithm_id
 from lineitem"""
+    # Association rows before ingest: one per line item, so markers repeat within a mapping,
+    # and a few suppliers deliver malformed fields for the quality checks to find.
+    out["raw_rows"] = f"""
+select m.population, m.mapping_id,
+       concat(cast(l_partkey % 6 + 1 as {text}), ':', cast((l_partkey + 1) * 1000 as {text})) as marker,
+       cast(l_partkey % 6 + 1 as {text}) as CHROM, cast((l_partkey + 1) * 1000 as int) as POS,
+       l_orderkey as ordinal, l_suppkey, l_quantity, l_extendedprice / 100000 as BETA,
+       case when l_suppkey = 7 then cast(null as double) else l_quantity / 51 end as P,
+       case when l_suppkey < 3 then upper(m.mapping_id) else m.mapping_id end as tagged_id,
+       case when l_suppkey < 3 then 'other' else m.algorithm end as tagged_algorithm,
+       case when l_suppkey = 5 then cast(null as boolean) else m.pca end as tagged_pca,
+       case when l_suppkey < 3 then 'chr1_100' else concat(cast(l_partkey % 6 + 1 as {text}), ':',
+            cast((l_partkey + 1) * 1000 as {text})) end as tagged_qtl
+from lineitem l join metadata m on m.rf = l.l_returnflag and m.ln = l.l_linenumber
+ and m.algorithm = case when l.l_linestatus = 'O' then 'inbred' else 'loco' end
+ and m.pca = (l.l_discount >= cast(0.05 as double))"""
+    # Strainfile: one group per customer, with values on both sides of the allowed ranges.
+    out["strain_rows"] = f"""
+select concat(' g', cast(c_custkey as {text}), ' ') as grp,
+       case when c_nationkey < 9 then 'C_elegans' when c_nationkey < 17 then 'c_briggsae '
+            when c_nationkey < 23 then 'c_tropicalis' else 'd_other' end as species,
+       concat('/vcf/', cast(20200000 + c_custkey as {text}), '.vcf.gz') as vcf,
+       c_acctbal / 10000 as ms_maf, cast(c_nationkey as double) / 24 as ms_ld,
+       concat('S', cast(c_nationkey as {text}), ',S', cast(c_nationkey + 1 as {text})) as strains
+from customer"""
     # Work-directory logs: a task per order, its files are the order's lines.
     out["work_tasks"] = f"""
 select concat('w', cast(o_orderkey as {text})) as work_dir,
@@ -336,6 +367,15 @@ class Domain:
             _frames[path] = df.drop(*[c for c in _INTERNAL if c in df.columns])
         return _frames[path]
 
+    def staged(self, name: str, build) -> DataFrame:
+        """A result several queries start from, written once per session."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, f"staged:{name}")
+        if key not in _cache:
+            target = scratch_dir(self.spark, f"staged-{name}")
+            build().write.parquet(target)
+            _cache[key] = target
+        return self.spark.read.parquet(_cache[key])
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
