@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.errors import AnalysisException
+from pyspark.errors import AnalysisException
 
 from locuspark import schemas
 

@@ -6,6 +6,7 @@ from locuspark.suite import (  # noqa: F401
     comparison,
     completeness,
     detection,
+    files,
     lookups,
     scalars,
     worklogs,

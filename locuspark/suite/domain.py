@@ -183,6 +183,18 @@ select t.trait_id,
        case when off_marker = 1 then -({allele}) else {allele} end as allele
 from d_causal c join d_geno g on g.rf = c.rf and g.pk = c.pk
 join traits t on t.rf = c.rf and t.ln = c.ln"""
+    # Calls of one variant file: every part in every supplier nation.
+    out["d_calls"] = """
+select l.l_partkey as pk, s.s_nationkey as nk,
+       (cast(sum(l.l_quantity) as bigint) * 3 + l.l_partkey + s.s_nationkey * 7) % 13 as code
+from lineitem l join supplier s on s.s_suppkey = l.l_suppkey group by l.l_partkey, s.s_nationkey"""
+    out["d_variants"] = f"""
+select p_partkey as pk, case p_partkey % 7 when 0 then 'I' when 1 then 'II' when 2 then 'III' when 3 then 'IV'
+         when 4 then 'V' when 5 then 'X' else 'MtDNA' end as CHROM, cast((p_partkey + 1) * 1000 as int) as POS,
+       case when p_size < 30 then '.' else concat('rs', cast(p_partkey as {text})) end as ID,
+       case when p_size % 10 = 0 then 'AT' else 'A' end as REF,
+       case when p_size % 9 = 0 then 'G,T' else 'G' end as ALT
+from part"""
     # The strainfile of the verified run: one group has no marker set yet.
     out["d_strainfile"] = """
 select population, maf, cast(null as double) as ms_ld, concat('/vcf/', vcf_release_id, '.vcf.gz') as vcf
@@ -263,7 +275,7 @@ select concat('w', cast(o_orderkey as {text})) as work_dir,
             else 'ce.full' end as tag
 from orders join customer on c_custkey = o_custkey"""
     out["work_usage"] = f"""
-select concat('w', cast(o_orderkey as {text})) as work_dir, o_totalprice * 1000000 as total_bytes
+select concat('w', cast(o_orderkey as {text})) as work_dir, o_totalprice * 1048576 as total_bytes
 from orders where o_orderstatus <> 'P'"""
     out["work_files"] = f"""
 select concat('w', cast(l_orderkey as {text})) as work_dir,
