@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from locuspark.functions.genotype import recode_gt
+from locuspark.functions.genotype import HOM_ALT, HOM_REF
 
 # Calls that count as missing, the missing-rate limit and the
 # frequency bounds of the independent-test count.
 MISSING_CALLS = (".", "./.", ".|.")
+HET_CALLS = ("0/1", "1/0", "0|1", "1|0")
 MAX_MISSING = 0.1
 MIN_AF = 0.05
 
@@ -44,14 +45,21 @@ def subset_samples(variants: DataFrame, samples: DataFrame) -> DataFrame:
     return kept.join(holes, ["CHROM", "POS"], "left_anti")
 
 
+def alt_dosage(gt: Column) -> Column:
+    """Alternative alleles in a biallelic call; null when the call is missing."""
+    return (
+        F.when(gt.isin(*HOM_REF), F.lit(0.0))
+        .when(gt.isin(*HET_CALLS), F.lit(1.0))
+        .when(gt.isin(*HOM_ALT), F.lit(2.0))
+    )
+
+
 def variant_statistics(variants: DataFrame) -> DataFrame:
     """Per variant: share of missing calls and frequency of the rarer allele."""
-    calls = variants.withColumn("_allele", recode_gt(F.col("gt")))
-    missing = F.col("gt").isNull() | F.col("gt").isin(*MISSING_CALLS)
-    typed = F.count("_allele")
-    alt = F.try_divide(F.count(F.when(F.col("_allele") > 0, 1)), typed)
-    return calls.groupBy(*VARIANT).agg(
-        (F.count(F.when(missing, 1)) / F.count(F.lit(1))).alias("missing_rate"),
+    dosage = variants.withColumn("_alt", alt_dosage(F.col("gt")))
+    alt = F.avg("_alt") / 2
+    return dosage.groupBy(*VARIANT).agg(
+        (F.count(F.when(F.col("_alt").isNull(), 1)) / F.count(F.lit(1))).alias("missing_rate"),
         F.least(alt, 1 - alt).alias("maf"),
     )
 

@@ -8,6 +8,7 @@ from locuspark.suite import (  # noqa: F401
     detection,
     files,
     lookups,
+    panels,
     scalars,
     worklogs,
 )
