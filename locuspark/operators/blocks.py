@@ -97,20 +97,20 @@ def position_index(
 
     This is the only shuffle that sees every marker, and it carries three narrow
     columns. Both the index of a marker and the marker at an index are then
-    look-ups in an array of at most ``width`` entries.
+    look-ups in an array of at most ``width`` entries. The window runs over the
+    packed rows themselves: joining their counts back would scan and shuffle
+    the mappings a second time.
     """
-    blocked = df.select(*keys, "CHROM", "POS").withColumn("_block", block_of(F.col("POS"), width))
-    packed = blocked.groupBy(*keys, "CHROM", "_block").agg(
-        F.sort_array(F.collect_list("POS")).alias("_positions")
+    packed = (
+        df.select(*keys, "CHROM", "POS", block_of(F.col("POS"), width).alias("_block"))
+        .groupBy(*keys, "CHROM", "_block")
+        .agg(F.sort_array(F.collect_list("POS")).alias("_positions"))
     )
     chrom = Window.partitionBy(*keys, "CHROM")
     earlier = chrom.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     size = F.size("_positions")
-    offsets = packed.select(*keys, "CHROM", "_block", size.alias("_n")).select(
-        *keys,
-        "CHROM",
-        "_block",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_n").over(chrom).alias("_total"),
+    return packed.select(
+        "*",
+        F.coalesce(F.sum(size).over(earlier), F.lit(0)).alias("_before"),
+        F.sum(size).over(chrom).alias("_total"),
     )
-    return packed.join(offsets, [*keys, "CHROM", "_block"])

@@ -135,44 +135,35 @@ def interval_bounds(
     chrom_blocks = index.groupBy(*index_keys, "CHROM").agg(
         F.sort_array(F.collect_list(F.struct("_before", "_block"))).alias("_blocks")
     )
-    wanted = peaks.withColumn(
-        "_bound",
-        F.explode(
-            F.array(
-                F.struct(
-                    F.lit("start").alias("side"),
-                    F.greatest(F.col("_min_index") - ci_size, F.lit(1)).alias("at"),
-                ),
-                F.struct(
-                    F.lit("end").alias("side"),
-                    F.least(F.col("_max_index") + ci_size, F.col("_total")).alias("at"),
-                ),
-            )
-        ),
+    low = F.greatest(F.col("_min_index") - ci_size, F.lit(1))
+    high = F.least(F.col("_max_index") + ci_size, F.col("_total"))
+
+    def holding(at):
+        return F.element_at(F.filter("_blocks", lambda b: b["_before"] < at), -1)["_block"]
+
+    out = peaks.join(chrom_blocks, [*index_keys, "CHROM"]).select(
+        *peaks.columns,
+        low.alias("_low"),
+        high.alias("_high"),
+        holding(low).alias("_low_block"),
+        holding(high).alias("_high_block"),
     )
-    holding = F.element_at(F.filter("_blocks", lambda b: b["_before"] < F.col("_bound.at")), -1)
-    located = (
-        wanted.select(*keys, "peak_id", "CHROM", "_bound")
-        .join(chrom_blocks, [*index_keys, "CHROM"])
-        .select(*keys, "peak_id", "CHROM", "_bound", holding["_block"].alias("_block"))
-    )
-    found = located.join(
-        index.select(*index_keys, "CHROM", "_block", "_before", "_positions"),
-        [*index_keys, "CHROM", "_block"],
-    ).select(
-        *keys,
-        "peak_id",
-        F.col("_bound.side").alias("_side"),
-        F.element_at("_positions", (F.col("_bound.at") - F.col("_before")).cast("int")).alias(
-            "_pos"
-        ),
-    )
-    bounds = found.groupBy(*keys, "peak_id").agg(
-        F.max(F.when(F.col("_side") == "start", F.col("_pos"))).alias("startPOS"),
-        F.max(F.when(F.col("_side") == "end", F.col("_pos"))).alias("endPOS"),
-    )
-    return peaks.join(bounds, [*keys, "peak_id"]).withColumn(
-        "interval_size", F.col("endPOS") - F.col("startPOS")
+    for side, name in (("_low", "startPOS"), ("_high", "endPOS")):
+        block = index.select(
+            *index_keys,
+            "CHROM",
+            F.col("_block").alias(f"{side}_block"),
+            F.col("_before").alias("_skip"),
+            "_positions",
+        )
+        place = (F.col(side) - F.col("_skip")).cast("int")
+        out = (
+            out.join(block, [*index_keys, "CHROM", f"{side}_block"])
+            .withColumn(name, F.element_at("_positions", place))
+            .drop("_skip", "_positions")
+        )
+    return out.withColumn("interval_size", F.col("endPOS") - F.col("startPOS")).drop(
+        "_low", "_high", "_low_block", "_high_block"
     )
 
 

@@ -71,13 +71,14 @@ def compile_assessment(
 ) -> DataFrame:
     """Simulated and detected QTL of every arm in the 35-column layout.
 
-    The scored causal variants feed three branches and are staged once.
+    Scored variants, peaks and their overlaps feed several branches each and are
+    staged; all three are small next to the mappings.
     """
     scored = stage(
         causal_ops.score_causal(mappings, thresholds, metadata, causal), "scored-causal"
     )
     peaks = stage(peaks, "peaks")
-    overlaps = causal_ops.peak_causal_overlaps(peaks, scored)
+    overlaps = stage(causal_ops.peak_causal_overlaps(peaks, scored), "overlaps")
     missed = causal_ops.false_positive_peaks(peaks, overlaps, scored)
     union = causal_ops.assessment_union(scored, overlaps, missed)
     return causal_ops.assessment_columns(
