@@ -34,7 +34,7 @@ def melt_genotypes(wide: DataFrame) -> DataFrame:
     fixed = ["CHROM", "POS"]
     strains = [c for c in wide.columns if c not in (*fixed, "REF", "ALT")]
     typed = wide.select(*fixed, *[F.col(f"`{s}`").cast("double").alias(s) for s in strains])
-    return typed.unpivot(fixed, strains, "strain", "allele")
+    return typed.unpivot(fixed, [f"`{s}`" for s in strains], "strain", "allele")
 
 
 def subset_samples(variants: DataFrame, samples: DataFrame) -> DataFrame:

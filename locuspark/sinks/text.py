@@ -54,14 +54,21 @@ def write_manifest(failures: DataFrame, path: str) -> None:
 def hash_manifest(spark: SparkSession, directory: str, block: int = 1 << 22) -> DataFrame:
     """path, bytes and SHA-256 of every file below a folder, sorted by path.
 
-    The listing carries no contents; each task streams its own files, so memory
+    Only names and sizes are listed up front (Spark's own file sources do the
+    same, but leave out empty files). Each task streams its files, so memory
     does not depend on file size.
     """
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(directory)
-        .select("path", F.col("length").alias("bytes"))
+    from pyarrow import fs
+
+    uri = directory if "://" in directory else f"file://{directory}"
+    filesystem, root = fs.FileSystem.from_uri(uri)
+    listed = [
+        (i.path, i.size)
+        for i in filesystem.get_file_info(fs.FileSelector(root, recursive=True))
+        if i.type == fs.FileType.File
+    ]
+    files = spark.createDataFrame(listed, "path string, bytes long").repartition(
+        max(1, min(len(listed), 4 * spark.sparkContext.defaultParallelism)), "path"
     )
 
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -69,13 +76,10 @@ def hash_manifest(spark: SparkSession, directory: str, block: int = 1 << 22) ->
 
         from pyarrow import fs
 
+        filesystem, _root = fs.FileSystem.from_uri(uri)
         for batch in batches:
             sums = []
-            for uri in batch["path"]:
-                # file:/x and file:///x name the same file.
-                if uri.startswith("file:/") and not uri.startswith("file://"):
-                    uri = "file://" + uri.removeprefix("file:")
-                filesystem, path = fs.FileSystem.from_uri(uri)
+            for path in batch["path"]:
                 state = hashlib.sha256()
                 with filesystem.open_input_stream(path) as source:
                     while data := source.read(block):
@@ -83,4 +87,4 @@ def hash_manifest(spark: SparkSession, directory: str, block: int = 1 << 22) ->
                 sums.append(state.hexdigest())
             yield batch.assign(sha256=sums)
 
-    return listed.mapInPandas(digest, "path string, bytes long, sha256 string").orderBy("path")
+    return files.mapInPandas(digest, "path string, bytes long, sha256 string").orderBy("path")
