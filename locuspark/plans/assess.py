@@ -103,7 +103,7 @@ def assess(
     """The full assessment: variance explained once per trait, then all arms."""
     merged = variance.merge_genotypes(genotypes, causal_genotypes, causal, traits)
     explained = variance.variance_explained(variance.genotype_phenotype(merged, phenotypes))
-    causal = causal.join(explained, ["trait_id", "QTL"], "left")
+    causal = stage(causal.join(explained, ["trait_id", "QTL"], "left"), "causal-explained")
     thresholds = stage(
         mapping_thresholds(mappings, metadata, ms_metadata, methods, alpha), "thresholds"
     )

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A side is broadcast only when its (runtime) size is below this.
+    "spark.sql.autoBroadcastJoinThreshold": "67108864",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # An all-digit hex id in a Hive path must stay a string.
@@ -72,3 +74,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def qualified_uri(spark: SparkSession, path: str) -> str:
+    """Full URI of a path on whatever file system it names or defaults to."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    uri = system.makeQualified(place).toString()
+    # file:/x and file:///x name the same file; readers outside Hadoop want the latter.
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri.removeprefix("file:")
+    return uri

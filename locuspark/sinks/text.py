@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from locuspark.operators.causal import assessment_columns
 from locuspark.schemas import REPLAY_MANIFEST
+from locuspark.session import qualified_uri
 
 
 def _flags_as_text(df: DataFrame) -> DataFrame:
@@ -60,7 +61,7 @@ def hash_manifest(spark: SparkSession, directory: str, block: int = 1 << 22) ->
     """
     from pyarrow import fs
 
-    uri = directory if "://" in directory else f"file://{directory}"
+    uri = qualified_uri(spark, directory)
     filesystem, root = fs.FileSystem.from_uri(uri)
     listed = [
         (i.path, i.size)

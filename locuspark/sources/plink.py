@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from locuspark.functions.scores import make_marker, split_marker
+from locuspark.session import qualified_uri
 from locuspark.sources.results import number, words
 
 # File signature and two-bit codes (low bit first) of binary genotypes.
@@ -131,7 +132,7 @@ def read_bed(
     strains = [r["iid"] for r in read_fam(spark, f"{prefix}.fam").select("iid").collect()]
     width = (len(strains) + 3) // 4
     bim = read_bim(spark, f"{prefix}.bim", numbered=True)
-    bed = f"{prefix}.bed"
+    bed = qualified_uri(spark, f"{prefix}.bed")
 
     def ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs

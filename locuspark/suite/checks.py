@@ -167,14 +167,28 @@ def _(d):
     return X.dq_chromosomes(d.raw_rows, stored_assessment(d))
 
 
-@query("dq14_schema")
+_DECLARED = ("markers", "mappings", "metadata", "genotypes", "phenotypes", "causal_variants")
+
+
+# The derived metadata has no processed_at column, which is the one deviation.
+@query(
+    "dq14_schema",
+    " union all ".join(
+        f"""select '{t}' as table_name, count(*) as n_rows,
+                   {"'processed_at'" if t == 'metadata' else "''"} as deviating from {t}"""
+        for t in _DECLARED
+    ),
+)
 def _(d):
-    tables = {
-        name: (d.table(name), schema)
-        for name, schema in schemas.TABLES.items()
-        if name in ("markers", "mappings", "metadata", "genotypes", "phenotypes", "causal_variants")
-    }
-    return X.dq_schema(d.spark, tables)
+    tables = {name: (d.table(name), schemas.TABLES[name]) for name in _DECLARED}
+    found = X.dq_schema(d.spark, tables).groupBy("table_name").agg(
+        F.array_join(F.sort_array(F.collect_list("column_name")), ",").alias("deviating")
+    )
+    counts = None
+    for name, (df, _schema) in tables.items():
+        one = df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("table_name", F.lit(name))
+        counts = one if counts is None else counts.unionByName(one)
+    return counts.join(found, "table_name", "left").fillna("", ["deviating"])
 
 
 @query(

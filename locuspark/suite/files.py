@@ -593,7 +593,10 @@ def _(d):
     return d.spark.read.schema(schema).csv(path, sep="\t", header=False).select(*wanted.split())
 
 
-@query("snk09_init_database")
+@query(
+    "snk09_init_database",
+    "select population, count(*) as n_rows, 0 as created_again from mappings group by population",
+)
 def _(d):
     base = scratch_dir(d.spark, "database")
     DB.init_database(d.spark, base)

