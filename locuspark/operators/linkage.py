@@ -99,10 +99,14 @@ def independent_tests(genotypes: DataFrame, min_af: float = MIN_AF) -> DataFrame
                 part = x.T @ x
                 sums[key] = sums[key] + part if key in sums else part
         for (set_id, chrom), total in sums.items():
-            for i, row in enumerate(total):
-                yield pd.DataFrame(
-                    {"marker_set_id": [set_id], "CHROM": [chrom], "i": [i], "row": [row]}
-                )
+            yield pd.DataFrame(
+                {
+                    "marker_set_id": set_id,
+                    "CHROM": chrom,
+                    "i": np.arange(len(total)),
+                    "row": list(total),
+                }
+            )
 
     parts = usable.mapInPandas(
         partial, "marker_set_id string, CHROM string, i int, row array<double>"

@@ -158,12 +158,16 @@ def exact_quantiles(
         ).alias("_b"),
     ).select(*keys, "_b.*")
 
-    merged = rows.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    placed = merged.join(brackets, list(keys))
+    placed = rows.select(*keys, F.col(value).alias("_v")).join(brackets, list(keys))
     below = placed.groupBy(*keys, "i").agg(
-        F.coalesce(F.sum(F.when(F.col("_v") < F.col("lo"), F.col("_c"))), F.lit(0)).alias("_below")
+        F.count(F.when(F.col("_v") < F.col("lo"), 1)).alias("_below")
+    )
+    # Only values inside the bracket are shuffled, equal ones as one row.
+    inside = (
+        placed.where((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
+        .groupBy(*keys, "i", "_v")
+        .agg(F.count(F.lit(1)).alias("_c"), F.first("rank").alias("rank"))
     )
-    inside = placed.where((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
     upto = (
         Window.partitionBy(*keys, "i")
         .orderBy("_v")

@@ -126,7 +126,7 @@ def _(d):
 
 _WIDE = """select k.CHROM, k.POS, n.strain, g.allele from (select distinct CHROM, POS from genotypes
    where marker_set_id = (select min(marker_set_id) from genotypes)) k
-   cross join (select distinct strain from genotypes) n
+   cross join (select concat('S', n_nationkey) as strain from nation) n
    left join (select * from genotypes where marker_set_id = (select min(marker_set_id) from genotypes)) g
      on g.CHROM = k.CHROM and g.POS = k.POS and g.strain = n.strain"""
 

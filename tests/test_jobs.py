@@ -320,6 +320,51 @@ def test_replication_counts_each_replicate_once(spark, tmp_path):
     assert row["n_reps"] == 3 and row["complete"]
 
 
+def test_older_and_current_path_find_the_same_peaks(spark):
+    """With known, non-zero scores only, both paths must agree on every interval."""
+    from locuspark.operators import legacy
+    from locuspark.operators.intervals import detect
+    from locuspark.plans.legacy import legacy_intervals
+
+    rng = random.Random(11)
+    rows = [
+        (f"m{k}", f"{c}:{x * 10}", 0.1, 0.2, 0.3, rng.choice([1e-9, 1e-7, *[0.2, 0.4, 0.8] * 6]))
+        for k in range(6)
+        for c in ("1", "2")
+        for x in range(1, 60)
+    ]
+    mappings = spark.createDataFrame(
+        rows, "mapping_id string, marker string, AF1 double, BETA double, SE double, P double"
+    )
+    meta = spark.createDataFrame(
+        [(f"m{k}", "t", "s") for k in range(6)], "mapping_id string, trait_id string, marker_set_id string"
+    )
+    phenotypes = spark.createDataFrame(
+        [("t", f"n{i}", float(i)) for i in range(4)], "trait_id string, strain string, phenotype double"
+    )
+    geno = spark.createDataFrame(
+        [("s", c, x * 10, f"n{i}", 1.0 if i % 2 else -1.0) for c in ("1", "2") for x in range(1, 60, 2) for i in range(4)],
+        "marker_set_id string, CHROM string, POS int, strain string, allele double",
+    )
+    older = legacy_intervals(
+        mappings, meta, geno, phenotypes, "USER", ci_size=2, snp_grouping=3, max_share=1.0, user=5.0
+    )
+    limits = legacy.legacy_thresholds(mappings, "USER", user=5.0)
+    _peaked, peaks = detect(mappings, limits, 2, 3)
+    columns = ["mapping_id", "peak_id", "startPOS", "peakPOS", "endPOS", "interval_size"]
+    want = {tuple(r) for r in peaks.select(*columns).collect()}
+    got = {tuple(r) for r in older.where("peak_id is not null").select(*columns).collect()}
+    assert got == want and want
+    hits = older.where("aboveBF = 1")
+    assert hits.count() == 4 * hits.select("mapping_id", "marker").distinct().count()
+    typed = hits.where("var_exp is not null").select("marker").distinct().collect()
+    assert all((int(r[0].split(":")[1]) // 10) % 2 == 1 for r in typed)
+    guarded = legacy_intervals(
+        mappings, meta, geno, phenotypes, "USER", ci_size=2, snp_grouping=3, max_share=0.001, user=5.0
+    )
+    assert guarded.count() == len(rows) and guarded.where("peak_id is not null or strain is not null").isEmpty()
+
+
 def test_registry():
     assert set(ORACLES) <= set(QUERIES)
     assert len(QUERIES) >= 171
