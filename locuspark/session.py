@@ -65,6 +65,11 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return os.path.join(scratch_root(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and continue from the written table.
 

@@ -15,7 +15,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locuspark.session import apply_settings, scratch_dir
+from locuspark.session import apply_settings, path_exists, scratch_dir
 from locuspark.suite.oracle import oracle_tables
 
 SOURCES = (
@@ -331,7 +331,7 @@ def with_tables(body: str, dialect: str = "duckdb") -> str:
 _INTERNAL = ("rf", "ln")
 _HIVE = {"mappings": ["population", "mapping_id"]}
 _cache: dict[tuple[str, str, str], str] = {}
-_frames: dict[str, DataFrame] = {}
+_frames: dict[tuple[int, str], DataFrame] = {}
 
 
 class Domain:
@@ -357,36 +357,42 @@ class Domain:
             )
         return self.spark.sql(text)
 
-    def path(self, name: str) -> str:
+    def kept(self, name: str, build) -> str:
+        """Path of something written once per session; ``build(path)`` writes it.
+
+        Written again where the shared folder has been cleared meanwhile.
+        """
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        if key not in _cache:
-            target = scratch_dir(self.spark, f"domain-{name}")
+        if key not in _cache or not path_exists(self.spark, _cache[key]):
+            target = scratch_dir(self.spark, name)
+            build(target)
+            _cache[key] = target
+        return _cache[key]
+
+    def path(self, name: str) -> str:
+        def build(target: str) -> None:
             df = self.sql(f"select * from {name}")
             if name in _HIVE:
                 keys = _HIVE[name]
                 # AQE splits a hot partition and merges small ones before the write.
-                df = df.hint("rebalance", *keys)
-                df.write.partitionBy(*keys).parquet(target)
+                df.hint("rebalance", *keys).write.partitionBy(*keys).parquet(target)
             else:
                 df.write.parquet(target)
-            _cache[key] = target
-        return _cache[key]
+
+        return self.kept(f"domain-{name}", build)
 
     def table(self, name: str) -> DataFrame:
         path = self.path(name)
-        if path not in _frames:
+        key = (id(self.spark), path)
+        if key not in _frames:
             df = self.spark.read.parquet(path)
-            _frames[path] = df.drop(*[c for c in _INTERNAL if c in df.columns])
-        return _frames[path]
+            _frames[key] = df.drop(*[c for c in _INTERNAL if c in df.columns])
+        return _frames[key]
 
     def staged(self, name: str, build) -> DataFrame:
-        """A result several queries start from, written once per session."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, f"staged:{name}")
-        if key not in _cache:
-            target = scratch_dir(self.spark, f"staged-{name}")
-            build().write.parquet(target)
-            _cache[key] = target
-        return self.spark.read.parquet(_cache[key])
+        """A result several queries start from."""
+        path = self.kept(f"staged-{name}", lambda target: build().write.parquet(target))
+        return self.spark.read.parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from locuspark import schemas
 from locuspark.operators import regions as R
+from locuspark.operators.intervals import detect
 from locuspark.session import scratch_dir, stage
 from locuspark.sinks import database as DB
 from locuspark.sinks import text as TX
 from locuspark.sources import catalog, genotypes, params, plink, results
 from locuspark.suite.assessment import rounded, stored_assessment
-from locuspark.suite.detection import analyzed, arm_thresholds, detected
+from locuspark.suite.detection import analyzed, arm_thresholds
 from locuspark.suite.domain import ALPHA, CI_SIZE, SNP_GROUPING, Domain
 from locuspark.suite.oracle import rnd
 from locuspark.suite.registry import query
@@ -344,18 +345,15 @@ def _(d):
 
 def database(d: Domain) -> str:
     """A complete database, written once per session."""
-    from locuspark.suite.domain import _cache
 
-    key = (d.spark.sparkContext.applicationId, d.sf_dir, "database")
-    if key not in _cache:
-        base = scratch_dir(d.spark, "database")
+    def build(base: str) -> None:
         DB.write_marker_sets(d.markers, d.marker_set_metadata, base)
         DB.write_genotypes(d.genotypes, base)
         DB.write_traits(d.traits, d.causal_variants, d.phenotypes, d.causal_genotypes, base)
         DB.write_mappings(d.mappings, base)
         DB.write_sidecars(d.metadata, base)
-        _cache[key] = base
-    return _cache[key]
+
+    return d.kept("database", build)
 
 
 @query(
@@ -467,28 +465,21 @@ def _(d):
 
 
 def result_tables(d: Domain) -> str:
-    """Regions, summaries and the run record of one analysis, written once per session."""
-    from locuspark.suite.domain import _cache
+    """Regions and summaries of one analysis, written once per session."""
 
-    key = (d.spark.sparkContext.applicationId, d.sf_dir, "results")
-    if key not in _cache:
-        base = scratch_dir(d.spark, "results")
+    def build(base: str) -> None:
         thr = stage(arm_thresholds(d), "thresholds")
-        peaked, peaks = detected(d)
+        peaked, peaks = detect(d.mappings, thr, CI_SIZE, SNP_GROUPING)
         DB.write_regions(
             R.region_records(R.regions_from_peaks(peaks), d.metadata, CI_SIZE, SNP_GROUPING), base
         )
         summary = R.summary_from_detection(d.mappings, thr, peaked).join(
             d.metadata.select("mapping_id", "population", "maf", "algorithm"), "mapping_id"
         )
-        DB.write_summary(
-            summary.withColumns(
-                {"ci_size": F.lit(CI_SIZE), "snp_grouping": F.lit(SNP_GROUPING)}
-            ),
-            base,
-        )
-        _cache[key] = base
-    return _cache[key]
+        settings = {"ci_size": F.lit(CI_SIZE), "snp_grouping": F.lit(SNP_GROUPING)}
+        DB.write_summary(summary.withColumns(settings), base)
+
+    return d.kept("results", build)
 
 
 _REGION = f"""select p.mapping_id, p.method as threshold_method, p.peak_id, p.CHROM, p.startPOS, p.peakPOS, p.endPOS,
