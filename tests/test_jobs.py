@@ -365,6 +365,46 @@ def test_older_and_current_path_find_the_same_peaks(spark):
     assert guarded.count() == len(rows) and guarded.where("peak_id is not null or strain is not null").isEmpty()
 
 
+def test_marker_set_build_matches_a_plain_loop(spark, tmp_path):
+    from locuspark.plans.marker_set import build_marker_set
+
+    rng = random.Random(9)
+    names = [f"s{i}" for i in range(9)]
+    calls, lines = {}, []
+    previous = None
+    for i in range(40):
+        chrom, pos = ("MtDNA" if i % 13 == 0 else "II"), (i + 1) * 10
+        gts = [rng.choice(["0/0", "1|1"]) for _ in names]
+        if previous and rng.random() < 0.5:
+            gts = list(previous)
+        previous = list(gts)
+        if i % 7 == 0:
+            gts[rng.randrange(9)] = "./."
+        ref, alt = ("AT" if i % 11 == 0 else "A"), ("G,T" if i % 17 == 0 else "G")
+        calls[chrom, pos] = (ref, alt, gts)
+        lines.append("\t".join([chrom, str(pos), ".", ref, alt, ".", "PASS", ".", "GT", *gts]))
+    header = "##contig=<ID=I>\n##contig=<ID=II>\n##contig=<ID=MtDNA>\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t"
+    path = tmp_path / "x.vcf"
+    path.write_text(header + "\t".join(names) + "\n" + "\n".join(lines) + "\n")
+
+    kept = names[:8]  # the last sample is left out, with its missing calls
+    good = []
+    for (chrom, pos), (ref, alt, gts) in calls.items():
+        mine = gts[:8]
+        freq = sum(g == "1|1" for g in mine) / 8
+        if chrom == "II" and ref == "A" and alt == "G" and "./." not in mine and min(freq, 1 - freq) >= 0.2:
+            good.append((pos, [1.0 if g == "1|1" else -1.0 for g in mine]))
+    matrix = np.array([g for _p, g in good])
+    pruned = {good[p // 10 - 1][0] for p in prune_by_hand(matrix, 0.6, 50, 10)}
+    samples = spark.createDataFrame([(n,) for n in kept], "strain string")
+    for limit, gone in ((1.0, set()), (0.6, pruned)):
+        markers, genotypes = build_marker_set(spark, str(path), samples, "set", 0.2, limit)
+        want = {("2", p, n): a for p, line in good if p not in gone for n, a in zip(kept, line)}
+        assert {(r.CHROM, r.POS, r.strain): r.allele for r in genotypes.collect()} == want
+        assert {r.marker for r in markers.collect()} == {f"2:{p}" for p, _l in good if p not in gone}
+    assert pruned and len(pruned) < len(good)
+
+
 def test_registry():
     assert set(ORACLES) <= set(QUERIES)
     assert len(QUERIES) >= 171
