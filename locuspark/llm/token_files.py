@@ -108,7 +108,10 @@ def token_table(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end
             )
 
     texts = arrow_batches(text_of(docs, id_col, text_col)).withColumn("doc_id", F.col("doc_id").cast("long"))
-    return stage(texts.mapInArrow(run, "doc_id long, ids binary, n long, width int"), "token-ids")
+    spark = docs.sparkSession
+    path = scratch_dir(spark, "token-ids")
+    texts.mapInArrow(run, "doc_id long, ids binary, n long, width int").write.option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
 
 
 def frequency_ranks(tokens: DataFrame) -> DataFrame:

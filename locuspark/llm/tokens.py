@@ -58,6 +58,7 @@ class Encoder:
         self.token_bytes = np.zeros(size, np.int64)
         for token, i in vocabulary.items():
             self.token_bytes[i] = len(token)
+        self.marks = {m: self._plain(m) for m in ".,;:!?"}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -73,9 +74,9 @@ class Encoder:
                 joined.append(w)
             else:  # at the end of a text; what follows would change its tokens
                 young[w] = self._plain(" " + w)
-        parts = [joined[a : a + 64] for a in range(0, len(joined), 64)]
-        for a in range(0, len(parts), 64):
-            some = parts[a : a + 64]
+        parts = [joined[a : a + 256] for a in range(0, len(joined), 256)]
+        for a in range(0, len(parts), 16):
+            some = parts[a : a + 16]
             for part, found in zip(some, self.tokenizer.encode_batch_fast([" " + " ".join(p) for p in some], add_special_tokens=False)):
                 ids = np.array(found.ids, dtype=self.kind)
                 ends = np.cumsum(np.fromiter(map(len, map(str.encode, part)), np.int64, len(part)) + 1)
@@ -85,24 +86,47 @@ class Encoder:
                     young[w] = raw[start:end]
                     start = end
 
-    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        """Ids of each text, as unsigned 32-bit integers."""
+    def _resolve(self, missing: set[str]) -> None:
+        """Put the ids of chunks into the young generation.
+
+        A full stop or comma behind a letter is a word of its own to the
+        tokenizer, so such a chunk is made of two known ones.
+        """
         young, old = self.young, self.old
-        split = [chunks(t) for t in texts]
-        known = [list(map(young.get, rest)) for _, rest in split]
-        missing = {w for (_, rest), got in zip(split, known) if None in got for w, ids in zip(rest, got) if ids is None}
-        new = []
+        new: dict[str, None] = {}
+        ended = []
         for w in missing:
             ids = old.get(w)
-            if ids is None:
-                new.append(w)
-            else:
+            if ids is not None:
                 young[w] = ids
-        self._learn(new)
+            elif w[-1:] in self.marks and w[-2:-1].isalpha():
+                ended.append(w)
+                base = w[:-1]
+                if base not in young:
+                    ids = old.get(base)
+                    if ids is None:
+                        new[base] = None
+                    else:
+                        young[base] = ids
+            else:
+                new[w] = None
+        self._learn(list(new))
+        for w in ended:
+            young[w] = young[w[:-1]] + self.marks[w[-1]]
+
+    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """Ids of each text, as unsigned 32-bit integers."""
+        young = self.young
+        split = [chunks(t) for t in texts]
+        known = [list(map(young.get, rest)) for _, rest in split]
+        gaps = [[k for k, ids in enumerate(got) if ids is None] if None in got else () for got in known]
+        missing = {rest[k] for (_, rest), at in zip(split, gaps) for k in at}
+        if missing:
+            self._resolve(missing)
         out = []
-        for (first, rest), got in zip(split, known):
-            if None in got:
-                got = [young[w] if ids is None else ids for w, ids in zip(rest, got)]
+        for (first, rest), got, at in zip(split, known, gaps):
+            for k in at:
+                got[k] = young[rest[k]]
             start = self._plain(first) if first else b""
             out.append(np.frombuffer(start + b"".join(got), dtype=self.kind).astype("<u4"))
         if len(young) > CACHE:
