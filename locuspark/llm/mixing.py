@@ -115,7 +115,7 @@ def min_cost_flow(words: Sequence[int], members: Sequence[Sequence[int]], quotas
 
 
 def _fill(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Choose documents of one hash range in order, each that still fits; then one more if that is nearer."""
+    """Choose documents of one hash range in order, each that still fits; then mend the rest."""
     pdf = pdf.sort_values(["key", "doc_id", "size"], kind="stable")
     rest = int(pdf["rest"].iloc[0])
     words = (pdf["size"] * pdf["n"]).to_numpy(np.int64)
@@ -123,11 +123,16 @@ def _fill(pdf: pd.DataFrame) -> pd.DataFrame:
     for k, w in enumerate(words.tolist()):
         if w <= rest:
             taken[k], rest = 1, rest - w
-    left = np.flatnonzero(taken == 0)
-    if len(left):
-        nearest = left[np.argmin(words[left])]
-        if words[nearest] < 2 * rest:
-            taken[nearest] = 1
+    # What is missing now: one more document, or one exchanged for another, if that is nearer.
+    out, in_ = np.flatnonzero(taken == 0), np.flatnonzero(taken == 1)
+    if len(out):
+        gain = words[out][None] - np.append(words[in_], 0)[:, None]
+        best = np.argmin(np.abs(rest - gain))
+        if abs(rest - gain.ravel()[best]) < rest:
+            leaves, comes = divmod(int(best), len(out))
+            taken[out[comes]] = 1
+            if leaves < len(in_):
+                taken[in_[leaves]] = 0
     return pdf.assign(extra=taken)[["pattern", "key", "doc_id", "size", "extra"]]
 
 

@@ -132,12 +132,14 @@ def _round(spark: SparkSession, state: DataFrame, gaps: np.ndarray, items: np.nd
     classes = spark.createDataFrame(rows, "kind int, size int, parts int, level long, opened long, matched long")
     kept = state.where((F.col("kind") == 1) | (F.col("kind") == 0) & (F.col("size") >= smallest))
     salted = kept.join(classes, ["kind", "size"]).withColumn("part", F.pmod(F.xxhash64("pid"), F.col("parts")))
-    key = ["kind", "size", "part"]
-    sizes = salted.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("kind", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*key, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    ranked = salted.withColumn("at", F.row_number().over(Window.partitionBy(*key).orderBy("pid")) - 1)
-    ranked = ranked.join(starts, key).withColumn("rank", F.col("first") + F.col("at"))
+    # One column for kind, size and part, so that ranking is never dealt by kind and size alone.
+    cell = F.shiftleft((F.col("size") * 2 + F.col("kind")).cast("long"), 40) + F.col("part")
+    salted = salted.withColumn("cell", cell)
+    sizes = salted.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(F.shiftright("cell", 40)).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    ranked = salted.withColumn("at", F.row_number().over(Window.partitionBy("cell").orderBy("pid")) - 1)
+    ranked = ranked.join(starts, "cell").withColumn("rank", F.col("first") + F.col("at"))
     behind = F.col("rank") - F.col("opened")
     level = (
         F.when(F.col("kind") == 0, F.col("level") + F.col("rank") + 1)
