@@ -30,8 +30,9 @@ from locuspark.llm.common import arrow_batches, mix64, slices, stage, text_of
 from locuspark.llm.exact_dedup import normalised
 
 WORDS, SIMILARITY = 5, 0.8
-#: At similarity 0.8 a pair misses all bands with probability 1.2e-5.
-BANDS, ROWS = 48, 7
+#: At similarity 0.8 a pair agrees in 10 bands on average, in none with probability 1.2e-5,
+#: in fewer than two with 1.7e-4 (at 0.85: 2e-7). Pairs are verified from two bands on.
+BANDS, ROWS, AGREE = 48, 7, 2
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -85,7 +86,7 @@ def probability_signatures(elements: np.ndarray, weights: np.ndarray, owner: np.
 class _Words:
     """64-bit hashes of words; a bounded memory per worker."""
 
-    def __init__(self, most: int = 500_000) -> None:
+    def __init__(self, most: int = 50_000) -> None:
         self.known: dict[bytes, int] = {}
         self.most = most
 
@@ -156,7 +157,7 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int)
     """doc_id, key (content), n (shingles), bands; the key is null for texts without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 2_000_000):
+        for batch in slices(batches, "text", 1_000_000):
             sets = [shingles(t) for t in batch.column("text").to_pylist()]
             sizes = np.array([len(h) for h, _ in sets])
             owner = np.repeat(np.arange(len(sets)), sizes)
@@ -169,28 +170,49 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int)
     return texts.mapInArrow(run, f"doc_id {kind}, key binary, n long, bands array<long>")
 
 
+def _content(text: Column) -> Column:
+    """128-bit hash of the word sequence; null for texts without words."""
+    words = F.trim(normalised(text))
+    return F.when(words != "", F.unhex(F.md5(words.cast("binary"))))
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    words = F.trim(normalised(F.col("text")))
-    return text_of(docs, id_col, text_col).select("doc_id", F.when(words != "", F.unhex(F.md5(words.cast("binary")))).alias("key"), "text")
+    return text_of(docs, id_col, text_col).select("doc_id", _content(F.col("text")).alias("key"), "text")
+
 
+def _node_shingles(docs: DataFrame, contents: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """node, h, c: the shingles of every node in ``nodes``, read from one document of its content.
 
-def _node_shingles(docs: DataFrame, contents: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """node, h, c: the shingles of every node in ``pairs``, read from one document of its content."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    Texts are read once for all rounds, and only those of these documents are looked at.
+    """
     wanted = stage(contents.select("node", "key", F.col("doc_id").alias("of")).join(nodes, "node"), "near-wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1_000_000):
             sets = [shingles(t) for t in batch.column("text").to_pylist()]
             h = pa.array([x.tobytes() for x, _ in sets], pa.binary())
             c = pa.array([x.astype("<u4").tobytes() for _, x in sets], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("node"), h, c], names=["node", "h", "c"])
 
-    texts = _keyed(docs, id_col, text_col).join(wanted, "key").where(F.col("doc_id").eqNullSafe(F.col("of")))
-    found = arrow_batches(texts.select("node", "text")).mapInArrow(run, "node long, h binary, c binary")
+    known, unknown = wanted.where("of is not null"), wanted.where("of is null")
+    texts = text_of(docs, id_col, text_col)
+    found = texts.join(known, F.col("doc_id") == F.col("of")).select("node", "key", "text")
+    lost = texts.where("doc_id is null").withColumn("own", _content(F.col("text"))).join(unknown, F.col("own") == F.col("key")).select("node", "key", "text")
+    found = found.unionByName(lost).where(_content(F.col("text")) == F.col("key"))
+    found = arrow_batches(found.select("node", "text")).mapInArrow(run, "node long, h binary, c binary")
     return stage(found.dropDuplicates(["node"]), "near-shingles")
 
 
+def _promising(contents: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs that agree in ``AGREE`` bands or more; chance meetings in a single band stop here."""
+    with_a = pairs.join(contents.select(F.col("node").alias("a"), F.col("bands").alias("a_bands")), "a")
+    with_b = with_a.join(contents.select(F.col("node").alias("b"), F.col("bands").alias("b_bands")), "b")
+    agree = F.size(F.array_intersect("a_bands", "b_bands"))
+    # With few bands, as chosen by a caller, one is all that can be asked for.
+    asked = F.when(F.size("a_bands") >= BANDS, AGREE).otherwise(1)
+    return stage(with_b.where(agree >= asked).select("a", "b"), "near-promising")
+
+
 def _links(sets: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
     """The pairs whose similarity is ``least`` or more: of their sets, or of their weighted sets."""
 
@@ -266,10 +288,12 @@ def near_groups(
     open_ = stage(member.join(crowded, "band").where(F.col("node") != F.col("lead.node")), "near-members")
     two = buckets.where("size = 2").select(F.col("lead").alias("x"), F.col("last").alias("y"))
     many = open_.select(F.col("lead").alias("x"), F.struct("node", "n").alias("y"))
+    nodes = two.select(F.explode(F.array("x.node", "y.node")).alias("node")).unionByName(many.select(F.explode(F.array("x.node", "y.node")).alias("node")))
+    sets = _node_shingles(docs, contents, nodes.distinct(), id_col, text_col)
     pairs = _pairs(two.unionByName(many), least)
     forest, leaders, open_ = None, 1, open_.drop("lead")
     while True:
-        links = _links(_node_shingles(docs, contents, pairs, id_col, text_col), pairs, least)
+        links = _links(sets, _promising(contents, pairs), least)
         forest = components(links if forest is None else links.unionByName(forest.select(F.col("node").alias("a"), F.col("comp").alias("b"))))
         open_ = _unsettled(open_, forest)
         if open_.isEmpty():

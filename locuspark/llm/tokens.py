@@ -9,7 +9,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Chunks remembered in each of the two generations of a worker's cache.
-CACHE = 600_000
+CACHE = 450_000
 _BLANK_BEFORE_SPACE = re.compile(r"\s ")
 _BOUNDARY = re.compile(r"(?<=\S)(?= )")
 
