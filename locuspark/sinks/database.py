@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locuspark.operators.queries import conform
+from locuspark.operators.sets import dedup_first
 from locuspark.schemas import TABLES
 from locuspark.sources.catalog import (
     LAYOUT,
@@ -14,6 +17,7 @@ from locuspark.sources.catalog import (
     stored_schema,
     table_path,
 )
+from locuspark.session import stage
 
 # Row order inside the files, for tight column statistics.
 CLUSTERING = {
@@ -45,9 +49,38 @@ def write_table(df: DataFrame, base: str, table: str, append: bool = False) -> N
     writer.parquet(table_path(base, table))
 
 
-def write_mappings(df: DataFrame, base: str) -> None:
-    """One Hive partition per (population, mapping_id)."""
-    write_table(df, base, "mappings")
+MAPPING_KEY = ("population", "mapping_id", "marker")
+
+
+def _one_per_marker(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """One row per marker of a mapping: the first by ``order``, then by its values."""
+    columns = [c for c in df.columns if c in {*MAPPING_KEY, *TABLES["mappings"].names}]
+    values = [c for c in columns if c not in MAPPING_KEY]
+    return dedup_first(df, MAPPING_KEY, [*order, *values]).select(*columns)
+
+
+def write_mappings(df: DataFrame, base: str, order: Sequence[Column | str] = ()) -> None:
+    """One Hive partition per (population, mapping_id); repeated markers are stored once.
+
+    A mapping that is written replaces the stored one.
+    """
+    write_table(_one_per_marker(df, order), base, "mappings")
+
+
+def upsert_mappings(df: DataFrame, base: str, order: Sequence[Column | str] = ()) -> None:
+    """Add markers to stored mappings; a marker that is there already gets the new values.
+
+    The touched mappings are staged with their stored rows first, since a
+    partition cannot be read while it is replaced.
+    """
+    new = _one_per_marker(df, order)
+    stored = read_table(df.sparkSession, base, "mappings")
+    if stored is not None:
+        new = stage(new, "arriving-mappings")
+        touched = new.select("population", "mapping_id").distinct()
+        old = stored.join(touched, ["population", "mapping_id"], "left_semi").join(new.select(*MAPPING_KEY), list(MAPPING_KEY), "left_anti")
+        new = stage(conform(new, TABLES["mappings"]).select(*old.columns).unionByName(old), "merged-mappings")
+    write_table(new, base, "mappings")
 
 
 def write_sidecars(df: DataFrame, base: str) -> None:

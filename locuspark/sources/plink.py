@@ -150,6 +150,10 @@ def read_bed(
                     )
 
     n_variants = bim.count()
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{prefix}.bed")
+    stored = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(place).getLen()
+    if stored != 3 + n_variants * width:
+        raise ValueError(f"{prefix}.bed has {stored} bytes; {n_variants} variants of {len(strains)} samples take {3 + n_variants * width}")
     starts = spark.range(0, max(n_variants, 1), chunk)
     packed = starts.mapInPandas(ranges, "line long, bytes binary").join(bim, "line")
     if markers is not None:

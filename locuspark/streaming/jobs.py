@@ -13,22 +13,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from locuspark.operators.sets import latest_state
-from locuspark.sinks.database import write_mappings
+from locuspark.sinks.database import upsert_mappings
 
 LEDGER_KEY = ("species", "grp", "nqtl", "effect", "h2", "rep", "mode", "type")
 REPLICATION_CELL = ("population", "maf", "nqtl", "effect", "h2", "algorithm", "pca")
 
 
 def stream_ingest(spark: SparkSession, in_dir: str, base: str, checkpoint: str) -> StreamingQuery:
-    """Add arriving mappings; one that arrives again replaces the stored one.
+    """Add arriving markers to their mappings; a marker that arrives again gets its latest values.
 
-    A mapping has to arrive whole in one micro-batch, as its files do when they
-    are moved into the folder together.
+    A mapping may arrive in parts, in one micro-batch or several, and again in
+    the same batch: the latest file decides, by modification time and then name.
     """
     schema = spark.read.parquet(in_dir).schema
-    arriving = spark.readStream.schema(schema).parquet(in_dir)
+    # Files count whatever their age; by default those a week older than the newest are passed over.
+    arriving = spark.readStream.schema(schema).option("maxFileAge", "36500d").parquet(in_dir)
+    latest = (-F.unix_micros("_metadata.file_modification_time")).alias("_arrived")
+    arriving = arriving.select("*", latest, F.col("_metadata.file_name").alias("_file"))
     return (
-        arriving.writeStream.foreachBatch(lambda batch, _epoch: write_mappings(batch, base))
+        arriving.writeStream.foreachBatch(lambda batch, _epoch: upsert_mappings(batch, base, ("_arrived", "_file")))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
