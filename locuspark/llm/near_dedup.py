@@ -203,14 +203,18 @@ def _node_shingles(docs: DataFrame, contents: DataFrame, nodes: DataFrame, id_co
     return stage(found.dropDuplicates(["node"]), "near-shingles")
 
 
-def _promising(contents: DataFrame, pairs: DataFrame) -> DataFrame:
+def _promising(contents: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
     """Pairs that agree in ``AGREE`` bands or more; chance meetings in a single band stop here."""
-    with_a = pairs.join(contents.select(F.col("node").alias("a"), F.col("bands").alias("a_bands")), "a")
-    with_b = with_a.join(contents.select(F.col("node").alias("b"), F.col("bands").alias("b_bands")), "b")
-    agree = F.size(F.array_intersect("a_bands", "b_bands"))
+    a = contents.select(F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("bands").alias("a_bands"))
+    b = contents.select(F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("bands").alias("b_bands"))
+    met = pairs.join(a, "a").join(b, "b").where(_alike(F.col("a_n"), F.col("b_n"), least))
+    return met.where(_agree("a_bands", "b_bands")).select("a", "b")
+
+
+def _agree(left: str, right: str) -> Column:
     # With few bands, as chosen by a caller, one is all that can be asked for.
-    asked = F.when(F.size("a_bands") >= BANDS, AGREE).otherwise(1)
-    return stage(with_b.where(agree >= asked).select("a", "b"), "near-promising")
+    asked = F.when(F.size(left) >= BANDS, AGREE).otherwise(1)
+    return F.size(F.array_intersect(left, right)) >= asked
 
 
 def _links(sets: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
@@ -242,10 +246,10 @@ def components(edges: DataFrame) -> DataFrame:
     edges = stage(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "near-edges")
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = stage(both.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("low", "a")), "near-low")
+        low = both.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("low", "a"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         large = stage(large.where("a != b").distinct(), "near-large")
-        low = stage(large.groupBy("a").agg(F.min("b").alias("low")), "near-low")
+        low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(low.select("a", F.col("low").alias("b")))
         new = stage(small.where("a != b").distinct(), "near-edges")
         # A forest of stars: nobody has two smaller neighbours, and no centre has one.
@@ -280,60 +284,59 @@ def near_groups(
     signed = stage(_signed(docs, id_col, text_col, bands, rows), "near-signed")
     contents = signed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     contents = stage(contents.withColumn("node", F.monotonically_increasing_id()), "near-contents")
-    member = contents.select("node", "n", F.explode("bands").alias("band"))
-    me = F.struct("node", "n")
-    buckets = member.groupBy("band").agg(F.min(me).alias("lead"), F.max(me).alias("last"), F.count(F.lit(1)).alias("size"))
+    member = contents.select("node", F.explode("bands").alias("band"))
+    buckets = member.groupBy("band").agg(F.min("node").alias("lead"), F.max("node").alias("last"), F.count(F.lit(1)).alias("size"))
     buckets = stage(buckets.where("size > 1"), "near-buckets")
     crowded = buckets.where("size > 2").select("band", "lead")
-    open_ = stage(member.join(crowded, "band").where(F.col("node") != F.col("lead.node")), "near-members")
+    open_ = stage(member.join(crowded, "band").where("node != lead"), "near-members")
     two = buckets.where("size = 2").select(F.col("lead").alias("x"), F.col("last").alias("y"))
-    many = open_.select(F.col("lead").alias("x"), F.struct("node", "n").alias("y"))
-    nodes = two.select(F.explode(F.array("x.node", "y.node")).alias("node")).unionByName(many.select(F.explode(F.array("x.node", "y.node")).alias("node")))
-    sets = _node_shingles(docs, contents, nodes.distinct(), id_col, text_col)
-    pairs = _pairs(two.unionByName(many), least)
-    forest, leaders, open_ = None, 1, open_.drop("lead")
-    while True:
-        links = _links(sets, _promising(contents, pairs), least)
-        forest = components(links if forest is None else links.unionByName(forest.select(F.col("node").alias("a"), F.col("comp").alias("b"))))
-        open_ = _unsettled(open_, forest)
-        if open_.isEmpty():
-            break
-        leaders *= 4
+    found = stage(_ordered(two.unionByName(open_.select(F.col("lead").alias("x"), F.col("node").alias("y")))), "near-pairs")
+    sets = _node_shingles(docs, contents, found.select(F.explode(F.array("a", "b")).alias("node")).distinct(), id_col, text_col)
+    links = _links(sets, _promising(contents, found, least), least)
+    forest = components(links)
+    # From here on members carry what comparing them in a bucket takes.
+    sketch = F.transform("bands", lambda band: F.shiftright(band, 32).cast("int")).alias("sketch")
+    open_ = _unsettled(open_.select("node", "band"), forest).join(contents.select("node", "n", sketch), "node")
+    open_ = stage(open_, "near-members")
+    leaders = 1
+    while not open_.isEmpty():
+        leaders *= 8
         pairs, open_ = _next(open_, leaders, least)
+        links = _links(sets, pairs, least)
+        if not links.isEmpty():
+            forest = components(links.unionByName(forest.select(F.col("node").alias("a"), F.col("comp").alias("b"))))
+        open_ = stage(_unsettled(open_, forest), "near-members")
     return _classes(signed, contents, forest)
 
 
-def _pairs(found: DataFrame, least: float) -> DataFrame:
-    alike = found.where(_alike(F.col("x.n"), F.col("y.n"), least))
-    return stage(alike.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "near-pairs")
+def _ordered(found: DataFrame) -> DataFrame:
+    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def _unsettled(open_: DataFrame, forest: DataFrame) -> DataFrame:
     """Members, with their components, of buckets that hold more than one component."""
     placed = open_.drop("comp").join(forest, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    placed = stage(placed, "near-placed")
     mixed = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("band")
-    return stage(placed.join(stage(mixed, "near-mixed"), "band"), "near-members")
+    return placed.join(mixed, "band")
 
 
 def _next(open_: DataFrame, leaders: int, least: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs of up to ``leaders`` members of each bucket with the others of other components, and who is left."""
+    """Promising pairs of up to ``leaders`` members of each bucket with the others of other components, and who is left."""
     part = F.pmod(F.xxhash64("node"), F.lit(leaders))
-    lead = open_.groupBy("band", part.alias("part")).agg(F.min(F.struct("node", "n", "comp")).alias("lead")).select("band", "lead")
-    lead = stage(lead, "near-leaders")
-    joined = open_.join(lead, (open_["band"] == lead["band"]) & (open_["comp"] != F.col("lead.comp")))
-    pairs = _pairs(joined.select(F.struct("node", "n").alias("x"), F.struct("lead.node", "lead.n").alias("y")), least)
-    gone = lead.select(F.col("band").alias("l_band"), F.col("lead.node").alias("l_node"))
-    rest = open_.join(gone, (F.col("band") == F.col("l_band")) & (F.col("node") == F.col("l_node")), "left_anti")
+    lead = open_.groupBy("band", part.alias("part")).agg(F.min(F.struct("node", "n", "comp", "sketch")).alias("lead"))
+    lead = stage(lead.select(F.col("band").alias("l_band"), "lead.*").withColumnsRenamed({c: f"l_{c}" for c in ("node", "n", "comp", "sketch")}), "near-leaders")
+    meet = (F.col("band") == F.col("l_band")) & (F.col("comp") != F.col("l_comp"))
+    joined = open_.join(lead, meet & _alike(F.col("n"), F.col("l_n"), least) & _agree("sketch", "l_sketch"))
+    pairs = _ordered(joined.select(F.col("node").alias("x"), F.col("l_node").alias("y")))
+    rest = open_.join(lead, (F.col("band") == F.col("l_band")) & (F.col("node") == F.col("l_node")), "left_anti")
     return pairs, stage(rest, "near-members")
 
 
 def _classes(signed: DataFrame, contents: DataFrame, forest: DataFrame) -> DataFrame:
     named = contents.select("key", "node").join(forest, "node", "left").select("key", F.coalesce("comp", "node").alias("comp"))
-    named = stage(named, "near-named")
     docs = signed.select("doc_id", "key").where("key is not null").join(named, "key").select("doc_id", "comp")
     docs = stage(docs, "near-docs")
-    sizes = stage(docs.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "near-sizes")
+    sizes = docs.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     grouped = docs.join(sizes, "comp").select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
     alone = signed.where("key is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept"))
     return grouped.unionByName(alone)
