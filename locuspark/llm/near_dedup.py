@@ -232,6 +232,10 @@ def _links(sets: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
             mask = pa.array(kept, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
 
+    # Only the sets of these pairs are moved; in later rounds they are a small part of all.
+    pairs = stage(pairs, "near-compared")
+    few = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = stage(sets.join(stage(few, "near-few"), "node", "left_semi"), "near-sets")
     with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("h").alias("ah"), F.col("c").alias("ac")), "a")
     with_b = with_a.join(sets.select(F.col("node").alias("b"), F.col("h").alias("bh"), F.col("c").alias("bc")), "b")
     return stage(arrow_batches(with_b).mapInArrow(run, "a long, b long"), "near-links")
