@@ -139,15 +139,3 @@ def region_join(variants: DataFrame, bed: DataFrame, width: int = 1_000_000) ->
     )
 
 
-def marker_ordinal(genotypes: DataFrame) -> DataFrame:
-    """Marker order within (marker_set_id, CHROM), from 1, without whole-chromosome tasks."""
-    from locuspark.operators.blocks import marker_index
-
-    keys = genotypes.select("marker_set_id", "CHROM", "POS").distinct()
-    return marker_index(keys, keys=("marker_set_id",), order=("POS",))
-
-
-def strain_count(genotypes: DataFrame) -> DataFrame:
-    return genotypes.groupBy("marker_set_id").agg(F.countDistinct("strain").alias("n_strains"))
-
-

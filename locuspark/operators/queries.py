@@ -151,10 +151,6 @@ def chrom_extent(markers: DataFrame) -> DataFrame:
     )
 
 
-def list_populations(metadata: DataFrame) -> DataFrame:
-    return metadata.select("population").distinct()
-
-
 def conform(df: DataFrame, schema) -> DataFrame:
     """Cast declared columns to their declared types; other columns stay as they are."""
     declared = {f.name: f.dataType for f in schema.fields}

@@ -124,10 +124,3 @@ def summary_from_detection(
             F.col("sig_threshold_value").alias("threshold_value"),
         )
     )
-
-
-def region_overview(regions: DataFrame) -> DataFrame:
-    """Regions and significant markers per threshold method."""
-    return regions.groupBy("sig_threshold_method").agg(
-        F.count(F.lit(1)).alias("n_regions"), F.sum("n_sig_markers").alias("n_sig_markers")
-    )
