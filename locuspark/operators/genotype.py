@@ -137,5 +137,3 @@ def region_join(variants: DataFrame, bed: DataFrame, width: int = 1_000_000) ->
         .where(F.col("POS").between(F.col("start"), F.col("end")))
         .drop("_block")
     )
-
-
