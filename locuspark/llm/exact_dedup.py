@@ -95,7 +95,15 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     same = docs[id_col].eqNullSafe(kept["kept_id"]) & (sha == kept["kept_sha"])
     found = docs.join(kept, same, "left_semi")
     # Only rows whose id occurs more than once can still be double.
-    return found.dropDuplicates([id_col]) if _repeated(docs, id_col) else found
+    return one_copy(found, id_col, text_col, F.sha2(normalised(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), 256)) if _repeated(docs, id_col) else found
+
+
+def one_copy(found: DataFrame, id_col: str, text_col: str, content: Column) -> DataFrame:
+    """One row of those with the same id (null ids are alike) and content: the smallest text, then the smallest hash of the row."""
+    rest = F.xxhash64(*[F.col(c) for c, kind in found.dtypes if "map<" not in kind])
+    row = F.struct(*[F.col(c) for c in found.columns])
+    kept = found.groupBy(F.col(id_col).alias("of_id"), content.alias("of_content")).agg(F.min_by(row, F.struct(F.col(text_col), rest)).alias("row"))
+    return kept.select("row.*")
 
 
 def _repeated(docs: DataFrame, id_col: str) -> bool:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locuspark.llm.common import arrow_batches, mix64, slices, stage, text_of
-from locuspark.llm.exact_dedup import normalised
+from locuspark.llm.exact_dedup import _repeated, normalised, one_copy
 
 WORDS, SIMILARITY = 5, 0.8
 #: At similarity 0.8 a pair agrees in 10 bands on average, in none with probability 1.2e-5,
@@ -283,8 +283,14 @@ def near_groups(
     Documents connected by similarities of ``least`` or more are one class, named
     by its smallest id, whose document is kept. Texts without words (null, empty)
     are alone. Rows with the same id count as copies of each other; null ids come
-    last. Other columns are ignored; an empty table gives an empty result.
+    last. Other columns are ignored; an empty table gives an empty result. Of a
+    class whose smallest id has several texts, only rows of one text are kept.
     """
+    return _grouped(docs, id_col, text_col, least, bands, rows).drop("key")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``near_groups`` with the content key of every row; it is null for texts without words."""
     signed = stage(_signed(docs, id_col, text_col, bands, rows), "near-signed")
     contents = signed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     contents = stage(contents.withColumn("node", F.monotonically_increasing_id()), "near-contents")
@@ -338,16 +344,25 @@ def _next(open_: DataFrame, leaders: int, least: float) -> tuple[DataFrame, Data
 
 def _classes(signed: DataFrame, contents: DataFrame, forest: DataFrame) -> DataFrame:
     named = contents.select("key", "node").join(forest, "node", "left").select("key", F.coalesce("comp", "node").alias("comp"))
-    docs = signed.select("doc_id", "key").where("key is not null").join(named, "key").select("doc_id", "comp")
+    docs = signed.select("doc_id", "key").where("key is not null").join(named, "key").select("doc_id", "key", "comp")
     docs = stage(docs, "near-docs")
-    sizes = docs.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    grouped = docs.join(sizes, "comp").select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
-    alone = signed.where("key is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first")
+    sizes = docs.groupBy("comp").agg(first, F.count(F.lit(1)).alias("class_size"))
+    kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
+    grouped = docs.join(sizes, "comp").select("doc_id", F.col("first.doc_id").alias("class_id"), "class_size", kept.alias("kept"), "key")
+    alone = signed.where("key is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept"), "key")
     return grouped.unionByName(alone)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` kept by ``near_groups``, with all their columns."""
-    kept = near_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = stage(kept, "near-kept")
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["kept_id"]), "left_semi")
+    """The rows of ``docs`` kept by ``near_groups``, with all their columns; of rows with the same id and words, one.
+
+    Texts without words have no copies and all stay.
+    """
+    kept = _grouped(docs, id_col, text_col).where("kept and key is not null")
+    kept = stage(kept.select(F.col("doc_id").alias("kept_id"), F.col("key").alias("kept_key")).distinct(), "near-kept")
+    own = _content(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+    found = docs.join(kept, docs[id_col].eqNullSafe(kept["kept_id"]) & (own == kept["kept_key"]), "left_semi")
+    if _repeated(docs, id_col):
+        found = one_copy(found, id_col, text_col, _content(F.col(text_col).cast("string")))
+    return found.unionByName(docs.where(own.isNull()))

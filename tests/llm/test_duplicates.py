@@ -51,6 +51,24 @@ def test_exact_dedup_empty_and_kept_rows(table):
     assert "pattern" in kept.columns
 
 
+REPEATS = [(None, "first text without id"), (None, "second text without id"), (7, "one text of seven"), (7, "another text of seven"), (7, "one  text of seven"), (3, "another text of seven")]
+
+
+def test_rows_with_one_id_and_different_texts_stay(table):
+    """Null and repeated ids are no reason to drop a text, or to keep a copy."""
+    want = Counter([(None, "first text without id"), (None, "second text without id"), (7, "one text of seven"), (3, "another text of seven")])
+    for keep in (exact_dedup.keep_first, near_dedup.keep_one):
+        assert Counter((r.doc_id, norm(r.text)) for r in keep(table(REPEATS)).collect()) == want
+
+
+def test_near_copies_with_one_id_leave_one_row(table):
+    words = [f"w{k}" for k in range(60)]
+    near = [" ".join(words), " ".join([*words, "end"])]
+    rows = [*[(None, t) for t in near], *[(8, t.upper()) for t in near], (None, "alone"), (None, ""), (8, "")]
+    kept = Counter((r.doc_id, r.text.split(" ")[0]) for r in near_dedup.keep_one(table(rows)).collect())
+    assert kept == Counter([(None, "w0"), (8, "W0"), (None, "alone"), (None, ""), (8, "")])
+
+
 def near_by_hand(rows, least=0.8):
     sets = {}
     for i, t in rows:
