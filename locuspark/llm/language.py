@@ -5,7 +5,8 @@ off by blanks), damped, weighted by inverse document frequency over all learning
 documents and normalised. Spherical k-means gives each language a few centroids,
 fitted on a bounded sample. A text gets the language of the centroid with the
 largest cosine; one that is farther from all centroids than learning documents
-of that language are is rejected.
+of that language and about that length are is rejected. Those distances are to
+centroids fitted without the document.
 """
 
 from __future__ import annotations
@@ -24,8 +25,10 @@ from locuspark.llm.common import arrow_batches, held_out, slices, text_of
 UNKNOWN = "und"
 #: Hashed n-grams; the documented sample bound of the centroid fit, per language; centroids per language.
 DIMENSIONS, SAMPLE, CENTROIDS = 4096, 1500, 3
-#: A text is rejected below this share of the cosine that 99 of 100 learning documents reach.
-REJECT_SHARE = 0.3
+#: A text is rejected below this share of the cosine that 99 of 100 learning documents of its length reach.
+REJECT_SHARE = 0.8
+#: Length classes (powers of two n-grams), and learning documents that are thinned to each of them, per language.
+LENGTHS, THINNED = 18, 100
 #: Letters counted at once.
 PIECE = 1 << 20
 
@@ -87,9 +90,40 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 10, seed: int = 5) ->
     return centres.astype(np.float32)
 
 
+def _length(x: np.ndarray) -> np.ndarray:
+    """Length class of damped counts."""
+    return np.clip(np.log2(np.maximum(np.expm1(x).sum(axis=1), 1)), 0, LENGTHS - 1).astype(np.int64)
+
+
+def _rejection_limits(x: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Least cosine of a language by length class, from damped counts of its learning documents.
+
+    Each half is measured against centroids of the other. Short texts reach less,
+    and may be rare: some documents are thinned at random to every shorter length.
+    """
+    unit = _normalised(x * idf)
+    halves = [np.arange(k, len(x), 2) if len(x) > 1 else np.arange(len(x)) for k in (0, 1)]
+    centres = [spherical_kmeans(unit[h], CENTROIDS) for h in halves]
+    rng = np.random.default_rng(9)
+    cosines: list[list[np.ndarray]] = [[] for _ in range(LENGTHS)]
+    for own, c in zip(halves, centres[::-1]):
+        reached, length = (unit[own] @ c.T).max(axis=1), _length(x[own])
+        for k in range(LENGTHS):
+            cosines[k].append(reached[length == k])
+            longer = own[length > k][: THINNED // 2]
+            if len(longer):
+                counts = np.rint(np.expm1(x[longer])).astype(np.float64)
+                thin = rng.multinomial(3 << k >> 1, counts / counts.sum(axis=1, keepdims=True))
+                cosines[k].append((_normalised(np.log1p(thin) * idf) @ c.T).max(axis=1))
+    limits = [float(np.quantile(np.concatenate(c), 0.01)) if sum(map(len, c)) else np.inf for c in cosines]
+    # No class asks for more than a longer one; beyond the longest text, the same as for it.
+    limits = np.minimum.accumulate(np.array(limits)[::-1])[::-1]
+    return REJECT_SHARE * np.where(np.isinf(limits), limits[np.isfinite(limits)].max(), limits)
+
+
 @dataclass(frozen=True)
 class Model:
-    """languages[k] belongs to centroids[k]; its size is fixed by the parameters and the number of languages."""
+    """languages[k] belongs to centroids[k], least[k] are its limits by length; its size is fixed by the parameters and the number of languages."""
 
     languages: tuple[str, ...]
     idf: np.ndarray
@@ -104,7 +138,7 @@ class Model:
         cosine = _normalised(x * self.idf) @ self.centroids.T
         best = cosine.argmax(axis=1)
         score = np.where(has, np.clip(cosine[np.arange(len(texts)), best], 0, 1), 0.0).astype(float)
-        return [self.languages[b] if h else UNKNOWN for b, h in zip(best, has)], score, ~has | (score < self.least[best])
+        return [self.languages[b] if h else UNKNOWN for b, h in zip(best, has)], score, ~has | (score < self.least[best, _length(x)])
 
 
 def _document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
@@ -141,13 +175,11 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
     languages: list[str] = []
     centres, least = [np.zeros((0, DIMENSIONS), np.float32)], []
     for lang, x in sorted(_samples(texts, counts, sample).items()):
-        x = _normalised(x * idf)
-        c = spherical_kmeans(x, CENTROIDS)
-        reached = (x @ c.T).max(axis=1)
+        c = spherical_kmeans(_normalised(x * idf), CENTROIDS)
         languages += [lang] * len(c)
         centres.append(c)
-        least += [REJECT_SHARE * float(np.quantile(reached, 0.01))] * len(c)
-    return Model(tuple(languages), idf, np.vstack(centres), np.array(least))
+        least += [_rejection_limits(x, idf)] * len(c)
+    return Model(tuple(languages), idf, np.vstack(centres), np.array(least).reshape(-1, LENGTHS))
 
 
 def _samples(texts: DataFrame, counts: dict[str, int], sample: int) -> dict[str, np.ndarray]:

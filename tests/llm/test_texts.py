@@ -34,6 +34,22 @@ def test_language_held_out_and_rejection(table):
     assert {r.lang_pred for r in language.predict(table(ODD), nothing).collect()} == {"und"}
 
 
+def test_unseen_language_of_the_same_script_and_random_letters_are_rejected(table):
+    """Made-up languages of their own syllables; short clean texts stay."""
+    rng = random.Random(8)
+    syllable = lambda: rng.choice("bcdfglmnprst") + rng.choice("aeiou") + rng.choice("nrstl ").strip()
+    parts = {k: [syllable() for _ in range(40)] for k in ("aa", "bb", "cc", "dd")}
+    vocabulary = {k: ["".join(rng.choices(v, k=rng.randint(1, 3))) for _ in range(400)] for k, v in parts.items()}
+    rows = [(i, " ".join(rng.choices(vocabulary[lang], k=rng.choice([8, 30, 120, 400]))), lang, "a") for i, lang in enumerate(rng.choices(["aa", "bb", "cc"], k=600))]
+    unseen = [(1000 + i, " ".join(rng.choices(vocabulary["dd"], k=rng.choice([30, 120])))) for i in range(40)]
+    junk = [(2000 + i, " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(n))) for i, n in enumerate([60, 500] * 10)]
+    model = language.fit_held_in(table(rows))
+    got = {r.doc_id: r.lang_rejected for r in language.predict(table(rows + unseen + junk), model).collect()}
+    clean = [got[r[0]] for r in rows if zlib.crc32(str(r[0]).encode()) % 3 == 1]
+    assert all(got[i] for i, *_ in unseen + junk)
+    assert sum(clean) <= 0.02 * len(clean)
+
+
 def test_ngrams_are_counted_over_whole_texts(monkeypatch):
     text = "Straße 12 über Öl, " * 50
     whole = language.ngram_counts(text)
