@@ -6,7 +6,9 @@
    exponential distances, each for a random component of the signature, and the
    earliest shingle of a component stays. A process stops as soon as its next
    arrival is later than every component's earliest. Two signatures agree in a
-   component with the probability Jaccard similarity of the weighted sets.
+   component with the probability Jaccard similarity of the weighted sets. A
+   text that repeats a shingle has a second signature, of weights 1, which
+   agrees with the Jaccard similarity of the sets; both are banded.
 3. Bands of components are bucket keys. In each bucket the members are compared
    with leaders, not with each other: first with one, then, in buckets whose
    other members are not all connected yet, with more and more leaders at once,
@@ -162,7 +164,15 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int)
             sizes = np.array([len(h) for h, _ in sets])
             owner = np.repeat(np.arange(len(sets)), sizes)
             found = probability_signatures(np.concatenate([h for h, _ in sets]), np.concatenate([c for _, c in sets]).astype(float), owner, len(sets), bands * rows)
-            keys = pa.array(list(band_keys(found, bands, rows).view(np.int64)), pa.list_(pa.int64()))
+            keys = list(band_keys(found, bands, rows).view(np.int64))
+            # Sets with repeated shingles meet others by their set, too; for the rest both signatures are the same.
+            again = [k for k, (_, c) in enumerate(sets) if (c > 1).any()]
+            if again:
+                once = np.concatenate([sets[k][0] for k in again])
+                found = probability_signatures(once, np.ones(len(once)), np.repeat(np.arange(len(again)), sizes[again]), len(again), bands * rows)
+                for k, more in zip(again, band_keys(found, bands, rows).view(np.int64)):
+                    keys[k] = np.union1d(keys[k], more)
+            keys = pa.array(keys, pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(sizes, pa.int64()), keys], names=["doc_id", "key", "n", "bands"])
 
     texts = arrow_batches(_keyed(docs, id_col, text_col))

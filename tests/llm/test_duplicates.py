@@ -110,6 +110,18 @@ def test_near_groups_against_all_pairs(table):
     assert all(r.class_size == sizes[r.class_id] and r.kept == (r.doc_id == r.class_id) for r in got)
 
 
+def test_near_groups_link_equal_sets_of_repeated_passages(table):
+    """Repeating a passage lowers the probability Jaccard to about 0.4 and leaves the sets alike."""
+    rows = []
+    for g in range(12):
+        words = [f"g{g}w{k}" for k in range(200)]
+        line = [f"g{g}l{k}" for k in range(20)]
+        rows += [(10 * g, " ".join(line * 2 + words)), (10 * g + 1, " ".join(line * 20 + words))]
+    want = near_by_hand(rows)
+    assert all(want[10 * g + 1] == 10 * g for g in range(12))
+    assert {r.doc_id: r.class_id for r in near_dedup.near_groups(table(rows)).collect()} == want
+
+
 def test_near_groups_compares_whole_buckets(table):
     """One band of one row makes crowded buckets of unlike texts: leaders must reach every pair."""
     rng = random.Random(5)
