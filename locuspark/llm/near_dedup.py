@@ -156,7 +156,7 @@ def probability_jaccard(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarr
 
 
 def _signed(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
-    """doc_id, key (content), n (shingles), bands; the key is null for texts without words."""
+    """doc_id, key (content), n (shingles), repeats (whether one occurs twice), bands; the key is null for texts without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1_000_000):
@@ -173,11 +173,14 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int)
                 for k, more in zip(again, band_keys(found, bands, rows).view(np.int64)):
                     keys[k] = np.union1d(keys[k], more)
             keys = pa.array(keys, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(sizes, pa.int64()), keys], names=["doc_id", "key", "n", "bands"])
+            repeats = np.zeros(len(sets), bool)
+            repeats[again] = True
+            new = [pa.array(sizes, pa.int64()), pa.array(repeats), keys]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), *new], names=["doc_id", "key", "n", "repeats", "bands"])
 
     texts = arrow_batches(_keyed(docs, id_col, text_col))
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"doc_id {kind}, key binary, n long, bands array<long>")
+    return texts.mapInArrow(run, f"doc_id {kind}, key binary, n long, repeats boolean, bands array<long>")
 
 
 def _content(text: Column) -> Column:
@@ -215,9 +218,9 @@ def _node_shingles(docs: DataFrame, contents: DataFrame, nodes: DataFrame, id_co
 
 def _promising(contents: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
     """Pairs that agree in ``AGREE`` bands or more; chance meetings in a single band stop here."""
-    a = contents.select(F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("bands").alias("a_bands"))
-    b = contents.select(F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("bands").alias("b_bands"))
-    met = pairs.join(a, "a").join(b, "b").where(_alike(F.col("a_n"), F.col("b_n"), least))
+    a = contents.select(F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("repeats").alias("a_repeats"), F.col("bands").alias("a_bands"))
+    b = contents.select(F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("repeats").alias("b_repeats"), F.col("bands").alias("b_bands"))
+    met = pairs.join(a, "a").join(b, "b").where(_alike(F.col("a_n"), F.col("b_n"), F.col("a_repeats") | F.col("b_repeats"), least))
     return met.where(_agree("a_bands", "b_bands")).select("a", "b")
 
 
@@ -275,9 +278,13 @@ def components(edges: DataFrame) -> DataFrame:
             return stage(edges.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(own), "near-components")
 
 
-def _alike(n_a: Column, n_b: Column, least: float) -> Column:
-    """Sets whose sizes differ too much cannot reach the similarity (weighted sets may; they are kept by a wide margin)."""
-    return F.least(n_a, n_b) >= F.greatest(n_a, n_b) * (least * least)
+def _alike(n_a: Column, n_b: Column, repeats: Column, least: float) -> Column:
+    """Whether two sets can reach the similarity by their sizes.
+
+    Sizes bound only the similarity of sets, which is that of the weighted sets
+    as well if neither repeats a shingle. Other pairs all go to verification.
+    """
+    return repeats | (F.least(n_a, n_b) >= F.greatest(n_a, n_b) * (least - 1e-9))
 
 
 def near_groups(
@@ -302,7 +309,7 @@ def near_groups(
 def _grouped(docs: DataFrame, id_col: str, text_col: str, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``near_groups`` with the content key of every row; it is null for texts without words."""
     signed = stage(_signed(docs, id_col, text_col, bands, rows), "near-signed")
-    contents = signed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    contents = signed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("repeats").alias("repeats"), F.first("bands").alias("bands"))
     contents = stage(contents.withColumn("node", F.monotonically_increasing_id()), "near-contents")
     member = contents.select("node", F.explode("bands").alias("band"))
     buckets = member.groupBy("band").agg(F.min("node").alias("lead"), F.max("node").alias("last"), F.count(F.lit(1)).alias("size"))
@@ -316,7 +323,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, least: float = SIMILAR
     forest = components(links)
     # From here on members carry what comparing them in a bucket takes.
     sketch = F.transform("bands", lambda band: F.shiftright(band, 32).cast("int")).alias("sketch")
-    open_ = _unsettled(open_.select("node", "band"), forest).join(contents.select("node", "n", sketch), "node")
+    open_ = _unsettled(open_.select("node", "band"), forest).join(contents.select("node", "n", "repeats", sketch), "node")
     open_ = stage(open_, "near-members")
     leaders = 1
     while not open_.isEmpty():
@@ -343,10 +350,10 @@ def _unsettled(open_: DataFrame, forest: DataFrame) -> DataFrame:
 def _next(open_: DataFrame, leaders: int, least: float) -> tuple[DataFrame, DataFrame]:
     """Promising pairs of up to ``leaders`` members of each bucket with the others of other components, and who is left."""
     part = F.pmod(F.xxhash64("node"), F.lit(leaders))
-    lead = open_.groupBy("band", part.alias("part")).agg(F.min(F.struct("node", "n", "comp", "sketch")).alias("lead"))
-    lead = stage(lead.select(F.col("band").alias("l_band"), "lead.*").withColumnsRenamed({c: f"l_{c}" for c in ("node", "n", "comp", "sketch")}), "near-leaders")
+    lead = open_.groupBy("band", part.alias("part")).agg(F.min(F.struct("node", "n", "repeats", "comp", "sketch")).alias("lead"))
+    lead = stage(lead.select(F.col("band").alias("l_band"), "lead.*").withColumnsRenamed({c: f"l_{c}" for c in ("node", "n", "repeats", "comp", "sketch")}), "near-leaders")
     meet = (F.col("band") == F.col("l_band")) & (F.col("comp") != F.col("l_comp"))
-    joined = open_.join(lead, meet & _alike(F.col("n"), F.col("l_n"), least) & _agree("sketch", "l_sketch"))
+    joined = open_.join(lead, meet & _alike(F.col("n"), F.col("l_n"), F.col("repeats") | F.col("l_repeats"), least) & _agree("sketch", "l_sketch"))
     pairs = _ordered(joined.select(F.col("node").alias("x"), F.col("l_node").alias("y")))
     rest = open_.join(lead, (F.col("band") == F.col("l_band")) & (F.col("node") == F.col("l_node")), "left_anti")
     return pairs, stage(rest, "near-members")

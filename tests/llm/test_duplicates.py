@@ -122,6 +122,15 @@ def test_near_groups_link_equal_sets_of_repeated_passages(table):
     assert {r.doc_id: r.class_id for r in near_dedup.near_groups(table(rows)).collect()} == want
 
 
+def test_near_groups_link_weighted_sets_of_unlike_sizes(table):
+    """Nearly all weight lies on one repeated line: 20 and about 80 distinct shingles, probability Jaccard above 0.9."""
+    line = [f"l{k}" for k in range(20)]
+    rows = [(1, " ".join(line * 50)), (2, " ".join(line * 50 + [f"x{k}" for k in range(60)]))]
+    (a, x), (b, y) = (near_dedup.shingles(t) for _, t in rows)
+    assert len(a) < 0.64 * len(b) and near_dedup.probability_jaccard(a, x, b, y) >= 0.9
+    assert {r.class_id for r in near_dedup.near_groups(table(rows)).collect()} == {1}
+
+
 def test_near_groups_compares_whole_buckets(table):
     """One band of one row makes crowded buckets of unlike texts: leaders must reach every pair."""
     rng = random.Random(5)
