@@ -32,9 +32,9 @@ from locuspark.llm.common import arrow_batches, mix64, slices, stage, text_of
 from locuspark.llm.exact_dedup import _repeated, normalised, one_copy
 
 WORDS, SIMILARITY = 5, 0.8
-#: At similarity 0.8 a pair agrees in 10 bands on average, in none with probability 1.2e-5,
-#: in fewer than two with 1.7e-4 (at 0.85: 2e-7). Pairs are verified from two bands on.
-BANDS, ROWS, AGREE = 48, 7, 2
+#: At similarity 0.8 a pair agrees in 10 bands on average, in none with probability 1.2e-5.
+#: Every pair that agrees in one is verified, unless its sizes rule a link out.
+BANDS, ROWS = 48, 7
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -216,18 +216,12 @@ def _node_shingles(docs: DataFrame, contents: DataFrame, nodes: DataFrame, id_co
     return stage(found.dropDuplicates(["node"]), "near-shingles")
 
 
-def _promising(contents: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
-    """Pairs that agree in ``AGREE`` bands or more; chance meetings in a single band stop here."""
-    a = contents.select(F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("repeats").alias("a_repeats"), F.col("bands").alias("a_bands"))
-    b = contents.select(F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("repeats").alias("b_repeats"), F.col("bands").alias("b_bands"))
-    met = pairs.join(a, "a").join(b, "b").where(_alike(F.col("a_n"), F.col("b_n"), F.col("a_repeats") | F.col("b_repeats"), least))
-    return met.where(_agree("a_bands", "b_bands")).select("a", "b")
-
-
-def _agree(left: str, right: str) -> Column:
-    # With few bands, as chosen by a caller, one is all that can be asked for.
-    asked = F.when(F.size(left) >= BANDS, AGREE).otherwise(1)
-    return F.size(F.array_intersect(left, right)) >= asked
+def _possible(contents: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
+    """Pairs whose sizes allow a link."""
+    a = contents.select(F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("repeats").alias("a_repeats"))
+    b = contents.select(F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("repeats").alias("b_repeats"))
+    alike = _alike(F.col("a_n"), F.col("b_n"), F.col("a_repeats") | F.col("b_repeats"), least)
+    return pairs.join(a, "a").join(b, "b").where(alike).select("a", "b")
 
 
 def _links(sets: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
@@ -319,11 +313,10 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, least: float = SIMILAR
     two = buckets.where("size = 2").select(F.col("lead").alias("x"), F.col("last").alias("y"))
     found = stage(_ordered(two.unionByName(open_.select(F.col("lead").alias("x"), F.col("node").alias("y")))), "near-pairs")
     sets = _node_shingles(docs, contents, found.select(F.explode(F.array("a", "b")).alias("node")).distinct(), id_col, text_col)
-    links = _links(sets, _promising(contents, found, least), least)
+    links = _links(sets, _possible(contents, found, least), least)
     forest = components(links)
     # From here on members carry what comparing them in a bucket takes.
-    sketch = F.transform("bands", lambda band: F.shiftright(band, 32).cast("int")).alias("sketch")
-    open_ = _unsettled(open_.select("node", "band"), forest).join(contents.select("node", "n", "repeats", sketch), "node")
+    open_ = _unsettled(open_.select("node", "band"), forest).join(contents.select("node", "n", "repeats"), "node")
     open_ = stage(open_, "near-members")
     leaders = 1
     while not open_.isEmpty():
@@ -348,12 +341,12 @@ def _unsettled(open_: DataFrame, forest: DataFrame) -> DataFrame:
 
 
 def _next(open_: DataFrame, leaders: int, least: float) -> tuple[DataFrame, DataFrame]:
-    """Promising pairs of up to ``leaders`` members of each bucket with the others of other components, and who is left."""
+    """Possible pairs of up to ``leaders`` members of each bucket with the others of other components, and who is left."""
     part = F.pmod(F.xxhash64("node"), F.lit(leaders))
-    lead = open_.groupBy("band", part.alias("part")).agg(F.min(F.struct("node", "n", "repeats", "comp", "sketch")).alias("lead"))
-    lead = stage(lead.select(F.col("band").alias("l_band"), "lead.*").withColumnsRenamed({c: f"l_{c}" for c in ("node", "n", "repeats", "comp", "sketch")}), "near-leaders")
+    lead = open_.groupBy("band", part.alias("part")).agg(F.min(F.struct("node", "n", "repeats", "comp")).alias("lead"))
+    lead = stage(lead.select(F.col("band").alias("l_band"), "lead.*").withColumnsRenamed({c: f"l_{c}" for c in ("node", "n", "repeats", "comp")}), "near-leaders")
     meet = (F.col("band") == F.col("l_band")) & (F.col("comp") != F.col("l_comp"))
-    joined = open_.join(lead, meet & _alike(F.col("n"), F.col("l_n"), F.col("repeats") | F.col("l_repeats"), least) & _agree("sketch", "l_sketch"))
+    joined = open_.join(lead, meet & _alike(F.col("n"), F.col("l_n"), F.col("repeats") | F.col("l_repeats"), least))
     pairs = _ordered(joined.select(F.col("node").alias("x"), F.col("l_node").alias("y")))
     rest = open_.join(lead, (F.col("band") == F.col("l_band")) & (F.col("node") == F.col("l_node")), "left_anti")
     return pairs, stage(rest, "near-members")

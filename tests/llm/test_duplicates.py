@@ -131,6 +131,16 @@ def test_near_groups_link_weighted_sets_of_unlike_sizes(table):
     assert {r.class_id for r in near_dedup.near_groups(table(rows)).collect()} == {1}
 
 
+def test_near_groups_verify_pairs_that_share_one_band(table):
+    """This pair, of similarity 0.8, shares one of the 48 bands."""
+    words = [f"s1569w{k}" for k in range(49)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:44] + [f"s1569v{k}" for k in range(5)]))]
+    frame = table(rows)
+    signed = [set(r.bands) for r in near_dedup._signed(frame, "doc_id", "text", near_dedup.BANDS, near_dedup.ROWS).collect()]
+    assert len(signed[0] & signed[1]) == 1
+    assert {r.doc_id: r.class_id for r in near_dedup.near_groups(frame).collect()} == near_by_hand(rows) == {1: 1, 2: 1}
+
+
 def test_near_groups_compares_whole_buckets(table):
     """One band of one row makes crowded buckets of unlike texts: leaders must reach every pair."""
     rng = random.Random(5)
