@@ -48,7 +48,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("sequence_packing", sequence_packing),
 ]
 
-#: Languages, signatures, the flow and tokens are beyond SQL; tests compare each stage with brute force.
+#: Languages, signatures, the flow and tokens are beyond SQL; tests compare the first three stages with plain Python.
 ORACLE_SQL = None
 
 
