@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from locuspark.session import stage
 
-__all__ = ["add", "arrow_batches", "documents", "held_out", "mix64", "stage", "text_of"]
+__all__ = ["add", "arrow_batches", "documents", "held_out", "mix64", "stage", "staged_in_batches", "text_of"]
 
 #: Rows an Arrow batch may hold. Texts are long, and a batch is what a Python task has in memory at once.
 BATCH_ROWS = 1000
@@ -47,6 +47,17 @@ def arrow_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def staged_in_batches(df: DataFrame, label: str, rows: int) -> DataFrame:
+    """``stage`` with Arrow batches of at most ``rows`` rows; the session's own setting is put back."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(name)
+    conf.set(name, str(rows))
+    try:
+        return stage(df, label)
+    finally:
+        conf.set(name, before)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of one piece hold about ``most`` bytes, one row at least."""
     for batch in batches:
