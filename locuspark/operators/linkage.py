@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from locuspark.operators.blocks import block_offsets, block_of
 from locuspark.operators.genotype import MIN_AF
+from locuspark.session import stage
 
 SNAP = 1e-9
 
@@ -207,56 +208,14 @@ def ld_pairs(genotypes: DataFrame, window: int = 50, block: int = 512) -> DataFr
     return pairs.withColumn("r2", F.when(~F.isnan("r2"), F.col("r2")))
 
 
-def _segments(edges: DataFrame) -> DataFrame:
-    """Number runs of overlapping edges, so that no edge joins two segments.
-
-    An edge opens a segment when every earlier edge ends before it starts. The
-    running maximum is local to blocks of markers; one summary row per block
-    carries it on.
-    """
-    width = 4096
-    keys = ["marker_set_id", "CHROM"]
-    blocked = edges.withColumn("_blk", F.floor(F.col("i") / width))
-    local = Window.partitionBy(*keys, "_blk").orderBy("i", "j")
-    before = local.rowsBetween(Window.unboundedPreceding, -1)
-    chrom = Window.partitionBy(*keys).orderBy("_blk")
-    reach = blocked.groupBy(*keys, "_blk").agg(F.max("j").alias("_reach"))
-    carried = reach.select(
-        *keys,
-        "_blk",
-        F.max("_reach").over(chrom.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"),
-    )
-    opened = blocked.join(carried, [*keys, "_blk"]).withColumn(
-        "_opens",
-        F.when(
-            F.coalesce(F.greatest("_carried", F.max("j").over(before)), F.lit(-1)) < F.col("i"), 1
-        ).otherwise(0),
-    )
-    totals = opened.groupBy(*keys, "_blk").agg(F.sum("_opens").alias("_n"))
-    starts = totals.select(
-        *keys,
-        "_blk",
-        F.coalesce(
-            F.sum("_n").over(chrom.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_start"),
-    )
-    upto = local.rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        opened.join(starts, [*keys, "_blk"])
-        .withColumn("segment", F.col("_start") + F.sum("_opens").over(upto))
-        .drop("_blk", "_carried", "_opens", "_start")
-    )
-
-
-def ld_prune(
+def ld_edges(
     pairs: DataFrame, frequencies: DataFrame, r2: float, window: int = 50, step: int = 10
 ) -> DataFrame:
-    """Markers to remove: marker_set_id, CHROM, POS.
+    """Linked pairs in the order in which they are looked at: marker_set_id, CHROM, at, i, j, loser, winner, pos.
 
-    Windows of ``window`` markers advance by ``step``; in each, the rarer marker
-    of a still complete pair above ``r2`` goes (the later one when equal). The
-    outcome depends on order only within a run of overlapping pairs, so each
-    run is a group of its own.
+    Windows of ``window`` markers advance by ``step``; a pair is looked at in the
+    first window that holds both. ``loser`` is the marker that goes if both are
+    there, the rarer one or else the later one, and ``pos`` its position.
     """
     maf = frequencies.select(
         "marker_set_id",
@@ -271,28 +230,59 @@ def ld_prune(
             maf.withColumnsRenamed({"POS": f"pos_{side}", "maf": f"maf_{side}"}),
             ["marker_set_id", "CHROM", f"pos_{side}"],
         )
-    # The first window that holds both markers.
     entered = F.greatest(F.ceil((F.col("j") - (window - 1)) / step), F.lit(0))
-    edges = _segments(edges.withColumn("entered", entered))
-
-    def greedy(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["entered", "i", "j"])
-        gone: dict[int, int] = {}
-        for e in rows.itertuples():
-            if e.i in gone or e.j in gone:
-                continue
-            if e.maf_a < e.maf_b:
-                gone[e.i] = e.pos_a
-            else:
-                gone[e.j] = e.pos_b
-        return pd.DataFrame(
-            {
-                "marker_set_id": rows["marker_set_id"].iloc[0],
-                "CHROM": rows["CHROM"].iloc[0],
-                "POS": list(gone.values()),
-            }
-        )
-
-    return edges.groupBy("marker_set_id", "CHROM", "segment").applyInPandas(
-        greedy, "marker_set_id string, CHROM string, POS int"
+    first_goes = F.col("maf_a") < F.col("maf_b")
+    return edges.select(
+        "marker_set_id",
+        "CHROM",
+        F.struct(entered.alias("entered"), "i", "j").alias("at"),
+        F.when(first_goes, F.col("i")).otherwise(F.col("j")).alias("loser"),
+        F.when(first_goes, F.col("j")).otherwise(F.col("i")).alias("winner"),
+        F.when(first_goes, F.col("pos_a")).otherwise(F.col("pos_b")).alias("pos"),
     )
+
+
+def eliminate(edges: DataFrame) -> DataFrame:
+    """Markers that go when edges are taken in order and each complete one loses its loser.
+
+    Taken one after the other, an edge counts if neither of its markers went
+    before. Whether they did depends only on earlier edges whose loser is one of
+    the two. So in every round all edges without such an open edge are settled at
+    once: they count, and every later edge of their losers is void. A marker has
+    at most as many edges as a window has pairs with it, whatever the chromosome's
+    length, so no key of these joins is large. Open edges and markers gone are
+    written after every round; the rounds end when no edge is open.
+    """
+    keys = ["marker_set_id", "CHROM"]
+    open_ = stage(edges, "linked")
+    gone: DataFrame | None = None
+    while not open_.isEmpty():
+        first = open_.groupBy(*keys, F.col("loser").alias("marker")).agg(F.min("at").alias("first"))
+        placed = open_
+        for side in ("loser", "winner"):
+            own = first.withColumnsRenamed({"marker": side, "first": f"{side}_first"})
+            placed = placed.join(own, [*keys, side], "left")
+        threat = F.col("winner_first").isNull() | (F.col("at") < F.col("winner_first"))
+        placed = stage(placed.withColumn("counts", (F.col("at") == F.col("loser_first")) & threat), "settled")
+        new = placed.where("counts").select(*keys, F.col("loser").alias("marker"), F.col("at").alias("since"), "pos")
+        rest = placed.where("not counts")
+        for side in ("loser", "winner"):
+            since = new.select(*keys, F.col("marker").alias(side), F.col("since").alias(f"{side}_gone"))
+            rest = rest.join(since, [*keys, side], "left")
+            rest = rest.where(F.col(f"{side}_gone").isNull() | (F.col("at") < F.col(f"{side}_gone")))
+        open_ = stage(rest.select(*edges.columns), "linked")
+        gone = new if gone is None else gone.unionByName(new)
+    if gone is None:
+        gone = open_.select(*keys, "pos")
+    return gone.select(*keys, F.col("pos").alias("POS"))
+
+
+def ld_prune(
+    pairs: DataFrame, frequencies: DataFrame, r2: float, window: int = 50, step: int = 10
+) -> DataFrame:
+    """Markers to remove: marker_set_id, CHROM, POS.
+
+    Windows of ``window`` markers advance by ``step``; in each, the rarer marker
+    of a still complete pair above ``r2`` goes (the later one when equal).
+    """
+    return eliminate(ld_edges(pairs, frequencies, r2, window, step))

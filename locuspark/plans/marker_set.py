@@ -33,16 +33,14 @@ def build_marker_set(
         ),
         "calls",
     )
-    passed = G.variant_qc(calls, maf)
-    typed = (
-        G.keep_markers(calls, passed)
-        .select("CHROM", "POS", "strain", recode_gt(F.col("gt")).alias("allele"))
-        .withColumn("marker_set_id", F.lit(marker_set_id))
-    )
-    genotypes = stage(typed, "typed")
-    pairs = linkage.ld_pairs(genotypes)
-    removed = linkage.ld_prune(pairs, G.allele_frequency(genotypes, low=None), ld)
-    kept = genotypes.join(removed, ["marker_set_id", "CHROM", "POS"], "left_anti")
+    passed = stage(G.variant_qc(calls, maf), "passed")
+    good = G.keep_markers(calls, passed).withColumn("marker_set_id", F.lit(marker_set_id))
+    # Linkage is that of the called genotypes, heterozygous ones included; codes come after pruning.
+    dosages = good.select("marker_set_id", "CHROM", "POS", "strain", G.alt_dosage(F.col("gt")).alias("allele"))
+    frequencies = passed.select(F.lit(marker_set_id).alias("marker_set_id"), "CHROM", "POS", F.col("maf").alias("af"))
+    removed = linkage.ld_prune(linkage.ld_pairs(dosages), frequencies, ld)
+    kept = good.join(removed, ["marker_set_id", "CHROM", "POS"], "left_anti")
+    kept = stage(kept.withColumn("allele", recode_gt(F.col("gt"))), "typed")
     markers = (
         passed.join(kept.select("CHROM", "POS").distinct(), ["CHROM", "POS"], "left_semi")
         .withColumns(

@@ -323,6 +323,8 @@ def with_tables(body: str, dialect: str = "duckdb") -> str:
     if not parts:
         return body
     body = body.strip()
+    if body.lower().startswith("with recursive "):
+        return "with recursive " + ",\n".join(parts) + ",\n" + body[15:]
     if body.lower().startswith("with "):
         return "with " + ",\n".join(parts) + ",\n" + body[5:]
     return "with " + ",\n".join(parts) + "\n" + body

@@ -161,7 +161,45 @@ def _(d):
     return rounded(linkage.ld_pairs(d.genotypes).drop("i", "j"))
 
 
-@query("agg15_ld_prune")
+def _prune_sql(typed: str, limit: float) -> str:
+    """CTEs up to ``gone`` (CHROM, POS): greedy elimination over typed(CHROM, POS, strain, x, maf), x known everywhere."""
+    return f"""k as ({typed}),
+        o as (select CHROM, POS, maf, row_number() over (partition by CHROM order by POS) - 1 as i
+              from (select distinct CHROM, POS, maf from k) z),
+        g as (select o.*, k.strain, k.x from o join k on k.CHROM = o.CHROM and k.POS = o.POS),
+        s as (select a.CHROM, a.i, b.i as j, a.POS as pa, b.POS as pb, a.maf as ma, b.maf as mb, count(*) as n,
+                     sum(a.x) as sa, sum(b.x) as sb, sum(a.x * a.x) as saa, sum(b.x * b.x) as sbb, sum(a.x * b.x) as sab
+              from g a join g b on b.CHROM = a.CHROM and b.strain = a.strain and b.i > a.i and b.i < (a.i // 10) * 10 + 50
+              group by all),
+        e as materialized (
+              select CHROM, case when ma < mb then i else j end as l, case when ma < mb then j else i end as w,
+                     case when ma < mb then pa else pb end as POS,
+                     (greatest(ceil((j - 49) / 10.0), 0) * 1000000000 + i) * 1000 + (j - i) as t
+              from s where (n * saa - sa * sa) * (n * sbb - sb * sb) > 0
+                and (n * sab - sa * sb) * (n * sab - sa * sb) / ((n * saa - sa * sa) * (n * sbb - sb * sb)) > {limit}),
+        r as (select *, false as fired from e
+              union all
+              (with f as (select CHROM, l, min(t) as t from r where not fired group by CHROM, l),
+                    x as (select r.CHROM, r.l, r.w, r.POS, r.t, r.t = a.t and (b.t is null or r.t < b.t) as fired
+                          from r join f a on a.CHROM = r.CHROM and a.l = r.l left join f b on b.CHROM = r.CHROM and b.l = r.w
+                          where not r.fired)
+               select x.CHROM, x.l, x.w, x.POS, x.t, x.fired from x
+               left join x c on c.fired and c.CHROM = x.CHROM and c.l = x.l left join x d on d.fired and d.CHROM = x.CHROM and d.l = x.w
+               where x.fired or ((c.t is null or x.t < c.t) and (d.t is null or x.t < d.t)))),
+        gone as (select CHROM, POS from r where fired)"""
+
+
+_DENSE = """select v.CHROM, v.POS, n.n_nationkey as strain, case when c.code between 6 and 10 then 1.0 else -1.0 end::double as x,
+     least(avg(case when c.code between 6 and 10 then 1.0 else 0.0 end) over (partition by v.pk),
+           1 - avg(case when c.code between 6 and 10 then 1.0 else 0.0 end) over (partition by v.pk)) as maf
+   from d_variants v join (select distinct pk from d_calls) y on y.pk = v.pk
+   cross join nation n left join d_calls c on c.pk = v.pk and c.nk = n.n_nationkey"""
+
+
+@query(
+    "agg15_ld_prune",
+    f"with recursive {_prune_sql(_DENSE, 0.5)} select 'dense' as marker_set_id, CHROM, POS from gone",
+)
 def _(d):
     genotypes = dense(d)
     return linkage.ld_prune(
@@ -169,7 +207,24 @@ def _(d):
     )
 
 
-@query("pip12_marker_set_build")
+# Five strains, called everywhere; the order of contigs in the header gives the chromosome numbers.
+_BUILD = """select case v.CHROM when 'I' then '1' when 'II' then '2' when 'III' then '3' when 'IV' then '4' when 'V' then '5' else '6' end as CHROM,
+     v.POS, strain, x, least(f, 1 - f) as maf
+   from (select v.CHROM, v.POS, concat('S', n.n_nationkey) as strain,
+                case when c.code < 6 then 0.0 when c.code < 11 then 2.0 when c.code = 11 then 1.0 end::double as x,
+                avg(case when c.code < 6 then 0.0 when c.code < 11 then 2.0 when c.code = 11 then 1.0 end) over (partition by v.pk) / 2 as f,
+                count(*) filter (c.code is null or c.code > 11) over (partition by v.pk) as holes
+         from d_variants v join nation n on n.n_regionkey = 0 left join d_calls c on c.pk = v.pk and c.nk = n.n_nationkey
+         where v.CHROM <> 'MtDNA' and length(v.REF) = 1 and length(v.ALT) = 1 and v.ALT not in ('.', '*')) v
+   where holes = 0 and least(f, 1 - f) >= 0.05"""
+
+
+@query(
+    "pip12_marker_set_build",
+    f"""with recursive {_prune_sql(_BUILD, 0.8)} select 'built' as marker_set_id, k.CHROM, k.POS, k.strain,
+          case k.x when 0 then -1.0 when 2 then 1.0 end::double as allele
+        from k where not exists (select 1 from gone where gone.CHROM = k.CHROM and gone.POS = k.POS)""",
+)
 def _(d):
     samples = d.source("nation").where("n_regionkey = 0").select(
         F.concat(F.lit("S"), "n_nationkey").alias("strain")

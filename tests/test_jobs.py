@@ -156,10 +156,11 @@ def test_pairwise_r2_matches_a_plain_loop(spark):
             assert p.r2 == pytest.approx(want[p.i, p.j], abs=1e-12)
 
 
-def prune_by_hand(m, limit, window, step):
+def prune_by_hand(m, limit, window, step, maf=None):
     """Windows one after the other over the whole chromosome."""
-    af = (m == 1).mean(axis=1)
-    maf = np.minimum(af, 1 - af)
+    if maf is None:
+        af = (m == 1).mean(axis=1)
+        maf = np.minimum(af, 1 - af)
     gone = set()
     start = 0
     while start < len(m):
@@ -187,6 +188,35 @@ def test_pruning_matches_a_plain_loop(spark, seed):
     assert set(got) == prune_by_hand(m, 0.6, 10, 3)
 
 
+def test_elimination_along_an_unbroken_run(spark):
+    """A chromosome-long run of equal markers and chains, where each removal depends on the one before."""
+    rng = np.random.default_rng(7)
+    m = np.repeat(rng.choice([-1.0, 1.0], (6, 12)), 40, axis=0)
+    m[::7, 3] *= -1
+    frame = genotype_frame(spark, m)
+    removed = linkage.ld_prune(linkage.ld_pairs(frame, window=10, block=16), genotype.allele_frequency(frame, low=None), 0.5, 10, 3)
+    got = [r["POS"] for r in removed.collect()]
+    assert len(got) == len(set(got)) and set(got) == prune_by_hand(m, 0.5, 10, 3)
+    assert linkage.eliminate(linkage.ld_edges(linkage.ld_pairs(frame.limit(0)), genotype.allele_frequency(frame, low=None), 0.5)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_elimination_of_any_ordered_edges(spark, seed):
+    rng = random.Random(seed)
+    edges = []
+    for c in ("1", "2"):
+        for t in rng.sample(range(10_000), 120):
+            a, b = rng.sample(range(30), 2)
+            edges.append(("s", c, (t, 0, 0), a, b, a * 10))
+    schema = "marker_set_id string, CHROM string, at struct<entered:long,i:long,j:long>, loser long, winner long, pos int"
+    got = {(r.CHROM, r.POS) for r in linkage.eliminate(spark.createDataFrame(edges, schema)).collect()}
+    gone = set()
+    for _, c, _, a, b, _ in sorted(edges, key=lambda e: e[2]):
+        if (c, a * 10) not in gone and (c, b * 10) not in gone:
+            gone.add((c, a * 10))
+    assert got == gone
+
+
 def test_independent_tests_match_the_full_correlation_matrix(spark):
     m = random_matrix(5, 30, 11, copy=0.3)
     m[3, 2] = np.nan
@@ -380,6 +410,8 @@ def test_marker_set_build_matches_a_plain_loop(spark, tmp_path):
         previous = list(gts)
         if i % 7 == 0:
             gts[rng.randrange(9)] = "./."
+        elif i % 3 == 0:
+            gts[rng.randrange(8)] = "0/1"
         ref, alt = ("AT" if i % 11 == 0 else "A"), ("G,T" if i % 17 == 0 else "G")
         calls[chrom, pos] = (ref, alt, gts)
         lines.append("\t".join([chrom, str(pos), ".", ref, alt, ".", "PASS", ".", "GT", *gts]))
@@ -391,15 +423,17 @@ def test_marker_set_build_matches_a_plain_loop(spark, tmp_path):
     good = []
     for (chrom, pos), (ref, alt, gts) in calls.items():
         mine = gts[:8]
-        freq = sum(g == "1|1" for g in mine) / 8
+        dosage = [{"0/0": 0.0, "0/1": 1.0, "1|1": 2.0}.get(g) for g in mine]
+        freq = sum(x or 0 for x in dosage) / 16
         if chrom == "II" and ref == "A" and alt == "G" and "./." not in mine and min(freq, 1 - freq) >= 0.2:
-            good.append((pos, [1.0 if g == "1|1" else -1.0 for g in mine]))
+            good.append((pos, dosage))
     matrix = np.array([g for _p, g in good])
-    pruned = {good[p // 10 - 1][0] for p in prune_by_hand(matrix, 0.6, 50, 10)}
+    pruned = {good[p // 10 - 1][0] for p in prune_by_hand(matrix, 0.6, 50, 10, maf=[min(sum(g), 16 - sum(g)) for _p, g in good])}
     samples = spark.createDataFrame([(n,) for n in kept], "strain string")
     for limit, gone in ((1.0, set()), (0.6, pruned)):
         markers, genotypes = build_marker_set(spark, str(path), samples, "set", 0.2, limit)
-        want = {("2", p, n): a for p, line in good if p not in gone for n, a in zip(kept, line)}
+        code = {0.0: -1.0, 1.0: None, 2.0: 1.0}
+        want = {("2", p, n): code[a] for p, line in good if p not in gone for n, a in zip(kept, line)}
         assert {(r.CHROM, r.POS, r.strain): r.allele for r in genotypes.collect()} == want
         assert {r.marker for r in markers.collect()} == {f"2:{p}" for p, _l in good if p not in gone}
     assert pruned and len(pruned) < len(good)
