@@ -267,7 +267,6 @@ def mine(
     flat = F.flatten(F.transform("w", lambda w: F.array(w["lo"], w["hi"])))
     asking = asking.join(bounds, asking["vec_id"] == bounds["anchor_id"]).select("vec_id", "label", "v", flat.alias("windows"))
     found = _search(_blocks(asking, dims, anchor_block, 2 * positives, lists=False), candidates, False, negatives, 2 * positives, "negatives-found")
-    found = found.join(first, ["anchor_id", "window"])
     best = Window.partitionBy("anchor_id", "window").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= negatives)
-    return ranked.select("anchor_id", "positive_id", "rank", F.col("vec_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))
+    return ranked.join(first, ["anchor_id", "window"]).select("anchor_id", "positive_id", "rank", F.col("vec_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))
