@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from locuspark.session import stage
+
 # Process phases and the processes reported by panel size.
 PHASES = {
     "1_PrepMarkers": (
@@ -46,8 +49,8 @@ PANEL_PROCESSES = (
     "GCTA_MAKE_GRM",
     "GCTA_PERFORM_GWA",
 )
-# Groups up to this size are ranked whole; larger ones are bracketed first.
-RANK_WHOLE = 100_000
+# Parts into which a round of the rank search cuts every bracket.
+PARTS = 4096
 
 
 def join_workdir(tasks: DataFrame, usage: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -114,83 +117,74 @@ def derive_workdir_fields(metrics: DataFrame) -> DataFrame:
     )
 
 
-def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, quantiles: Sequence[float]
-) -> DataFrame:
-    """Interpolated quantiles per group without sorting a whole group in one task.
+def _part(value: Column, low: Column, high: Column, scaled: bool) -> Column:
+    """The part of a bracket a value falls into, in the order of the values.
 
-    A sketch first brackets each wanted rank (its rank error is bounded by the
-    accuracy), then exact counts are taken outside the bracket and only values
-    inside it are ranked, after equal values have been merged. The result is
-    the exact linear-interpolation quantile.
+    The first round goes by sign and binary exponent, so that values of any
+    scale are told apart; later ones cut the bracket into equal widths.
     """
-    accuracy = 10_000
-    slack = 2.0 / accuracy
-    rows = df.where(F.col(value).isNotNull())
-    probes = []
-    for q in quantiles:
-        probes += [max(q - slack, 0.0), min(q + slack, 1.0)]
-    sketch = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx(value, [float(p) for p in probes], accuracy).alias("_probe"),
-        F.min(value).alias("_min"),
-        F.max(value).alias("_max"),
-    )
-    brackets = sketch.select(
-        *keys,
-        "_n",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("i"),
-                        (F.lit(float(q)) * (F.col("_n") - 1)).alias("rank"),
-                        F.when((F.col("_n") <= RANK_WHOLE) | F.lit(q - slack <= 0), F.col("_min"))
-                        .otherwise(F.col("_probe")[2 * i])
-                        .alias("lo"),
-                        F.when((F.col("_n") <= RANK_WHOLE) | F.lit(q + slack >= 1), F.col("_max"))
-                        .otherwise(F.col("_probe")[2 * i + 1])
-                        .alias("hi"),
-                    )
-                    for i, q in enumerate(quantiles)
-                ]
-            )
-        ).alias("_b"),
-    ).select(*keys, "_b.*")
+    if not scaled:
+        size = F.floor(F.log2(F.abs(value))).cast("long") + 1100
+        return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0).cast("long"))
+    # Halves keep the width finite between the largest numbers of both signs.
+    share = (value / 2 - low / 2) / (high / 2 - low / 2)
+    return F.when(low == high, F.lit(0).cast("long")).otherwise(F.least(F.floor(share * PARTS), F.lit(PARTS - 1).cast("long")))
 
-    placed = rows.select(*keys, F.col(value).alias("_v")).join(brackets, list(keys))
-    below = placed.groupBy(*keys, "i").agg(
-        F.count(F.when(F.col("_v") < F.col("lo"), 1)).alias("_below")
-    )
-    # Only values inside the bracket are shuffled, equal ones as one row.
-    inside = (
-        placed.where((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
-        .groupBy(*keys, "i", "_v")
-        .agg(F.count(F.lit(1)).alias("_c"), F.first("rank").alias("rank"))
-    )
-    upto = (
-        Window.partitionBy(*keys, "i")
-        .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    ranked = inside.withColumn("_upto", F.sum("_c").over(upto)).join(below, [*keys, "i"])
-    last = F.col("_below") + F.col("_upto") - 1
-    first = last - F.col("_c") + 1
-    low, high = F.floor("rank"), F.ceil("rank")
-    picked = ranked.groupBy(*keys, "i").agg(
-        F.first("rank").alias("rank"),
-        F.max(F.when((first <= low) & (low <= last), F.col("_v"))).alias("_lo"),
-        F.max(F.when((first <= high) & (high <= last), F.col("_v"))).alias("_hi"),
-    )
-    part = F.col("rank") - F.floor("rank")
-    return picked.groupBy(*keys).agg(
-        *[
-            F.max(
-                F.when(F.col("i") == i, F.col("_lo") + (F.col("_hi") - F.col("_lo")) * part)
-            ).alias(f"{value}_q{i}")
-            for i, _q in enumerate(quantiles)
-        ]
-    )
+
+def exact_quantiles(
+    df: DataFrame, keys: Sequence[str], wanted: dict[str, Sequence[float]]
+) -> DataFrame:
+    """Interpolated quantiles of several columns per group: keys and ``<column>_q<i>``.
+
+    A search for ranks, digit by digit: equal values are merged, and every rank
+    next to a wanted quantile has a bracket that starts as the whole column. A
+    round counts the values of each part of every bracket and keeps the part that
+    holds the rank, shrunk to its smallest and largest value, until all brackets
+    are single values. What a round shuffles is counts, at most ``PARTS`` for a
+    rank and task; no group is sorted or gathered, whatever its size. Nulls and
+    NaN do not count; a group without values has null quantiles.
+    """
+    merged: DataFrame | None = None
+    for column in wanted:
+        value = F.col(column).cast("double")
+        one = df.where(value.isNotNull() & ~F.isnan(value)).groupBy(*keys, F.lit(column).alias("_c"), value.alias("_v")).agg(F.count(F.lit(1)).alias("_k"))
+        merged = one if merged is None else merged.unionByName(one)
+    merged = stage(merged, "merged-values")
+    whole = merged.groupBy(*keys, "_c").agg(F.sum("_k").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    ranks = None
+    for column, quantiles in wanted.items():
+        at = [F.lit(float(q)) * (F.col("_n") - 1) for q in quantiles]
+        own = F.array_distinct(F.array(*[end(r).cast("long") for r in at for end in (F.floor, F.ceil)]))
+        ranks = F.when(F.col("_c") == column, own) if ranks is None else ranks.when(F.col("_c") == column, own)
+    open_ = whole.select(*keys, "_c", F.explode(ranks).alias("_rank"), F.lit(0).cast("long").alias("_below"), "_lo", "_hi")
+    open_ = stage(open_, "rank-brackets")
+    found = open_.where("_lo = _hi")
+    scaled = False
+    while not (open_ := open_.where("_lo < _hi")).isEmpty():
+        meet = [merged[k].eqNullSafe(open_[k]) for k in (*keys, "_c")]
+        rows = merged.join(open_.select(*keys, "_c", "_rank", "_below", "_lo", "_hi"), _all(meet) & merged["_v"].between(open_["_lo"], open_["_hi"]))
+        rows = rows.select(*[open_[k] for k in (*keys, "_c")], "_rank", "_below", "_v", "_k", _part(F.col("_v"), F.col("_lo"), F.col("_hi"), scaled).alias("_p"))
+        target = [*keys, "_c", "_rank", "_below"]
+        parts = rows.groupBy(*target, "_p").agg(F.sum("_k").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        upto = Window.partitionBy(*target).orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
+        placed = parts.withColumn("_end", F.col("_below") + F.sum("_n").over(upto))
+        held = placed.where((F.col("_rank") < F.col("_end")) & (F.col("_rank") >= F.col("_end") - F.col("_n")))
+        open_ = stage(held.select(*keys, "_c", "_rank", (F.col("_end") - F.col("_n")).alias("_below"), "_lo", "_hi"), "rank-brackets")
+        found = found.unionByName(open_.where("_lo = _hi"))
+        scaled = True
+    values = whole.join(found.select(*[F.col(k).alias(f"_f{k}") for k in (*keys, "_c")], "_rank", F.col("_lo").alias("_x")), _all([F.col(k).eqNullSafe(F.col(f"_f{k}")) for k in (*keys, "_c")]))
+    out = []
+    for column, quantiles in wanted.items():
+        for i, q in enumerate(quantiles):
+            rank = F.lit(float(q)) * (F.col("_n") - 1)
+            low, high = [F.max(F.when((F.col("_c") == column) & (F.col("_rank") == end(rank)), F.col("_x"))) for end in (F.floor, F.ceil)]
+            rest = F.max(F.when(F.col("_c") == column, rank - F.floor(rank)))
+            out.append((low + (high - low) * rest).alias(f"{column}_q{i}"))
+    return values.groupBy(*keys).agg(*out)
+
+
+def _all(conditions: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conditions)
 
 
 def most_frequent(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
@@ -205,16 +199,15 @@ def most_frequent(df: DataFrame, keys: Sequence[str], value: str, name: str) ->
 def process_stats(derived: DataFrame) -> DataFrame:
     """Sizes per process and phase."""
     keys = ["process", "phase"]
+    derived = stage(derived.select(*keys, "total_gb", "symlink_frac", "largest_ext"), "derived")
     totals = derived.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_tasks"),
         F.avg("total_gb").alias("mean_gb"),
         F.sum("total_gb").alias("total_gb_sum"),
     )
-    sizes = exact_quantiles(derived, keys, "total_gb", (0.5, 0.95))
-    links = exact_quantiles(derived, keys, "symlink_frac", (0.5,))
+    ranks = exact_quantiles(derived, keys, {"total_gb": (0.5, 0.95), "symlink_frac": (0.5,)})
     return (
-        totals.join(sizes, keys)
-        .join(links, keys)
+        totals.join(ranks, keys)
         .join(most_frequent(derived, keys, "largest_ext", "top_ext"), keys)
         .withColumnsRenamed(
             {
@@ -235,7 +228,7 @@ def panel_stats(derived: DataFrame, processes: Sequence[str] = PANEL_PROCESSES)
         F.avg("total_gb").alias("mean_gb"),
         F.sum("total_gb").alias("total_gb"),
     )
-    sizes = exact_quantiles(rows, keys, "total_gb", (0.5, 0.95))
+    sizes = exact_quantiles(rows, keys, {"total_gb": (0.5, 0.95)})
     return totals.join(sizes, keys).withColumnsRenamed(
         {"total_gb_q0": "median_gb", "total_gb_q1": "p95_gb"}
     )
@@ -244,10 +237,10 @@ def panel_stats(derived: DataFrame, processes: Sequence[str] = PANEL_PROCESSES)
 def top_processes(stats: DataFrame, k: int = 10, total: str = "total_gb_sum") -> DataFrame:
     """The k largest processes, ties at the border kept.
 
-    Only the k-th value is looked up (a bounded top-k), then compared.
+    The k-th value is a scalar subquery (a bounded top-k) that the scan is filtered by.
     """
-    border = stats.select(total).orderBy(F.desc(total)).limit(k).agg(F.min(total).alias("_border"))
-    return stats.join(border, stats[total] >= border["_border"]).drop("_border")
+    border = stats.select(total).orderBy(F.desc(total)).limit(k).agg(F.min(total))
+    return stats.where(F.col(total) >= border.scalar())
 
 
 def lump_other(df: DataFrame, column: str, k: int = 10, n: str = "n") -> DataFrame:

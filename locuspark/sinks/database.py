@@ -17,7 +17,6 @@ from locuspark.sources.catalog import (
     stored_schema,
     table_path,
 )
-from locuspark.session import stage
 
 # Row order inside the files, for tight column statistics.
 CLUSTERING = {
@@ -67,22 +66,6 @@ def write_mappings(df: DataFrame, base: str, order: Sequence[Column | str] = ())
     write_table(_one_per_marker(df, order), base, "mappings")
 
 
-def upsert_mappings(df: DataFrame, base: str, order: Sequence[Column | str] = ()) -> None:
-    """Add markers to stored mappings; a marker that is there already gets the new values.
-
-    The touched mappings are staged with their stored rows first, since a
-    partition cannot be read while it is replaced.
-    """
-    new = _one_per_marker(df, order)
-    stored = read_table(df.sparkSession, base, "mappings")
-    if stored is not None:
-        new = stage(new, "arriving-mappings")
-        touched = new.select("population", "mapping_id").distinct()
-        old = stored.join(touched, ["population", "mapping_id"], "left_semi").join(new.select(*MAPPING_KEY), list(MAPPING_KEY), "left_anti")
-        new = stage(conform(new, TABLES["mappings"]).select(*old.columns).unionByName(old), "merged-mappings")
-    write_table(new, base, "mappings")
-
-
 def write_sidecars(df: DataFrame, base: str) -> None:
     """One metadata row per mapping, replaced with its mapping."""
     write_table(df, base, "metadata")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from locuspark.functions.scores import split_marker
 from locuspark.operators.genotype import melt_genotypes
-from locuspark.sources.results import number
+from locuspark.sources.lines import number
 
 
 def read_causal_genotypes_tsv(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from locuspark.functions.names import parse_eigen_name
 from locuspark.operators.sets import missing_columns
 from locuspark.schemas import REPLAY_MANIFEST
-from locuspark.sources.results import number
+from locuspark.sources.lines import number
 
 # Fixed value: the manifest columns a replay cannot do without.
 MANIFEST_REQUIRED = ("session", "species", "group", "nqtl", "effect", "h2", "rep")

@@ -6,80 +6,61 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locuspark.functions.scores import make_marker, split_marker
-from locuspark.session import qualified_uri
-from locuspark.sources.results import number, words
+from locuspark.session import path_exists
+from locuspark.sources.lines import Lines, number, read_lines
 
-# File signature and two-bit codes (low bit first) of binary genotypes.
+# File signature, and the codes of two bits (low bit first):
+# homozygous first allele, missing, heterozygous, homozygous second allele.
 BED_MAGIC = b"\x6c\x1b\x01"
-HOM_A1, MISSING, HET, HOM_A2 = 0, 1, 2, 3
-
-
-def _fields(spark: SparkSession, path: str, names: list[str], numbered: bool = False) -> DataFrame:
-    lines = spark.read.text(path)
-    if numbered:
-        lines = with_line_number(lines)
-    rows = lines.select(
-        words(F.col("value")).alias("_w"), *([F.col("line")] if numbered else [])
-    ).where(F.size("_w") >= len(names))
-    return rows.select(
-        *[F.try_element_at(F.col("_w"), F.lit(i + 1)).alias(n) for i, n in enumerate(names)],
-        *(["line"] if numbered else []),
-    )
+ALLELES = (-1.0, None, None, 1.0)
+# The fields of the four text formats.
+BIM = "CHROM snp cm POS A1 A2".split()
+FAM = "fid iid pid mid sex pheno".split()
+PHEN = "fid iid value".split()
+PAR = "QTL RefAllele Frequency Effect".split()
 
 
-def with_line_number(lines: DataFrame) -> DataFrame:
-    """Line numbers from 0: rows before each input split plus the row's place in it."""
-    placed = lines.withColumns(
-        {
-            "_split": F.spark_partition_id(),
-            "_place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)),
-        }
-    )
-    counts = placed.groupBy("_split").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per input split.
-    earlier = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_split", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    return (
-        placed.join(starts, "_split")
-        .withColumn("line", F.col("_start") + F.col("_place"))
-        .drop("_split", "_place", "_start")
-    )
+def bim_lines(spark: SparkSession, path: str, only: str | None = None) -> Lines:
+    return read_lines(spark, path, BIM, whole=("POS",), only=only)
+
+
+def fam_lines(spark: SparkSession, path: str, only: str | None = None) -> Lines:
+    return read_lines(spark, path, FAM, numbers=("pheno",), only=only)
+
+
+def phen_lines(spark: SparkSession, path: str) -> Lines:
+    return read_lines(spark, path, PHEN, numbers=("value",))
+
 
+def par_lines(spark: SparkSession, path: str) -> Lines:
+    return read_lines(spark, path, PAR, numbers=("Frequency", "Effect"), header=("QTL", "QTL"))
 
-def read_bim(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
+
+def read_bim(spark: SparkSession, path: str, bad: str = "fail") -> DataFrame:
     """Marker list; the marker is always CHROM:POS, whatever id the file carries."""
-    raw = _fields(spark, path, ["CHROM", "snp", "cm", "POS", "A1", "A2"], numbered)
-    typed = raw.withColumn("POS", F.col("POS").try_cast("int"))
-    return typed.select(
-        make_marker(F.col("CHROM"), F.col("POS")).alias("marker"),
-        "CHROM",
-        "POS",
-        "A1",
-        "A2",
-        *(["snp", "line"] if numbered else []),
-    )
+    typed = bim_lines(spark, path).rows(bad).withColumn("POS", F.col("POS").try_cast("int"))
+    return typed.select(make_marker(F.col("CHROM"), F.col("POS")).alias("marker"), "CHROM", "POS", "A1", "A2")
 
 
-def read_fam(spark: SparkSession, path: str) -> DataFrame:
-    raw = _fields(spark, path, ["fid", "iid", "pid", "mid", "sex", "pheno"])
-    return raw.withColumn("pheno", number(F.col("pheno")))
+def read_fam(spark: SparkSession, path: str, bad: str = "fail") -> DataFrame:
+    raw = fam_lines(spark, path).rows(bad)
+    return raw.withColumn("pheno", number(F.col("pheno"))).select(*FAM)
 
 
-def read_phen(spark: SparkSession, path: str) -> DataFrame:
+def read_phen(spark: SparkSession, path: str, bad: str = "fail") -> DataFrame:
     """Simulated phenotypes: the strain is the family id."""
-    raw = _fields(spark, path, ["fid", "iid", "value"])
+    raw = phen_lines(spark, path).rows(bad)
     return raw.select(F.col("fid").alias("strain"), number(F.col("value")).alias("phenotype"))
 
 
-def read_par(spark: SparkSession, path: str) -> DataFrame:
+def read_par(spark: SparkSession, path: str, bad: str = "fail") -> DataFrame:
     """Causal effects with CHROM and POS taken from the QTL name."""
-    raw = _fields(spark, path, ["QTL", "RefAllele", "Frequency", "Effect"])
     place = split_marker(F.col("QTL"))
-    return raw.where(F.col("QTL") != "QTL").select(
+    return par_lines(spark, path).rows(bad).select(
         "QTL",
         place["chrom"].alias("CHROM"),
         place["pos"].alias("POS"),
@@ -89,6 +70,12 @@ def read_par(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _unpacked(raw: np.ndarray, n: int) -> np.ndarray:
+    """Codes of n samples per row of packed bytes."""
+    bits = np.unpackbits(raw, axis=1, bitorder="little")
+    return (bits[:, 0::2] + 2 * bits[:, 1::2])[:, :n]
+
+
 def decode_packed(packed: DataFrame, strains: list[str]) -> DataFrame:
     """Two-bit packed genotypes (CHROM, POS, bytes) to one row per strain.
 
@@ -97,16 +84,14 @@ def decode_packed(packed: DataFrame, strains: list[str]) -> DataFrame:
     """
     names = np.array(strains, dtype=object)
     n = len(names)
+    value = np.array([np.nan if a is None else a for a in ALLELES])
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        value = np.array([-1.0, np.nan, np.nan, 1.0])
         for batch in batches:
             if not len(batch):
                 continue
             raw = np.frombuffer(b"".join(batch["bytes"]), dtype=np.uint8).reshape(len(batch), -1)
-            bits = np.unpackbits(raw, axis=1, bitorder="little")
-            code = (bits[:, 0::2] + 2 * bits[:, 1::2])[:, :n]
-            allele = pd.array(value[code].ravel(), dtype="Float64")
+            allele = pd.array(value[_unpacked(raw, n)].ravel(), dtype="Float64")
             yield pd.DataFrame(
                 {
                     "CHROM": np.repeat(batch["CHROM"].to_numpy(), n),
@@ -122,40 +107,59 @@ def decode_packed(packed: DataFrame, strains: list[str]) -> DataFrame:
     return out.withColumn("allele", F.when(~F.isnan("allele"), F.col("allele")))
 
 
-def read_bed(
-    spark: SparkSession, prefix: str, markers: DataFrame | None = None, chunk: int = 4096
-) -> DataFrame:
-    """Binary genotypes of a fileset, one task per byte range of ``chunk`` variants.
+def read_bed(spark: SparkSession, path: str, markers: DataFrame | None = None, chunk: int = 1024) -> DataFrame:
+    """Binary genotypes (CHROM, POS, strain, allele) of one fileset, or of all filesets in a folder.
 
-    ``markers`` (CHROM, POS) restricts the result before decoding.
+    A task gets ranges of at most ``chunk`` variants with their positions and the
+    samples of their fileset, and reads just these bytes. ``markers`` (CHROM, POS)
+    restricts the ranges before anything is read. Every file that is read must
+    begin with the signature and have the size its two text files call for.
     """
-    strains = [r["iid"] for r in read_fam(spark, f"{prefix}.fam").select("iid").collect()]
-    width = (len(strains) + 3) // 4
-    bim = read_bim(spark, f"{prefix}.bim", numbered=True)
-    bed = qualified_uri(spark, f"{prefix}.bed")
-
-    def ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    if path_exists(spark, f"{path}.bim"):
+        bim, fam = bim_lines(spark, f"{path}.bim"), fam_lines(spark, f"{path}.fam")
+    else:
+        bim, fam = bim_lines(spark, path, "*.bim"), fam_lines(spark, path, "*.fam")
+    prefix = F.regexp_replace("path", r"\.(bim|fam)$", "").alias("prefix")
+    # Rejects and blank lines would shift everything behind them.
+    whole = F.when(F.col("kind") == "row", True).otherwise(F.raise_error(F.concat("source_file", F.lit(": "), F.coalesce("problem", F.lit("blank line")))).cast("boolean"))
+    bim, fam = (Lines(x.table.where(whole), x.fields) for x in (bim, fam))
+    # One row per fileset: its samples in order, and how many variants it has.
+    samples = fam.numbered("row").groupBy(prefix).agg(F.array_sort(F.collect_list(F.struct("line", "iid"))).alias("s")).select("prefix", F.col("s.iid").alias("samples"))
+    counts = bim.table.groupBy(prefix).agg(F.count(F.lit(1)).alias("n"))
+    places = bim.numbered("row").select(prefix, (F.col("line") - 1).alias("at"), "CHROM", F.col("POS").cast("int").alias("POS"))
+    if markers is not None:
+        places = places.join(markers.select("CHROM", "POS").distinct(), ["CHROM", "POS"], "left_semi")
+    ranges = places.groupBy("prefix", F.floor(F.col("at") / chunk).alias("range")).agg(F.array_sort(F.collect_list(F.struct("at", "CHROM", "POS"))).alias("places"))
+    # A fileset without a sample list has no samples to join: it fails, instead of vanishing.
+    listed = F.when(F.col("samples").isNotNull(), F.col("samples")).otherwise(F.raise_error(F.concat("prefix", F.lit(": no sample list"))))
+    work = ranges.join(counts, "prefix").join(samples, "prefix", "left").withColumn("samples", listed)
+    value = np.array([np.nan if a is None else a for a in ALLELES])
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
-        filesystem, path = fs.FileSystem.from_uri(bed)
-        with filesystem.open_input_file(path) as source:
-            if source.read_at(3, 0) != BED_MAGIC:
-                raise ValueError(f"not a variant-major binary genotype file: {bed}")
-            for batch in batches:
-                for first in batch["id"]:
-                    data = source.read_at(chunk * width, 3 + int(first) * width)
-                    rows = [data[i : i + width] for i in range(0, len(data), width)]
-                    yield pd.DataFrame(
-                        {"line": np.arange(first, first + len(rows)), "bytes": rows}
-                    )
-
-    n_variants = bim.count()
-    place = spark._jvm.org.apache.hadoop.fs.Path(f"{prefix}.bed")
-    stored = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(place).getLen()
-    if stored != 3 + n_variants * width:
-        raise ValueError(f"{prefix}.bed has {stored} bytes; {n_variants} variants of {len(strains)} samples take {3 + n_variants * width}")
-    starts = spark.range(0, max(n_variants, 1), chunk)
-    packed = starts.mapInPandas(ranges, "line long, bytes binary").join(bim, "line")
-    if markers is not None:
-        packed = packed.join(markers.select("CHROM", "POS").distinct(), ["CHROM", "POS"], "left_semi")
-    return decode_packed(packed, strains)
+        for batch in batches:
+            for row in batch.itertuples():
+                bed = f"{row.prefix}.bed"
+                filesystem, file = fs.FileSystem.from_uri(bed)
+                names = np.array(list(row.samples), dtype=object)
+                width = (len(names) + 3) // 4
+                at = np.array([p["at"] for p in row.places])
+                with filesystem.open_input_file(file) as source:
+                    if source.read_at(3, 0) != BED_MAGIC:
+                        raise ValueError(f"not a variant-major binary genotype file: {bed}")
+                    if source.size() != 3 + row.n * width:
+                        raise ValueError(f"{bed} has {source.size()} bytes; {row.n} variants of {len(names)} samples take {3 + row.n * width}")
+                    data = source.read_at(int(at[-1] - at[0] + 1) * width, 3 + int(at[0]) * width)
+                codes = _unpacked(np.frombuffer(data, np.uint8).reshape(-1, width)[at - at[0]], len(names))
+                yield pd.DataFrame(
+                    {
+                        "CHROM": np.repeat([p["CHROM"] for p in row.places], len(names)),
+                        "POS": np.repeat([p["POS"] for p in row.places], len(names)),
+                        "strain": np.tile(names, len(at)),
+                        "allele": value[codes].ravel(),
+                    }
+                )
+
+    found = work.repartition("prefix", "range").mapInPandas(read, "CHROM string, POS int, strain string, allele double")
+    return found.withColumn("allele", F.when(~F.isnan("allele"), F.col("allele")))

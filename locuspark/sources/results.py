@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locuspark.functions.scores import clean_number
 from locuspark.operators.sets import missing_columns, union_all
+from locuspark.sources.lines import Lines, number, read_lines
 
 # Field order of the two result formats, after splitting on white space.
 FIELDS = {
@@ -17,46 +17,36 @@ FIELDS = {
 }
 
 
-def words(line: Column) -> Column:
-    return F.split(F.trim(F.regexp_replace(line, r"\s+", " ")), " ")
+def gwa_lines(spark: SparkSession, path: str) -> Lines:
+    """Every line of association results; the format follows the extension of the path."""
+    kind = next((ext for ext in FIELDS if path.rstrip("/").endswith(ext)), None)
+    if kind is None:
+        raise ValueError(f"unknown association result format: {path}")
+    return read_lines(spark, path, FIELDS[kind], ("POS",), ("AF1", "BETA", "SE", "P"), ("SNP", "SNP"))
 
 
-def number(c: Column) -> Column:
-    """Double; unreadable text, ``NA`` and NaN are null."""
-    return clean_number(c.try_cast("double"))
-
-
-def _read_one(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
-    lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    cell = {name: F.try_element_at(F.col("_w"), F.lit(i + 1)) for i, name in enumerate(fields)}
-    rows = lines.select(
-        words(F.col("value")).alias("_w"), F.col("_metadata.file_name").alias("source_file")
-    ).where((F.size("_w") >= len(fields)) & (cell["SNP"] != "SNP"))
-    return rows.select(
-        cell["SNP"].alias("marker"),
-        cell["CHR"].alias("CHROM"),
-        cell["POS"].try_cast("int").alias("POS"),
-        cell["A1"].alias("A1"),
-        cell["A2"].alias("A2"),
-        *[number(cell[c]).alias(c) for c in ("AF1", "BETA", "SE", "P")],
-        "source_file",
-    )
-
-
-def read_gwa(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
-    """Association results; the format follows the extension of each path.
+def read_gwa(spark: SparkSession, paths: str | Iterable[str], bad: str = "fail") -> DataFrame:
+    """Association results of one path or several.
 
     A path may be one file or a folder of part files. Lines are split in the
-    scan, so large files are read in parallel.
+    scan, so large files are read in parallel. A malformed line fails the job, or
+    is left out with ``bad="skip"``; ``gwa_lines`` has the rejects and the counts.
     """
     listed = [paths] if isinstance(paths, str) else list(paths)
-    frames = []
-    for path in listed:
-        kind = next((ext for ext in FIELDS if path.rstrip("/").endswith(ext)), None)
-        if kind is None:
-            raise ValueError(f"unknown association result format: {path}")
-        frames.append(_read_one(spark, path, FIELDS[kind]))
-    return union_all(frames)
+    return union_all(
+        gwa_lines(spark, path)
+        .rows(bad)
+        .select(
+            F.col("SNP").alias("marker"),
+            F.col("CHR").alias("CHROM"),
+            F.col("POS").try_cast("int").alias("POS"),
+            "A1",
+            "A2",
+            *[number(F.col(c)).alias(c) for c in ("AF1", "BETA", "SE", "P")],
+            "source_file",
+        )
+        for path in listed
+    )
 
 
 def read_mapping_tsv(

@@ -1,6 +1,7 @@
 """Incremental counterparts of batch operators, as Structured Streaming queries."""
 
 from locuspark.streaming.jobs import (
+    read_ingested,
     read_ledger,
     read_replication,
     stream_ingest,
@@ -9,6 +10,7 @@ from locuspark.streaming.jobs import (
 )
 
 __all__ = [
+    "read_ingested",
     "read_ledger",
     "read_replication",
     "stream_ingest",

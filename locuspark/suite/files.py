@@ -15,6 +15,7 @@ from locuspark.operators.intervals import detect
 from locuspark.session import scratch_dir, stage
 from locuspark.sinks import database as DB
 from locuspark.sinks import text as TX
+from locuspark.sinks.plink import write_bed
 from locuspark.sources import catalog, genotypes, params, plink, results
 from locuspark.suite.assessment import rounded, stored_assessment
 from locuspark.suite.detection import analyzed, arm_thresholds
@@ -297,6 +298,68 @@ def _(d):
     return genotypes.read_contigs(d.spark, vcf_file(d))
 
 
+@query(
+    "src20_read_bed",
+    """select k.CHROM, k.POS, n.strain, g.allele from (select distinct marker_set_id, CHROM, POS from genotypes) k
+       cross join (select concat('S', n_nationkey) as strain from nation) n
+       left join genotypes g on g.marker_set_id = k.marker_set_id and g.CHROM = k.CHROM and g.POS = k.POS and g.strain = n.strain""",
+)
+def _(d):
+    """A fileset per marker set and chromosome, written and read again."""
+    folder = scratch_dir(d.spark, "filesets")
+    stage(write_bed(d.genotypes, strain_names(d), folder, ("marker_set_id", "CHROM")), "filesets")
+    return plink.read_bed(d.spark, folder)
+
+
+def _accounting(name, ending, fields, header, wrong, lines_of, read):
+    """A query of what a reader makes of every line of a file that holds malformed and blank ones.
+
+    Of the lines made from ``fields`` (SQL), those whose hash begins with 3 are
+    cut to two fields, with 7 have a word in the place ``wrong``, and with 5 are
+    followed by a blank line.
+    """
+    text = f"concat_ws(' ', {fields[0]})"
+    spoilt = "x in ('3', '7')"
+
+    @query(
+        name,
+        f"""with l as (select substr(sha256({text}), 1, 1) as x from {fields[1]})
+            select count(*) + count(*) filter (x = '5') + {int(bool(header))} as n_lines, {int(bool(header))} as n_header,
+                   count(*) filter (x = '5') as n_blank, count(*) filter (not {spoilt}) as n_rows,
+                   count(*) filter ({spoilt}) as n_rejected, count(*) filter (not {spoilt}) as n_read,
+                   count(*) filter ({spoilt}) as n_rejects from l""",
+    )
+    def _(d):
+        value = F.expr(text)
+        x = F.substring(F.sha2(value, 256), 1, 1)
+        cells = F.split(value, " ")
+        word = F.concat_ws(" ", F.slice(cells, 1, wrong - 1), F.lit("word"), F.slice(cells, wrong + 1, 20))
+        spoil = F.when(x == "3", F.concat_ws(" ", F.slice(cells, 1, 2))).when(x == "7", word).otherwise(value)
+        more = F.when(x == "5", F.array(spoil, F.lit("  "))).otherwise(F.array(spoil))
+        path = text_file(d, "x" + ending, d.table(fields[1]).select(F.explode(more).alias("value")), header)
+        lines = lines_of(d.spark, path)
+        counts = lines.account().drop("source_file").groupBy().sum()
+        counts = counts.select(*[F.col(f"sum({c})").alias(c) for c in ("n_lines", "n_header", "n_blank", "n_rows", "n_rejected")])
+        read_ = read(d.spark, path, bad="skip").agg(F.count(F.lit(1)).alias("n_read"))
+        rejects = lines.rejects().where("line > 0").agg(F.count(F.lit(1)).alias("n_rejects"))
+        one = F.lit(1).alias("one")
+        return counts.select("*", one).join(read_.select("*", one), "one").join(rejects.select("*", one), "one").drop("one")
+
+
+_GWA_TEXT = "split_part(marker, ':', 1), marker, split_part(marker, ':', 2), 'A', 'G', '96', '0.1', 'nan', '0.3', '1e-9', mapping_id"
+_accounting(
+    "src01_row_accounting", ".fastGWA", (_GWA_TEXT, "mappings"), "CHR SNP POS A1 A2 N AF1 BETA SE P", 3, results.gwa_lines, results.read_gwa
+)
+_accounting(
+    "src02_row_accounting", ".bim", ("CHROM, marker, '0', split_part(marker, ':', 2), A1, A2, marker_set_id", "markers"), None, 4, plink.bim_lines, plink.read_bim
+)
+_accounting("src03_row_accounting", ".fam", ("strain, trait_id, '0', '0', '0', '-9'", "phenotypes"), None, 6, plink.fam_lines, plink.read_fam)
+_accounting("src04_row_accounting", ".phen", ("strain, trait_id, 'NA'", "phenotypes"), None, 3, plink.phen_lines, plink.read_phen)
+_accounting(
+    "src05_row_accounting", ".par", ("QTL, RefAllele, '0.5', '-1.5', trait_id", "causal_variants"), "QTL RefAllele Frequency Effect", 3, plink.par_lines, plink.read_par
+)
+
+
 @query(
     "src20_decode_packed",
     """select v.CHROM, v.POS, concat('S', n.n_nationkey) as strain,

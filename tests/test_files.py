@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from locuspark import schemas
 from locuspark.sinks import database as DB
+from locuspark.sinks import plink as plink_sink
 from locuspark.sinks import text as TX
 from locuspark.sources import catalog, genotypes, params, plink, results
 
@@ -96,11 +97,60 @@ def test_binary_genotypes(spark, tmp_path):
         plink.read_bed(spark, str(tmp_path / "bad")).collect()
 
 
+def test_every_line_is_accounted_for(spark, tmp_path):
+    folder = tmp_path / "a.mlma"
+    folder.mkdir()
+    put(folder, "one", "Chr SNP bp A1 A2 Freq b se p\n1 1:5 5 A C 0.1 1 NA 0.5\n\n1 1:6 six A C 0.1 1 1 0.5\n1 1:7 7\n")
+    put(folder, "two", "2 2:9 9 A C 0.1 1 1 0.5 more\n2 2:10 10 A C 0.1 1 x1 0.5\n")
+    lines = results.gwa_lines(spark, str(folder))
+    assert sorted(rows(lines.account())) == [("one", 5, 1, 1, 1, 2), ("two", 2, 0, 0, 1, 1)]
+    assert sorted(rows(lines.rejects())) == [
+        ("one", 4, "1 1:6 six A C 0.1 1 1 0.5", "POS is not a whole number: six"),
+        ("one", 5, "1 1:7 7", "3 fields instead of 9"),
+        ("two", 2, "2 2:10 10 A C 0.1 1 x1 0.5", "SE is not a number: x1"),
+    ]
+    assert sorted(r.marker for r in results.read_gwa(spark, str(folder), bad="skip").collect()) == ["1:5", "2:9"]
+    with pytest.raises(Exception, match="(one: POS is not a whole|one: 3 fields|two: SE is not a number)"):
+        results.read_gwa(spark, str(folder)).collect()
+    with pytest.raises(Exception, match="2 fields instead of 3"):
+        plink.read_phen(spark, put(tmp_path, "y.phen", "A A 1\nB 2\n")).collect()
+    with pytest.raises(ValueError, match="fail or skip"):
+        plink.read_phen(spark, str(tmp_path / "y.phen"), bad="ignore")
+
+
 def test_line_numbers_over_many_splits(spark, tmp_path):
-    for k in range(5):
-        put(tmp_path, f"part-{k}.txt", "".join(f"{k}-{i}\n" for i in range(k * 3)))
-    numbered = plink.with_line_number(spark.read.text(str(tmp_path)).repartition(3))
-    assert sorted(r["line"] for r in numbered.collect()) == list(range(30))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        for k in range(3):
+            put(tmp_path, f"part-{k}.phen", "".join(f"{k} s{i} {i}\n" for i in range(1, 900 * k + 2)))
+        found = plink.phen_lines(spark, str(tmp_path)).numbered("row")
+        assert found.rdd.getNumPartitions() > 3
+        got = [(r.fid, r.line, int(r.value)) for r in found.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(got) == 1 + 901 + 1801 and all(line == value for _, line, value in got)
+
+
+def test_filesets_written_and_read(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    names = [f"s{i}" for i in range(6)]
+    want = {(c, p, s): rng.choice([-1.0, 1.0, None]) for c in ("1", "X") for p in rng.permutation(40)[:21].tolist() for s in names}
+    frame = spark.createDataFrame([(*k, v) for k, v in want.items()], "CHROM string, POS int, strain string, allele double")
+    written = plink_sink.write_bed(frame.where("not (CHROM = 'X' and strain = 's2')"), names, str(tmp_path / "sets"))
+    assert sorted(r.n_variants for r in written.collect()) == [21, 21]
+    assert sorted(os.listdir(tmp_path / "sets")) == [f"{c}.{e}" for c in ("1", "X") for e in ("bed", "bim", "fam")]
+    want = {k: None if k[0] == "X" and k[2] == "s2" else v for k, v in want.items()}
+    read = plink.read_bed(spark, str(tmp_path / "sets"), chunk=4)
+    assert {(r.CHROM, r.POS, r.strain): r.allele for r in read.collect()} == want and read.count() == len(want)
+    one = {(r.CHROM, r.POS, r.strain): r.allele for r in plink.read_bed(spark, str(tmp_path / "sets" / "X")).collect()}
+    assert one == {k: v for k, v in want.items() if k[0] == "X"}
+    os.remove(tmp_path / "sets" / "X.fam")
+    with pytest.raises(Exception, match="no sample list"):
+        plink.read_bed(spark, str(tmp_path / "sets")).collect()
+    put(tmp_path / "sets", "X.fam", "s0 s0 0 0 0 -9\ns1 s1 0\n")
+    with pytest.raises(Exception, match="3 fields instead of 6"):
+        plink.read_bed(spark, str(tmp_path / "sets")).collect()
 
 
 def test_genotype_files(spark, tmp_path):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from locuspark.operators import compare, genotype, grid, linkage, quality, sets, workdir
 from locuspark.plans import verify as V
+from locuspark.session import stage
 from locuspark.streaming import read_ledger, read_replication, stream_ledger, stream_replication
 from locuspark.suite.catalog_of_queries import ORACLES, QUERIES
 
@@ -231,26 +233,25 @@ def test_independent_tests_match_the_full_correlation_matrix(spark):
     assert len(got) == 1 and got[0]["n_tests"] == pytest.approx(want, abs=1e-6)
 
 
-@pytest.mark.parametrize("whole", [0, 100_000])
-def test_quantiles_are_exact(spark, monkeypatch, whole):
-    """Both ways, with a group far larger than the bracket and heavy ties."""
-    monkeypatch.setattr(workdir, "RANK_WHOLE", whole)
+def test_quantiles_are_exact(spark):
+    """400,000 rows in one group, heavy ties, any scale and both signs, null groups and single values."""
     rng = np.random.default_rng(4)
-    values = {"big": np.round(rng.lognormal(size=120_000), 3), "flat": np.ones(60_000)}
-    rows = spark.createDataFrame(
-        [(k, float(v)) for k, vs in values.items() for v in vs], "g string, v double"
-    )
-    got = {r["g"]: r for r in workdir.exact_quantiles(rows, ["g"], "v", (0.5, 0.95, 0.0, 1.0)).collect()}
-    for k, vs in values.items():
-        for i, q in enumerate((0.5, 0.95, 0.0, 1.0)):
-            assert got[k][f"v_q{i}"] == pytest.approx(np.quantile(vs, q), abs=1e-12)
-
-
-def test_small_group_quantiles(spark):
-    rows = spark.createDataFrame([("a", 1.0), ("a", 5.0), ("a", 6.0), ("b", 2.0), ("b", None)], "g string, v double")
-    got = {r["g"]: r for r in workdir.exact_quantiles(rows, ["g"], "v", (0.5, 0.95)).collect()}
-    assert got["a"]["v_q1"] == pytest.approx(np.quantile([1, 5, 6], 0.95))
-    assert (got["b"]["v_q0"], got["b"]["v_q1"]) == (2.0, 2.0)
+    n = 400_000
+    big = spark.range(n).select(F.lit("big").alias("g"), F.round(F.exp(F.randn(3)), 3).alias("v"), (F.rand(5) - 0.5).alias("w"))
+    scales = np.concatenate([rng.choice([-1, 1], 300) * 10.0 ** rng.uniform(-300, 300, 300), [0.0, -0.0, 5e-324, -1.7e308, 1.7e308, np.nan]])
+    small = [("flat", 1.0, -2.0)] * 900 + [("scales", float(v), float(-v)) for v in scales] + [(None, 3.0, None), (None, 5.0, 7.0), ("none", None, 1.0), ("two", 1.0, 1.0), ("two", 4.0, float("nan"))]
+    rows = stage(big.unionByName(spark.createDataFrame(small, "g string, v double, w double")), "quantile-rows")
+    quantiles = (0.5, 0.95, 0.0, 1.0, 1 / 3)
+    got = {r["g"]: r for r in workdir.exact_quantiles(rows, ["g"], {"v": quantiles, "w": (0.25,)}).collect()}
+    assert set(got) == {"big", "flat", "scales", None, "none", "two"}
+    local = rows.toPandas()
+    for g, r in got.items():
+        mine = local[local["g"].isna()] if g is None else local[local["g"] == g]
+        for column, qs in (("v", quantiles), ("w", (0.25,))):
+            values = mine[column].dropna().to_numpy()
+            for i, q in enumerate(qs):
+                assert r[f"{column}_q{i}"] == (pytest.approx(np.quantile(values, q), rel=1e-12) if len(values) else None), (g, column, q)
+    assert workdir.exact_quantiles(rows.limit(0), ["g"], {"v": (0.5,)}).count() == 0
 
 
 def test_panel_size_from_names(spark):
@@ -339,6 +340,26 @@ def test_ledger_survives_restarts_and_late_records(spark, tmp_path):
     assert now == {(2, 3)}
 
 
+def test_ledger_of_many_batches_equals_the_batch_operator(spark, tmp_path):
+    """Every batch is a restart from the checkpoint; neither folders nor snapshots pile up."""
+    arriving, base, check = (str(tmp_path / n) for n in ("in", "ledger", "check"))
+    rng = random.Random(12)
+    seen, folders = [], []
+    key = ["species", "grp", "nqtl", "effect", "h2", "rep", "mode", "type"]
+    for _ in range(13):
+        df = spark.createDataFrame([event(rng.randint(1, 9), a, rng.choice([0, 1])) for a in rng.sample(range(99), 4)], EVENT)
+        df = df.dropDuplicates(["rep", "attempt"]).coalesce(1)
+        df.write.mode("append").parquet(arriving)
+        seen.append(spark.createDataFrame(df.collect(), EVENT))
+        stream_ledger(spark.readStream.schema(df.schema).parquet(arriving), base, check).awaitTermination()
+        folders.append(len(os.listdir(f"{base}/data")) + len(os.listdir(f"{base}/snapshots")))
+    want = sets.latest_state(sets.union_all(seen), key)
+    got = {(r["rep"], r["attempt"], r["exit_code"]) for r in read_ledger(spark, base).collect()}
+    assert got and {r[:2] for r in got} == {(r["rep"], r["attempt"]) for r in want.collect()}
+    assert max(folders) <= 20 and folders[-1] < 13
+    assert "RocksDB" in "".join(open(f"{check}/offsets/{n}").read() for n in os.listdir(f"{check}/offsets") if not n.startswith("."))
+
+
 def test_replication_counts_each_replicate_once(spark, tmp_path):
     arriving, base, check = (str(tmp_path / n) for n in ("in", "counts", "check"))
     schema = "population string, maf double, nqtl int, effect string, h2 double, algorithm string, pca boolean, rep int"
