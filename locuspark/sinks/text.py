@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import struct
+import uuid
+import zlib
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +15,7 @@ from pyspark.sql import types as T
 from locuspark.operators.causal import assessment_columns
 from locuspark.schemas import REPLAY_MANIFEST
 from locuspark.session import qualified_uri
+from locuspark.sources.bgzf import GZIP_EXTRA, SUBFIELD
 
 
 def _flags_as_text(df: DataFrame) -> DataFrame:
@@ -52,6 +56,46 @@ def write_manifest(failures: DataFrame, path: str) -> None:
     write_tsv(manifest_columns(failures), path, header=True, null="")
 
 
+def _block(data: bytes) -> bytes:
+    """One member of a block-gzip file."""
+    packer = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = packer.compress(data) + packer.flush()
+    head = GZIP_EXTRA + bytes(4) + b"\x00\xff" + struct.pack("<H", 6) + SUBFIELD + struct.pack("<H", len(body) + 25)
+    return head + body + struct.pack("<II", zlib.crc32(data), len(data))
+
+
+def write_block_gzip(lines: DataFrame, folder: str, header: Sequence[str] = (), ending: str = ".vcf.gz", most: int = 60_000) -> DataFrame:
+    """The column ``value`` as block-gzip files, one per partition, each with the header; returns their paths.
+
+    ``most`` is the text of a block. A task writes under another name and renames.
+    """
+    base = qualified_uri(lines.sparkSession, folder)
+    head = "".join(f"{h}\n" for h in header).encode()
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        filesystem, root = fs.FileSystem.from_uri(base)
+        filesystem.create_dir(root, recursive=True)
+        name = f"part-{TaskContext.get().partitionId():05d}{ending}"
+        draft = f"{root}/_{uuid.uuid4().hex}"
+        with filesystem.open_output_stream(draft) as out:
+            data = head
+            for batch in batches:
+                data += "".join(f"{v}\n" for v in batch["value"]).encode()
+                while len(data) >= most:
+                    out.write(_block(data[:most]))
+                    data = data[most:]
+            if data:
+                out.write(_block(data))
+            out.write(_block(b""))  # the end of the file
+        filesystem.move(draft, f"{root}/{name}")
+        yield pd.DataFrame({"path": [f"{base}/{name}"]})
+
+    return lines.select("value").mapInPandas(write, "path string")
+
+
 def hash_manifest(spark: SparkSession, directory: str, block: int = 1 << 22) -> DataFrame:
     """path, bytes and SHA-256 of every file below a folder, sorted by path.
 

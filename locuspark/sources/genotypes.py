@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from locuspark.functions.scores import split_marker
 from locuspark.operators.genotype import melt_genotypes
+from locuspark.sources.bgzf import is_block_gzip, read_block_gzip
 from locuspark.sources.lines import number
 
 
@@ -46,20 +47,38 @@ def read_genotype_matrix_tsv(spark: SparkSession, path: str) -> DataFrame:
     return melt_genotypes(wide.withColumn("POS", F.col("POS").cast("int")))
 
 
+def variant_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """value, source_file, start (of the split): every line of a variant file, or of all files in a folder.
+
+    Block-gzip files are read in ranges. Any other gzip file is a single split;
+    ``partitions`` spreads its lines.
+    """
+    if is_block_gzip(spark, path):
+        return read_block_gzip(spark, path)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("start"))
+    return lines.repartition(partitions) if partitions else lines
+
+
 def read_vcf(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """Variants as one row per sample: CHROM, POS, ID, REF, ALT, strain, gt.
 
-    Only the sample-name line is looked up first. A gzip file is a single
-    split; ``partitions`` spreads its lines before they are multiplied.
+    Only the sample-name lines are looked up first. Files of a folder have to
+    name the same samples in the same order, and every variant has to have a
+    call for each of them; anything else is an error.
     """
-    lines = spark.read.text(path)
-    names = (
-        lines.where(F.col("value").startswith("#CHROM")).first()["value"].rstrip("\r\n").split("\t")[9:]
-    )
-    body = lines.where(~F.col("value").startswith("#"))
-    if partitions:
-        body = body.repartition(partitions)
-    cells = body.select(F.split("value", "\t").alias("_c"))
+    lines = variant_lines(spark, path, partitions)
+    heads = lines.where(F.col("value").startswith("#CHROM")).select(F.regexp_replace("value", r"\s+$", "").alias("value"))
+    # At most one distinct line; the second one only proves the disagreement.
+    found = [r["value"] for r in heads.distinct().limit(2).collect()]
+    if not found:
+        raise ValueError(f"no line of sample names in {path}")
+    if len(found) > 1:
+        raise ValueError(f"files in {path} name different samples")
+    names = found[0].split("\t")[9:]
+    body = lines.where(~F.col("value").startswith("#") & (F.trim("value") != ""))
+    cells = body.select(F.split("value", "\t").alias("_c"), "source_file")
+    wrong = F.concat("source_file", F.lit(": "), F.size("_c").cast("string"), F.lit(f" fields instead of {9 + len(names)} at "), F.array_join(F.slice("_c", 1, 2), ":"))
+    cells = cells.where(F.when(F.size("_c") == 9 + len(names), True).otherwise(F.raise_error(wrong).cast("boolean")))
     samples = F.array(*[F.lit(n) for n in names])
     calls = cells.select(
         *[
@@ -80,15 +99,18 @@ def read_vcf(spark: SparkSession, path: str, partitions: int | None = None) -> D
 
 
 def read_contigs(spark: SparkSession, path: str) -> DataFrame:
-    """Contig names of a variant file with their ordinal in the header."""
-    header = spark.read.text(path).where(F.col("value").startswith("##contig=<ID="))
+    """Contig names of a variant file with their ordinal in the header, the same in every file of a folder."""
+    header = variant_lines(spark, path).where(F.col("value").startswith("##contig=<ID="))
     named = header.select(
         F.regexp_extract("value", r"^##contig=<ID=([^,>]+)", 1).alias("contig"),
-        F.monotonically_increasing_id().alias("_at"),
+        "source_file",
+        F.struct("start", F.monotonically_increasing_id()).alias("_at"),
     )
     # A handful of header lines.
-    return named.select(
-        F.row_number().over(Window.orderBy("_at")).alias("ordinal"), "contig"
+    placed = named.withColumn("ordinal", F.row_number().over(Window.partitionBy("source_file").orderBy("_at")))
+    return placed.groupBy("contig").agg(F.min("ordinal").alias("ordinal"), F.max("ordinal").alias("_other")).select(
+        F.when(F.col("ordinal") == F.col("_other"), F.col("ordinal"))
+        .otherwise(F.raise_error(F.concat(F.lit("files order contigs differently: "), "contig")).cast("int"))
+        .alias("ordinal"),
+        "contig",
     )
-
-

@@ -265,6 +265,22 @@ def _(d):
     return genotypes.read_vcf(d.spark, vcf_file(d))
 
 
+@query(
+    "src19_read_block_gzip",
+    """select v.CHROM, v.POS, v.ID, v.REF, v.ALT, concat('S', n.n_nationkey) as strain,
+              case when c.code is null then './.' when c.code < 6 then '0/0' when c.code < 11 then '1|1'
+                   when c.code = 11 then '0/1' else './.' end as gt
+       from d_variants v cross join nation n left join d_calls c on c.pk = v.pk and c.nk = n.n_nationkey""",
+)
+def _(d):
+    """The variants as block-gzip files, one per part of the table, each read in ranges."""
+    lines = d.spark.read.text(vcf_file(d))
+    header = [r["value"] for r in lines.where(F.col("value").startswith("#")).collect()]
+    folder = scratch_dir(d.spark, "variants")
+    stage(TX.write_block_gzip(lines.where(~F.col("value").startswith("#")), folder, header), "variant-files")
+    return genotypes.read_vcf(d.spark, folder)
+
+
 CONTIGS = ("I", "II", "III", "IV", "V", "X", "MtDNA")
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from locuspark import schemas
 from locuspark.sinks import database as DB
 from locuspark.sinks import plink as plink_sink
 from locuspark.sinks import text as TX
-from locuspark.sources import catalog, genotypes, params, plink, results
+from locuspark.sources import bgzf, catalog, genotypes, params, plink, results
 
 
 def put(folder, name, text):
@@ -174,8 +176,6 @@ def test_genotype_files(spark, tmp_path):
 
 
 def test_variant_file(spark, tmp_path):
-    import gzip
-
     text = (
         "##fileformat=VCFv4.2\n##contig=<ID=II,length=5>\n##contig=<ID=I>\n"
         "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1\ts2\n"
@@ -184,9 +184,63 @@ def test_variant_file(spark, tmp_path):
     path = str(tmp_path / "x.vcf.gz")
     with gzip.open(path, "wt") as f:
         f.write(text)
+    assert not bgzf.is_block_gzip(spark, path)
     got = rows(genotypes.read_vcf(spark, path, partitions=2))
     assert sorted(got) == [("II", 5, ".", "A", "G", "s1", "0/0"), ("II", 5, ".", "A", "G", "s2", "1|1")]
-    assert rows(genotypes.read_contigs(spark, path)) == [(1, "II"), (2, "I")]
+    assert sorted(rows(genotypes.read_contigs(spark, path))) == [(1, "II"), (2, "I")]
+
+
+def test_block_gzip_is_split_and_equals_plain_text(spark, tmp_path):
+    """Ranges of every size: lines across blocks and ranges, empty lines, a block's first bytes inside data, no last line end."""
+    rng = np.random.default_rng(5)
+    texts = ["x" * int(n) for n in rng.integers(0, 90, 400)] + ["", "\u00e9" * 3000, "last"]
+    frame = spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1)
+    folder = tmp_path / "a"
+    (path,) = [r.path for r in TX.write_block_gzip(frame, str(folder), ["# head"], most=700).collect()]
+    path = path.removeprefix("file://")
+    assert gzip.open(path, "rt").read().split("\n") == ["# head", *texts, ""] and bgzf.is_block_gzip(spark, str(folder))
+    raw = open(path, "rb").read()
+    for size in (60, 200, 777, 5000, 10**6):
+        found = bgzf.read_block_gzip(spark, str(folder), size)
+        got = [(r.start, r.value) for r in found.collect()]
+        assert sorted(v for _, v in got) == sorted(["# head", *texts])
+        assert len({s for s, _ in got}) > 1 or size >= len(raw)
+    open_end = raw[:-28] + TX._block(bgzf.GZIP_EXTRA + b"no end of line")
+    source = pa.BufferReader(open_end)
+    whole = gzip.decompress(open_end).split(b"\n")
+    for size in (50, 333, 4000):
+        parts = [list(bgzf.lines_between(_At(source), a, min(a + size, len(open_end)), len(open_end))) for a in range(0, len(open_end), size)]
+        assert [line for part in parts for line in part] == whole
+    with pytest.raises(ValueError, match="no whole block"):
+        list(bgzf.blocks(_At(pa.BufferReader(raw[:-40])), 0, len(raw) - 40))
+
+
+class _At:
+    """Positioned reads on a buffer."""
+
+    def __init__(self, source):
+        self.source = source
+
+    def read_at(self, n, at):
+        self.source.seek(at)
+        return self.source.read(n)
+
+
+def test_variant_files_have_to_agree(spark, tmp_path):
+    head = "##contig=<ID=I>\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t"
+    row = "I\t5\t.\tA\tG\t.\tPASS\t.\tGT\t0/0\t1|1\n"
+    good, odd, short = (tmp_path / n for n in ("good", "odd", "short"))
+    for folder in (good, odd, short):
+        folder.mkdir()
+        put(folder, "a.vcf", head + "s1\ts2\n" + row)
+    put(good, "b.vcf", head + "s1\ts2\n" + row.replace("\t5\t", "\t6\t"))
+    put(odd, "b.vcf", head + "s2\ts1\n" + row)
+    put(short, "b.vcf", head + "s1\ts2\n" + row.replace("\t1|1", ""))
+    assert genotypes.read_vcf(spark, str(good)).count() == 4
+    with pytest.raises(ValueError, match="different samples"):
+        genotypes.read_vcf(spark, str(odd))
+    with pytest.raises(Exception, match="10 fields instead of 11 at I:5"):
+        genotypes.read_vcf(spark, str(short)).collect()
 
 
 def test_test_count_files(spark, tmp_path):
