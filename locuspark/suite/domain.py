@@ -310,7 +310,10 @@ def _names(texts: dict[str, str], text: str) -> set[str]:
 
 
 def with_tables(body: str, dialect: str = "duckdb") -> str:
-    """Prefix ``body`` with the domain tables it refers to, in dependency order."""
+    """Prefix ``body`` with the domain tables it refers to, in dependency order.
+
+    In oracles every table is computed once, however often it is referred to.
+    """
     texts = _texts(dialect)
     needed: set[str] = set()
     pending = _names(texts, body)
@@ -319,7 +322,8 @@ def with_tables(body: str, dialect: str = "duckdb") -> str:
         if name not in needed:
             needed.add(name)
             pending |= _names(texts, texts[name]) - {name}
-    parts = [f"{name} as ({texts[name]})" for name in texts if name in needed]
+    once = "materialized " if dialect == "duckdb" else ""
+    parts = [f"{name} as {once}({texts[name]})" for name in texts if name in needed]
     if not parts:
         return body
     body = body.strip()

@@ -76,8 +76,9 @@ union all
 select p.trait_id, p.QTL, p.CHROM, p.POS, g.strain, g.allele
 from v_pos p join traits t on t.trait_id = p.trait_id
 join genotypes g on g.marker_set_id = t.marker_set_id and g.CHROM = p.CHROM and g.POS = p.POS
-where not exists (select 1 from causal_genotypes c where c.trait_id = p.trait_id
-                  and c.CHROM = p.CHROM and c.POS = p.POS)"""
+left join (select distinct trait_id, CHROM, POS from causal_genotypes) c
+  on c.trait_id = p.trait_id and c.CHROM = p.CHROM and c.POS = p.POS
+where c.trait_id is null"""
     out["v_joined"] = """
 select m.trait_id, m.QTL, m.strain, m.allele, p.phenotype
 from v_merged m join phenotypes p on p.trait_id = m.trait_id and p.strain = m.strain"""

@@ -82,8 +82,9 @@ def _(d):
 
 @query(
     "fil09_complete_markers",
-    """select g.* from genotypes g where not exists (select 1 from genotypes h
-         where h.marker_set_id = g.marker_set_id and h.CHROM = g.CHROM and h.POS = g.POS and h.allele is null)""",
+    """select g.* from genotypes g
+       join (select marker_set_id, CHROM, POS from genotypes group by marker_set_id, CHROM, POS having count(allele) = count(*)) h
+         on h.marker_set_id = g.marker_set_id and h.CHROM = g.CHROM and h.POS = g.POS""",
 )
 def _(d):
     return G.complete_markers(d.genotypes)
