@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from locuspark.llm.common import arrow_batches, slices, stage, text_of
-from locuspark.llm.tokens import encoder, public_path
+from locuspark.llm.common import arrow_batches, stage, text_of
+from locuspark.llm.tokens import encoder, gathered, public_path
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 #: Rows ranked together; larger sizes are split into parts of about this many.
@@ -56,10 +56,10 @@ def pieces_of(docs: DataFrame, id_col: str, text_col: str, capacity: int, tokeni
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(tokenizer), np.array([end_id], "<u4")
-        for batch in slices(batches, "text"):
+        for batch in gathered(batches, "text"):
             rows = []
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), enc.encode(batch.column("text").to_pylist())):
-                raw = np.concatenate([ids, end]).tobytes()
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), enc.encode(batch.column("text"))):
+                raw = np.concatenate([ids.astype("<u4"), end]).tobytes()
                 for k, (start, length) in enumerate(cut(len(raw) // 4, capacity)):
                     part = raw[4 * start : 4 * (start + length)]
                     rows.append((doc_id, k, start, length, zlib.crc32(part), part if with_ids else None))

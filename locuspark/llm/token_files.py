@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from locuspark.llm.common import arrow_batches, slices, stage, text_of
-from locuspark.llm.tokens import encoder, public_path
+from locuspark.llm.common import arrow_batches, stage, text_of
+from locuspark.llm.tokens import encoder, gathered, public_path
 from locuspark.session import qualified_uri, scratch_dir
 
 MAGIC = b"RVBYTE01"
@@ -95,8 +95,8 @@ def token_table(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end
         enc = encoder(tokenizer)
         kind = enc.kind if end_id < 2 ** (8 * enc.kind.itemsize) else np.dtype("<u4")
         end = np.array([end_id], dtype=kind)
-        for batch in slices(batches, "text"):
-            found = enc.encode(batch.column("text").to_pylist())
+        for batch in gathered(batches, "text"):
+            found = enc.encode(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),

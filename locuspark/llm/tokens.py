@@ -1,16 +1,32 @@
-"""Token ids of whole texts with a file of the tokenizers library, inside Arrow tasks."""
+"""Token ids of whole texts with a file of the tokenizers library, inside Arrow tasks.
+
+A byte-level tokenizer cuts a text into words before it merges bytes, and no
+word crosses a space that follows a character other than white space. So the
+texts of a batch are cut at such spaces in Arrow, every distinct piece of the
+batch is encoded once, and the ids of all texts are gathered by numpy. Nothing
+is kept from batch to batch but the tokenizer itself. For files of any other
+kind whole texts are encoded.
+"""
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
-
-#: Chunks remembered in each of the two generations of a worker's cache.
-CACHE = 450_000
-_BLANK_BEFORE_SPACE = re.compile(r"\s ")
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: Text that is cut and looked up together.
+BATCH_BYTES = 12_000_000
+#: Texts given to the library at once, and pieces joined into one of them.
+GIVEN, JOINED = 4096, 256
+MARKS = ".,;:!?"
+# White space before a space: characters of Unicode's White_Space property, and four control characters that Python counts as such.
+_BLANKS = r"\t-\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_BLANK_BEFORE_SPACE = f"[{_BLANKS}] "
 _BOUNDARY = re.compile(r"(?<=\S)(?= )")
 
 
@@ -22,113 +38,132 @@ def public_path(name: str = "byte_bpe_50k.json") -> str:
 
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
-    """One encoder per worker process and tokenizer file."""
-    return Encoder(path)
-
-
-def chunks(text: str) -> tuple[str, list[str]]:
-    """The start of a text, and what follows each space after a character other than white space.
-
-    No token of a byte-level tokenizer crosses such a place: its words have at
-    most one leading space, and a run of white space would have to reach it.
-    The pieces of the list come without that space.
-    """
-    if _BLANK_BEFORE_SPACE.search(text):
-        first, *rest = _BOUNDARY.split(text)
-        return first, [w[1:] for w in rest]
-    first, *rest = text.split(" ")
-    return first, rest
+    """One encoder per worker process and file."""
+    from tokenizers import Tokenizer
+
+    return Encoder(Tokenizer.from_file(path))
+
+
+def gathered(batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of text, one row at least."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        start = 0
+        sizes = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
+        for k, n in enumerate(np.nan_to_num(sizes.astype(float))):
+            if size and size + n > most:
+                held.append(batch.slice(start, k - start))
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size, start = [], 0, k
+            size += n
+        if batch.num_rows > start:
+            held.append(batch.slice(start))
+    if sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def splits_at_spaces(tokenizer) -> bool:
+    """Whether the file is of the kind whose words never cross a space after another character."""
+    rules = json.loads(tokenizer.to_str())
+    words = rules.get("pre_tokenizer") or {}
+    plain = all(not (t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"]) for t in rules.get("added_tokens", ()))
+    byte_level = words.get("type") == "ByteLevel" and words.get("use_regex", True) and not words.get("add_prefix_space", True)
+    return bool(byte_level and plain and rules.get("normalizer") is None and rules["model"].get("type") == "BPE")
 
 
 class Encoder:
-    """Encodes texts chunk by chunk and remembers the ids of chunks it has seen.
-
-    Memory is bounded: of two generations of chunks the older one is forgotten
-    when the younger one is full. Ids do not depend on what is remembered.
-    """
-
-    def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+    """Encodes batches of texts."""
 
-        self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer = tokenizer
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
         size = max(vocabulary.values(), default=0) + 1
         self.kind = np.dtype("<u2" if size <= 65536 else "<u4")
+        self.cuts = splits_at_spaces(tokenizer)
         # A character of a byte-level token stands for one byte of the text.
         self.token_bytes = np.zeros(size, np.int64)
         for token, i in vocabulary.items():
             self.token_bytes[i] = len(token)
-        self.marks = {m: self._plain(m) for m in ".,;:!?"}
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _plain(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode new chunks together; their byte lengths tell whose token is whose."""
-        young, width = self.young, self.kind.itemsize
-        joined = []
-        for w in words:
-            if w and not w[-1].isspace():
-                joined.append(w)
-            else:  # at the end of a text; what follows would change its tokens
-                young[w] = self._plain(" " + w)
-        parts = [joined[a : a + 256] for a in range(0, len(joined), 256)]
-        for a in range(0, len(parts), 16):
-            some = parts[a : a + 16]
-            for part, found in zip(some, self.tokenizer.encode_batch_fast([" " + " ".join(p) for p in some], add_special_tokens=False)):
-                ids = np.array(found.ids, dtype=self.kind)
-                ends = np.cumsum(np.fromiter(map(len, map(str.encode, part)), np.int64, len(part)) + 1)
-                cuts = (np.searchsorted(np.cumsum(self.token_bytes[ids]), ends, "left") + 1) * width
-                raw, start = ids.tobytes(), 0
-                for w, end in zip(part, cuts.tolist()):
-                    young[w] = raw[start:end]
-                    start = end
-
-    def _resolve(self, missing: set[str]) -> None:
-        """Put the ids of chunks into the young generation.
-
-        A full stop or comma behind a letter is a word of its own to the
-        tokenizer, so such a chunk is made of two known ones.
-        """
-        young, old = self.young, self.old
-        new: dict[str, None] = {}
-        ended = []
-        for w in missing:
-            ids = old.get(w)
-            if ids is not None:
-                young[w] = ids
-            elif w[-1:] in self.marks and w[-2:-1].isalpha():
-                ended.append(w)
-                base = w[:-1]
-                if base not in young:
-                    ids = old.get(base)
-                    if ids is None:
-                        new[base] = None
-                    else:
-                        young[base] = ids
-            else:
-                new[w] = None
-        self._learn(list(new))
-        for w in ended:
-            young[w] = young[w[:-1]] + self.marks[w[-1]]
-
-    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        """Ids of each text, as unsigned 32-bit integers."""
-        young = self.young
-        split = [chunks(t) for t in texts]
-        known = [list(map(young.get, rest)) for _, rest in split]
-        gaps = [[k for k, ids in enumerate(got) if ids is None] if None in got else () for got in known]
-        missing = {rest[k] for (_, rest), at in zip(split, gaps) for k in at}
-        if missing:
-            self._resolve(missing)
+
+    def _each(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """Ids of each text as it is."""
         out = []
-        for (first, rest), got, at in zip(split, known, gaps):
-            for k in at:
-                got[k] = young[rest[k]]
-            start = self._plain(first) if first else b""
-            out.append(np.frombuffer(start + b"".join(got), dtype=self.kind).astype("<u4"))
-        if len(young) > CACHE:
-            self.old, self.young = young, {}
+        for a in range(0, len(texts), GIVEN):
+            found = self.tokenizer.encode_batch_fast(list(texts[a : a + GIVEN]), add_special_tokens=False)
+            out += [np.array(f.ids, dtype=self.kind) for f in found]
+        return out
+
+    def _learn(self, pieces: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
+        """Ids of pieces behind a space, one after the other, and how many each has.
+
+        Many are joined into one text; byte lengths tell whose ids are whose. None
+        may end in white space, which the next one would change.
+        """
+        starts = np.minimum(np.arange(0, len(pieces) + JOINED, JOINED), len(pieces))
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pieces), " ")
+        ends = np.cumsum(pc.binary_length(pieces).to_numpy() + 1)
+        found: list[np.ndarray] = []
+        for a in range(0, len(texts), 16):
+            given = [" " + t for t in texts.slice(a, 16).to_pylist() if t]
+            found += [np.array(f.ids, dtype=self.kind) for f in self.tokenizer.encode_batch_fast(given, add_special_tokens=False)]
+        if not found:
+            return [], np.zeros(0, np.int64)
+        upto = np.cumsum(np.concatenate([self.token_bytes[ids] for ids in found]))
+        return found, np.diff(np.searchsorted(upto, ends, "left") + 1, prepend=0)
+
+    def encode(self, texts: Sequence[str] | pa.Array) -> list[np.ndarray]:
+        """Ids of each text, in the encoder's kind of integers."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if not len(texts):
+            return []
+        if not self.cuts:
+            return self._each(texts.to_pylist())
+        runs = pc.match_substring_regex(texts, _BLANK_BEFORE_SPACE)
+        cut = pc.split_pattern(texts.filter(pc.invert(runs)), " ")
+        flat, ends = cut.flatten(), cut.offsets.to_numpy()[1:] - cut.offsets.to_numpy()[0]
+        if pc.any(runs).as_py():
+            # A space after white space belongs to a longer run and is no place to cut.
+            lists = [[first, *[w[1:] for w in rest]] for first, *rest in map(_BOUNDARY.split, texts.filter(runs).to_pylist())]
+            more = pa.array(lists, pa.list_(pa.string()))
+            flat = pa.concat_arrays([flat, more.flatten()])
+            ends = np.concatenate([ends, (ends[-1] if len(ends) else 0) + more.offsets.to_numpy()[1:]])
+        begins = np.append(0, ends[:-1])
+        # The start of a text has no space before it; its end, or nothing between two spaces, may be white space.
+        alone = pc.match_substring_regex(flat, f"^$|[{_BLANKS}]$").to_numpy(zero_copy_only=False)
+        first = np.zeros(len(flat), bool)
+        first[begins] = True
+        alone |= first
+        coded = flat.filter(pa.array(~alone)).dictionary_encode()
+        # A mark behind a letter is a word of its own: such a piece is the piece without it, then the mark.
+        known = coded.dictionary
+        marked = pc.match_substring_regex(known, rf"\p{{L}}[{MARKS}]$").to_numpy(zero_copy_only=False)
+        bare = pc.if_else(pa.array(marked), pc.utf8_slice_codeunits(known, 0, -1), known).dictionary_encode()
+        last = pc.index_in(pc.utf8_slice_codeunits(known, -1), pa.array(list(MARKS))).fill_null(0).to_numpy()
+        ids, sizes = self._learn(bare.dictionary)
+        # Single pieces and the marks follow the learned ones.
+        singles = [("" if f else " ") + p for f, p in zip(first[alone].tolist(), flat.filter(pa.array(alone)).to_pylist())]
+        single = self._each(singles + list(MARKS))
+        pool = np.concatenate([*ids, *single])
+        sizes = np.concatenate([sizes, np.fromiter(map(len, single), np.int64, len(single))])
+        starts = np.cumsum(sizes) - sizes
+        entry, mark = np.empty(len(flat), np.int64), np.full(len(flat), -1)
+        entry[alone] = len(bare.dictionary) + np.arange(len(singles))
+        code = coded.indices.to_numpy()
+        entry[~alone] = bare.indices.to_numpy()[code]
+        mark[~alone] = np.where(marked, len(bare.dictionary) + len(singles) + last, -1)[code]
+        # One unit for each piece and each mark, and then one number for each id of a unit.
+        units = np.cumsum(1 + (mark >= 0))
+        unit = np.repeat(entry, 1 + (mark >= 0))
+        unit[units[mark >= 0] - 1] = mark[mark >= 0]
+        taken = sizes[unit]
+        upto = np.cumsum(taken)
+        place = np.repeat(starts[unit] - upto + taken, taken)
+        place += np.arange(len(place))
+        all_ids = pool[place]
+        stops = upto[units[ends - 1] - 1]
+        runs = runs.to_numpy(zero_copy_only=False)
+        out: list[np.ndarray] = [pool[:0]] * len(texts)
+        for k, a, b in zip(np.argsort(runs, kind="stable").tolist(), np.append(0, stops[:-1]).tolist(), stops.tolist()):
+            out[k] = all_ids[a:b]
         return out

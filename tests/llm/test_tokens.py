@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import json
 import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -26,6 +28,41 @@ def test_chunks_do_not_change_ids(text):
     assert tokens.encoder(tokens.public_path()).encode([text])[0].tolist() == plain(text, 0)[:-1].tolist()
 
 
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def test_batches_of_texts():
+    """Every white space before and behind spaces, texts that are cut and that are not in one batch."""
+    rng = random.Random(3)
+    texts = [f"a{b} b {b}c {b} d{b}" for b in BLANKS] + ["", " ", "  ", "x", " x", "x ", "<|endoftext|> a <|endoftext|>b"]
+    texts += [" ".join(rng.choice(["the", "word", "Wörter,", "12", "it's", "a\n"]) for _ in range(rng.randint(0, 60))) for _ in range(300)]
+    rng.shuffle(texts)
+    want = [plain(t, 0)[:-1].tolist() for t in texts]
+    enc = tokens.encoder(tokens.public_path())
+    for size in (1, 7, 400):
+        assert [x.tolist() for a in range(0, len(texts), size) for x in enc.encode(texts[a : a + size])] == want
+    assert enc.encode([]) == []
+
+
+def test_other_tokenizers_encode_whole_texts():
+    rules = json.loads(TOKENIZER.to_str())
+    assert tokens.splits_at_spaces(TOKENIZER)
+    for change in ({"pre_tokenizer": None}, {"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {**rules["pre_tokenizer"], "use_regex": False}}):
+        other = Tokenizer.from_str(json.dumps({**rules, **change}))
+        assert not tokens.splits_at_spaces(other)
+        text = "The  Word the word"
+        assert tokens.Encoder(other).encode([text])[0].tolist() == other.encode(text, add_special_tokens=False).ids
+
+
+def test_gathered_batches_keep_rows_in_order():
+    rows = [{"text": "x" * n, "k": i} for i, n in enumerate([5, 0, 40, 3, 3, 3, 100, 1])] + [{"text": None, "k": 8}]
+    batches = [pa.RecordBatch.from_pylist(rows[a : a + 4], pa.schema([("text", pa.string()), ("k", pa.int64())])) for a in (0, 4, 8)]
+    for most in (1, 10, 45, 1000):
+        got = list(tokens.gathered(iter(batches), "text", most))
+        assert [r for b in got for r in b.to_pylist()] == rows and all(b.num_rows for b in got)
+        assert all(sum(len(r["text"] or "") for r in b.to_pylist()) <= most or b.num_rows == 1 or sum(1 for r in b.to_pylist() if r["text"]) == 1 for b in got)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=40))
 def test_variable_length_round_trip(numbers):
