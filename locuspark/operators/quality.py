@@ -87,20 +87,17 @@ def dq_marker_counts(
 
 
 def dq_eigen_source(ms_metadata: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Marker sets whose stored independent-test count is not the source file's."""
+    """Marker sets whose stored independent-test count is not the source file's, or that have no source file."""
     source = lookup.select(
         "population", decimal_key(F.col("maf")).alias("_maf"), F.col("n_tests").alias("source_tests")
     )
     joined = (
         ms_metadata.select("population", "maf", "n_independent_tests")
         .withColumn("_maf", decimal_key(F.col("maf")))
-        .join(source, ["population", "_maf"])
-        .drop("_maf")
-    )
-    return _tag(
-        joined.where(~F.col("n_independent_tests").eqNullSafe(F.col("source_tests"))),
-        "eigen_source",
+        .join(source.withColumn("_found", F.lit(True)), ["population", "_maf"], "left")
     )
+    wrong = F.col("_found").isNull() | ~F.col("n_independent_tests").eqNullSafe(F.col("source_tests"))
+    return _tag(joined.where(wrong).drop("_maf", "_found"), "eigen_source")
 
 
 def dq_designations(designated: DataFrame) -> DataFrame:

@@ -44,15 +44,49 @@ def mapping_thresholds(
     alpha: float = 0.05,
     user: float | None = None,
     bf_count: str = "rows",
-    strict: bool = False,
+    missing: str = "fail",
 ) -> DataFrame:
     """mapping_id, sig_threshold_method, sig_threshold_value: one row per mapping and method.
 
     The Bonferroni count is the mapping's own row count, or with
     ``bf_count="marker_set"`` the size of its marker set. A mapping whose count
-    is missing or not positive has no row for that method; ``strict`` makes
-    that a failure instead.
+    is missing or not positive fails the job; with ``missing="skip"`` it has no
+    row for that method, and ``missing_thresholds`` reports it.
     """
+    if missing not in ("fail", "skip"):
+        raise ValueError(f"missing is fail or skip, not {missing}")
+    out = _arms(mappings, metadata, ms_metadata, methods, alpha, user, bf_count)
+    value = F.col("sig_threshold_value")
+    if missing == "fail":
+        failed = F.raise_error(F.concat("reason", F.lit(" for "), "mapping_id", F.lit(" "), "sig_threshold_method"))
+        value = F.when(value.isNotNull(), value).otherwise(failed)
+    else:
+        out = out.where(value.isNotNull())
+    return out.select("mapping_id", "sig_threshold_method", value.alias("sig_threshold_value"))
+
+
+def missing_thresholds(
+    mappings: DataFrame,
+    metadata: DataFrame,
+    ms_metadata: DataFrame,
+    methods: Sequence[str] = ("BF", "EIGEN"),
+    bf_count: str = "rows",
+) -> DataFrame:
+    """mapping_id, sig_threshold_method, reason of every mapping and method without a threshold."""
+    out = _arms(mappings, metadata, ms_metadata, methods, 0.05, 0.0, bf_count)
+    return out.where("sig_threshold_value is null").select("mapping_id", "sig_threshold_method", "reason")
+
+
+def _arms(
+    mappings: DataFrame,
+    metadata: DataFrame,
+    ms_metadata: DataFrame,
+    methods: Sequence[str],
+    alpha: float,
+    user: float | None,
+    bf_count: str,
+) -> DataFrame:
+    """Every mapping under every method, with a threshold or the reason why there is none."""
     names = _checked(methods, user)
     base = metadata.select("mapping_id", "marker_set_id").join(
         ms_metadata.select("marker_set_id", "n_markers", "n_independent_tests"),
@@ -61,7 +95,7 @@ def mapping_thresholds(
     )
     if bf_count == "rows" and "BF" in names:
         counted = mappings.groupBy("mapping_id").agg(F.count(F.lit(1)).alias("_rows"))
-        base = base.join(counted, "mapping_id")
+        base = base.join(counted, "mapping_id", "left")
     else:
         base = base.withColumn("_rows", F.col("n_markers").cast("long"))
     values = {
@@ -69,33 +103,18 @@ def mapping_thresholds(
         "EIGEN": significance_threshold(F.col("n_independent_tests"), alpha),
         "USER": F.lit(None if user is None else float(user)).cast("double"),
     }
+    counts = {"BF": F.col("_rows").cast("double"), "EIGEN": F.col("n_independent_tests"), "USER": F.lit(1.0)}
+    reason = {name: F.when(counts[name].isNull(), "no test count").when(values[name].isNull(), "no positive test count") for name in names}
     arms = F.explode(
         F.array(
             *[
                 F.struct(
                     F.lit(name).alias("sig_threshold_method"),
                     values[name].alias("sig_threshold_value"),
+                    reason[name].alias("reason"),
                 )
                 for name in names
             ]
         )
     )
-    out = base.select("mapping_id", arms.alias("_arm")).select(
-        "mapping_id", "_arm.sig_threshold_method", "_arm.sig_threshold_value"
-    )
-    if strict:
-        failed = F.raise_error(
-            F.concat(
-                F.lit("no positive test count for "),
-                F.col("mapping_id"),
-                F.lit(" "),
-                F.col("sig_threshold_method"),
-            )
-        )
-        return out.withColumn(
-            "sig_threshold_value",
-            F.when(F.col("sig_threshold_value").isNotNull(), F.col("sig_threshold_value")).otherwise(
-                failed
-            ),
-        )
-    return out.where(F.col("sig_threshold_value").isNotNull())
+    return base.select("mapping_id", arms.alias("_arm")).select("mapping_id", "_arm.*")

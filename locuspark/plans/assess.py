@@ -31,14 +31,18 @@ def process_mappings(
     ci_size: int = 150,
     snp_grouping: int = 1000,
     user: float | None = None,
+    missing: str = "fail",
 ) -> Processed:
-    """Regions and summaries; here Bonferroni counts the marker set, not the rows."""
+    """Regions and summaries; here Bonferroni counts the marker set, not the rows.
+
+    ``missing`` is that of ``mapping_thresholds``.
+    """
     if ids is not None:
         chosen = ids.select("mapping_id").distinct()
         mappings = mappings.join(chosen, "mapping_id", "left_semi")
         metadata = metadata.join(chosen, "mapping_id", "left_semi")
     thresholds = mapping_thresholds(
-        mappings, metadata, ms_metadata, methods, alpha, user, bf_count="marker_set"
+        mappings, metadata, ms_metadata, methods, alpha, user, bf_count="marker_set", missing=missing
     )
     peaked, peaks = detect(mappings, thresholds, ci_size, snp_grouping)
     return Processed(
@@ -99,13 +103,17 @@ def assess(
     alpha: float = 0.05,
     ci_size: int = 150,
     snp_grouping: int = 1000,
+    missing: str = "fail",
 ) -> DataFrame:
-    """The full assessment: variance explained once per trait, then all arms."""
+    """The full assessment: variance explained once per trait, then all arms.
+
+    ``missing`` is that of ``mapping_thresholds``.
+    """
     merged = variance.merge_genotypes(genotypes, causal_genotypes, causal, traits)
     explained = variance.variance_explained(variance.genotype_phenotype(merged, phenotypes))
     causal = stage(causal.join(explained, ["trait_id", "QTL"], "left"), "causal-explained")
     thresholds = stage(
-        mapping_thresholds(mappings, metadata, ms_metadata, methods, alpha), "thresholds"
+        mapping_thresholds(mappings, metadata, ms_metadata, methods, alpha, missing=missing), "thresholds"
     )
     _peaked, peaks = detect(mappings, thresholds, ci_size, snp_grouping)
     return compile_assessment(

@@ -45,6 +45,7 @@ def assessment(d: Domain) -> DataFrame:
         alpha=ALPHA,
         ci_size=CI_SIZE,
         snp_grouping=SNP_GROUPING,
+        missing="skip",
     )
 
 
@@ -276,6 +277,7 @@ def _(d):
         alpha=ALPHA,
         ci_size=CI_SIZE,
         snp_grouping=SNP_GROUPING,
+        missing="skip",
     )
     return out.summary.withColumn("threshold_value", r("threshold_value"))
 

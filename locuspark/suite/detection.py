@@ -24,7 +24,7 @@ def r(c: Column | str, digits: int = 9) -> Column:
 
 def arm_thresholds(d: Domain, **kw) -> DataFrame:
     return thresholds.mapping_thresholds(
-        d.mappings, d.metadata, d.marker_set_metadata, ("BF", "EIGEN"), ALPHA, **kw
+        d.mappings, d.metadata, d.marker_set_metadata, ("BF", "EIGEN"), ALPHA, missing="skip", **kw
     )
 
 
@@ -84,11 +84,24 @@ def _(d):
 )
 def _(d):
     out = thresholds.mapping_thresholds(
-        d.mappings, d.metadata, d.marker_set_metadata, ("BF", "EIGEN", "USER"), ALPHA, user=4.5
+        d.mappings, d.metadata, d.marker_set_metadata, ("BF", "EIGEN", "USER"), ALPHA, user=4.5, missing="skip"
     )
     return out.withColumn("sig_threshold_value", r("sig_threshold_value"))
 
 
+@query(
+    "agg05_missing_thresholds",
+    """select m.mapping_id, k.method as sig_threshold_method,
+              case when k.n is null then 'no test count' else 'no positive test count' end as reason
+       from metadata m left join marker_set_metadata s on s.marker_set_id = m.marker_set_id
+       left join (select mapping_id, count(*) as n from mappings group by mapping_id) c on c.mapping_id = m.mapping_id
+       cross join lateral (values ('BF', cast(c.n as double)), ('EIGEN', s.n_independent_tests)) k(method, n)
+       where k.n is null or k.n <= 0""",
+)
+def _(d):
+    return thresholds.missing_thresholds(d.mappings, d.metadata, d.marker_set_metadata)
+
+
 @query(
     "win01_marker_index",
     """select mapping_id, marker,

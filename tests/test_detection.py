@@ -206,12 +206,23 @@ def test_unknown_method_fails(spark):
         thresholds.mapping_thresholds(None, None, None, ["NOPE"])
 
 
-def test_missing_test_count_fails_when_strict(spark):
+def test_missing_test_count_fails_or_is_reported(spark):
     meta = spark.createDataFrame([("m", "s")], "mapping_id string, marker_set_id string")
     sets = spark.createDataFrame(
         [("s", 10, None)], "marker_set_id string, n_markers int, n_independent_tests double"
     )
     rows = spark.createDataFrame([("m",)], "mapping_id string")
-    assert thresholds.mapping_thresholds(rows, meta, sets, ["EIGEN"]).isEmpty()
-    with pytest.raises(Exception, match="no positive test count"):
-        thresholds.mapping_thresholds(rows, meta, sets, ["EIGEN"], strict=True).collect()
+    assert thresholds.mapping_thresholds(rows, meta, sets, ["EIGEN"], missing="skip").isEmpty()
+    with pytest.raises(Exception, match="no test count for m EIGEN"):
+        thresholds.mapping_thresholds(rows, meta, sets, ["EIGEN"]).collect()
+    with pytest.raises(ValueError, match="fail or skip"):
+        thresholds.mapping_thresholds(rows, meta, sets, missing="drop")
+    more = meta.unionByName(spark.createDataFrame([("unknown", "none"), ("zero", "z")], meta.schema))
+    sets = sets.unionByName(spark.createDataFrame([("z", 0, 0.0)], sets.schema))
+    found = thresholds.missing_thresholds(rows, more, sets)
+    assert sorted(map(tuple, found.collect())) == [
+        ("m", "EIGEN", "no test count"), ("unknown", "BF", "no test count"), ("unknown", "EIGEN", "no test count"),
+        ("zero", "BF", "no test count"), ("zero", "EIGEN", "no positive test count"),
+    ]
+    found = thresholds.missing_thresholds(rows, more, sets, ["BF"], bf_count="marker_set")
+    assert sorted(map(tuple, found.collect())) == [("unknown", "BF", "no test count"), ("zero", "BF", "no positive test count")]
