@@ -72,16 +72,18 @@ def _matrix(rows: pd.DataFrame, n: int) -> np.ndarray:
     return out
 
 
-def independent_tests(genotypes: DataFrame, min_af: float = MIN_AF) -> DataFrame:
-    """Effective number of independent tests per marker set and chromosome.
+#: Strains along one side of a tile, and partial sums of a tile added up in one task.
+TILE, ADDED = 64, 32
+_TILES = "marker_set_id string, CHROM string, n int, a int, b int, lot long, cells binary"
 
-    Counts the eigenvalues of the marker correlation matrix: one for each above
-    1, plus every fractional part. The non-zero eigenvalues equal those of the
-    strain-by-strain product of the standardised genotypes, so each task adds
-    up its markers' part of that small matrix, Spark sums the parts, and only a
-    matrix of panel size is ever decomposed. Only markers known in every strain
-    and within the frequency bounds take part. Eigenvalues within 1e-9 of an
-    integer count as that integer.
+
+def gram_tiles(genotypes: DataFrame, min_af: float = MIN_AF) -> DataFrame:
+    """marker_set_id, CHROM, n, a, b, cells: strain-by-strain products of the standardised genotypes, in tiles.
+
+    Tile (a, b) with a <= b holds the products of the strains from ``TILE * a`` with
+    those from ``TILE * b``. Every task adds up its markers' part of each tile, and
+    tasks add these parts up in two steps. Only markers known in every strain and
+    within the frequency bounds take part.
     """
     usable = marker_vectors(genotypes).where(F.size("alleles") == F.col("n_strains"))
     af = F.aggregate("alleles", F.lit(0.0), lambda acc, a: acc + F.when(a > 0, 1.0).otherwise(0.0))
@@ -91,6 +93,9 @@ def independent_tests(genotypes: DataFrame, min_af: float = MIN_AF) -> DataFrame
     )
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        lot = TaskContext.get().partitionId() // ADDED
         sums: dict[tuple[str, str], np.ndarray] = {}
         for batch in batches:
             for key, rows in batch.groupby(["marker_set_id", "CHROM"]):
@@ -100,25 +105,56 @@ def independent_tests(genotypes: DataFrame, min_af: float = MIN_AF) -> DataFrame
                 part = x.T @ x
                 sums[key] = sums[key] + part if key in sums else part
         for (set_id, chrom), total in sums.items():
-            yield pd.DataFrame(
-                {
-                    "marker_set_id": set_id,
-                    "CHROM": chrom,
-                    "i": np.arange(len(total)),
-                    "row": list(total),
-                }
-            )
+            n = len(total)
+            rows = [
+                (set_id, chrom, n, a // TILE, b // TILE, lot, np.ascontiguousarray(total[a : a + TILE, b : b + TILE]).tobytes())
+                for a in range(0, n, TILE)
+                for b in range(a, n, TILE)
+            ]
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _TILES.split(", ")])
 
-    parts = usable.mapInPandas(
-        partial, "marker_set_id string, CHROM string, i int, row array<double>"
-    )
-    cells = parts.select("marker_set_id", "CHROM", "i", F.posexplode("row").alias("j", "v"))
-    gram = cells.groupBy("marker_set_id", "CHROM", "i", "j").agg(F.sum("v").alias("v"))
+    def added(rows: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(c) for c in rows["cells"])
+        return rows.iloc[:1].assign(cells=[total.tobytes()])
+
+    keys = ["marker_set_id", "CHROM", "n", "a", "b"]
+    parts = usable.mapInPandas(partial, _TILES).groupBy(*keys, "lot").applyInPandas(added, _TILES)
+    return parts.groupBy(*keys).applyInPandas(added, _TILES).drop("lot")
+
+
+def gram_cells(tiles: DataFrame) -> DataFrame:
+    """marker_set_id, CHROM, i, j, v with i <= j: the tiles cell by cell."""
+
+    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for t in batch.itertuples():
+                wide = min(TILE, t.n - TILE * t.b)
+                v = np.frombuffer(t.cells).reshape(-1, wide)
+                i, j = np.indices(v.shape) + np.array([TILE * t.a, TILE * t.b])[:, None, None]
+                upper = i <= j
+                yield pd.DataFrame({"marker_set_id": t.marker_set_id, "CHROM": t.CHROM, "i": i[upper], "j": j[upper], "v": v[upper]})
+
+    return tiles.mapInPandas(cells, "marker_set_id string, CHROM string, i int, j int, v double")
+
+
+def independent_tests(genotypes: DataFrame, min_af: float = MIN_AF) -> DataFrame:
+    """Effective number of independent tests per marker set and chromosome.
+
+    Counts the eigenvalues of the marker correlation matrix: one for each above
+    1, plus every fractional part. The non-zero eigenvalues equal those of the
+    strain-by-strain product of the standardised genotypes (``gram_tiles``), so
+    only a matrix of panel size is ever decomposed. Eigenvalues within 1e-9 of
+    an integer count as that integer.
+    """
 
     def count(rows: pd.DataFrame) -> pd.DataFrame:
-        n = int(rows["i"].max()) + 1
+        n = int(rows["n"].iloc[0])
         g = np.zeros((n, n))
-        g[rows["i"], rows["j"]] = rows["v"]
+        for t in rows.itertuples():
+            a, b = TILE * t.a, TILE * t.b
+            v = np.frombuffer(t.cells).reshape(min(TILE, n - a), -1)
+            g[a : a + TILE, b : b + TILE] = v
+            g[b : b + TILE, a : a + TILE] = v.T
         value = np.abs(np.linalg.eigvalsh((g + g.T) / 2))
         near = np.rint(value)
         value = np.where(np.abs(value - near) <= SNAP, near, value)
@@ -132,7 +168,7 @@ def independent_tests(genotypes: DataFrame, min_af: float = MIN_AF) -> DataFrame
             }
         )
 
-    return gram.groupBy("marker_set_id", "CHROM").applyInPandas(
+    return gram_tiles(genotypes, min_af).groupBy("marker_set_id", "CHROM").applyInPandas(
         count, "marker_set_id string, CHROM string, n_tests double"
     )
 

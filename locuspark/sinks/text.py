@@ -96,6 +96,27 @@ def write_block_gzip(lines: DataFrame, folder: str, header: Sequence[str] = (),
     return lines.select("value").mapInPandas(write, "path string")
 
 
+def write_bytes(partitions: DataFrame, folder: str, data: bytes, name: str) -> DataFrame:
+    """A file of these bytes in the partition folder of every row; the columns of ``partitions`` name it. Returns the paths."""
+    base, keys = qualified_uri(partitions.sparkSession, folder), partitions.columns
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            paths = []
+            for row in batch.itertuples(index=False):
+                place = "/".join([base, *(f"{k}={v}" for k, v in zip(keys, row))])
+                filesystem, root = fs.FileSystem.from_uri(place)
+                filesystem.create_dir(root, recursive=True)
+                with filesystem.open_output_stream(f"{root}/{name}") as out:
+                    out.write(data)
+                paths.append(f"{place}/{name}")
+            yield pd.DataFrame({"path": paths})
+
+    return partitions.mapInPandas(write, "path string")
+
+
 def hash_manifest(spark: SparkSession, directory: str, block: int = 1 << 22) -> DataFrame:
     """path, bytes and SHA-256 of every file below a folder, sorted by path.
 

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from locuspark import schemas
+from locuspark.operators.sets import union_all
+from locuspark.sources.footers import footers, from_path
 
 # Folder of every table below the database root.
 LAYOUT = {
@@ -96,15 +98,27 @@ def open_db(spark: SparkSession, base: str) -> list[str]:
 
 
 def empty_mappings(expected: DataFrame, mappings: DataFrame) -> DataFrame:
-    """Expected mappings without a single stored row.
-
-    A partition whose files cannot be read counts as empty: read the mappings
-    with :func:`read_tolerant` for that.
-    """
+    """Expected mappings without a single stored row in ``mappings``."""
     present = mappings.select("mapping_id").distinct()
     return expected.join(present, "mapping_id", "left_anti")
 
 
+def empty_partitions(spark: SparkSession, base: str, expected: DataFrame) -> DataFrame:
+    """mapping_id, n_files, n_unreadable of expected mappings without a row that can be read.
+
+    File footers tell; no row is read. A mapping whose files are all unreadable
+    or empty counts as empty, as does one without files.
+    """
+    files = footers(spark, table_path(base, "mappings")).withColumn("mapping_id", from_path("mapping_id"))
+    found = files.groupBy("mapping_id").agg(
+        F.count(F.lit(1)).alias("n_files"),
+        F.count("problem").alias("n_unreadable"),
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("_rows"),
+    )
+    joined = expected.join(found, "mapping_id", "left").where(F.coalesce("_rows", F.lit(0)) == 0)
+    return joined.select("mapping_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_files", "n_unreadable")])
+
+
 def read_tolerant(spark: SparkSession, base: str) -> DataFrame:
     """Mappings with unreadable files skipped instead of failing the scan."""
     return (
@@ -114,13 +128,6 @@ def read_tolerant(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def file_sizes(df: DataFrame) -> DataFrame:
-    """path and bytes of every file a table is read from."""
-    return df.select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")
-    ).distinct()
-
-
 def db_stats(spark: SparkSession, base: str) -> DataFrame:
     """One row of database statistics."""
     sets = read_or_empty(spark, base, "marker_set_metadata")
@@ -134,15 +141,14 @@ def db_stats(spark: SparkSession, base: str) -> DataFrame:
         F.countDistinct("mapping_id").alias("n_mappings"),
     )
     parts = mappings.agg(F.countDistinct("mapping_id").alias("n_partitions"))
-    sized = None
-    for table in ("markers", "mappings", "metadata", "marker_set_metadata"):
-        df = read_table(spark, base, table)
-        if df is not None:
-            one = file_sizes(df)
-            sized = one if sized is None else sized.unionByName(one)
-    if sized is None:
+    found = [t for t in ("markers", "mappings", "metadata", "marker_set_metadata") if read_table(spark, base, t) is not None]
+    if not found:
         raise FileNotFoundError(f"no database at {base}")
-    size = sized.agg(F.bround(F.sum("bytes") / F.lit(1024.0 * 1024.0), 2).alias("total_size_mb"))
+    files = union_all(footers(spark, table_path(base, t)) for t in found)
+    size = files.agg(
+        F.bround(F.sum("bytes") / F.lit(1024.0 * 1024.0), 2).alias("total_size_mb"),
+        F.count("problem").alias("n_unreadable_files"),
+    )
     # Five one-row aggregates, joined on a constant.
     out = counted.withColumn("_one", F.lit(1))
     for part in (eigen, runs, parts, size):
@@ -150,15 +156,15 @@ def db_stats(spark: SparkSession, base: str) -> DataFrame:
     return out.drop("_one")
 
 
-def result_stats(regions: DataFrame, summary: DataFrame) -> DataFrame:
-    """Files, regions and summary rows of the analysis results."""
-    counted = regions.agg(F.count(F.lit(1)).alias("n_regions"))
-    rows = summary.agg(F.count(F.lit(1)).alias("n_summary_rows"))
-    files = file_sizes(regions).agg(F.count(F.lit(1)).alias("n_region_files"))
-    one = F.lit(1)
-    return (
-        counted.withColumn("_one", one)
-        .join(rows.withColumn("_one", one), "_one")
-        .join(files.withColumn("_one", one), "_one")
-        .drop("_one")
+def result_stats(spark: SparkSession, base: str) -> DataFrame:
+    """Files, regions, summary rows and unreadable files of the analysis results, from file footers."""
+    kinds = ("qtl_regions", "analysis_summary")
+    files = union_all(footers(spark, table_path(base, t)).withColumn("kind", F.lit(t)) for t in kinds)
+    own = {t: F.col("kind") == t for t in kinds}
+    rows = {t: F.coalesce(F.sum(F.when(own[t], F.col("n_rows"))), F.lit(0)) for t in kinds}
+    return files.agg(
+        rows["qtl_regions"].alias("n_regions"),
+        rows["analysis_summary"].alias("n_summary_rows"),
+        F.count(F.when(own["qtl_regions"], 1)).alias("n_region_files"),
+        F.count("problem").alias("n_unreadable_files"),
     )

@@ -586,16 +586,13 @@ def _(d):
 @query(
     "agg24_result_stats",
     """select (select count(*) from a_peaks) as n_regions,
-              (select count(*) from (select distinct mapping_id, method from a_flag) z) as n_summary_rows""",
+              (select count(*) from (select distinct mapping_id, method from a_flag) z) as n_summary_rows,
+              true as has_files, 0 as n_unreadable_files""",
 )
 def _(d):
-    base = result_tables(d)
-    out = catalog.result_stats(
-        catalog.read_or_empty(d.spark, base, "qtl_regions"),
-        catalog.read_or_empty(d.spark, base, "analysis_summary"),
-    )
     # The number of files depends on how the writer split the partitions.
-    return out.drop("n_region_files")
+    out = catalog.result_stats(d.spark, result_tables(d))
+    return out.withColumn("n_region_files", F.col("n_region_files") > 0).withColumnRenamed("n_region_files", "has_files")
 
 
 @query(
@@ -639,11 +636,27 @@ def _(d):
               (select count(n_independent_tests) from marker_set_metadata) as n_marker_sets_with_eigen,
               (select count(distinct population) from metadata) as n_populations,
               (select count(*) from metadata) as n_mappings,
-              (select count(distinct mapping_id) from mappings) as n_partitions""",
+              (select count(distinct mapping_id) from mappings) as n_partitions, true as has_size, 0 as n_unreadable_files""",
 )
 def _(d):
     # The size depends on compression and file layout; pytest checks it against the file system.
-    return catalog.db_stats(d.spark, database(d)).drop("total_size_mb")
+    out = catalog.db_stats(d.spark, database(d))
+    return out.withColumn("total_size_mb", F.col("total_size_mb") > 0).withColumnRenamed("total_size_mb", "has_size")
+
+
+@query(
+    "agg25_empty_partitions",
+    """select mapping_id, case when population = 'ct.panel' then 1 else 0 end as n_files,
+              case when population = 'ct.panel' then 1 else 0 end as n_unreadable
+       from metadata where population in ('ct.panel', 'cb.panel')""",
+)
+def _(d):
+    """Of three populations one is stored, one has a damaged file for each mapping, one has none."""
+    base = scratch_dir(d.spark, "database")
+    DB.write_mappings(d.mappings.where(F.col("population") == "ce.panel"), base)
+    damaged = d.metadata.where(F.col("population") == "ct.panel").select("population", "mapping_id")
+    stage(TX.write_bytes(damaged, catalog.table_path(base, "mappings"), b"PAR1 cut off", "part-0.parquet"), "damaged")
+    return catalog.empty_partitions(d.spark, base, d.metadata.select("mapping_id"))
 
 
 @query(

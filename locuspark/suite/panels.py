@@ -134,6 +134,27 @@ def dense(d: Domain) -> DataFrame:
     return G.melt_genotypes(wide).withColumn("marker_set_id", F.lit("dense"))
 
 
+_DENSE = """select v.CHROM, v.POS, n.n_nationkey as strain, case when c.code between 6 and 10 then 1.0 else -1.0 end::double as x,
+     least(avg(case when c.code between 6 and 10 then 1.0 else 0.0 end) over (partition by v.pk),
+           1 - avg(case when c.code between 6 and 10 then 1.0 else 0.0 end) over (partition by v.pk)) as maf
+   from d_variants v join (select distinct pk from d_calls) y on y.pk = v.pk
+   cross join nation n left join d_calls c on c.pk = v.pk and c.nk = n.n_nationkey"""
+
+
+@query(
+    "agg14_gram",
+    f"""with k as ({_DENSE}), z as (
+          select CHROM, POS, strain, (x - avg(x) over w) / sqrt(var_pop(x) over w * count(*) over w) as z
+          from k where maf >= 0.05 window w as (partition by CHROM, POS)),
+        o as (select n_nationkey as strain, cast(row_number() over (order by concat('S', n_nationkey)) - 1 as int) as i from nation),
+        p as (select z.*, o.i from z join o on o.strain = z.strain)
+        select 'dense' as marker_set_id, a.CHROM, a.i, b.i as j, {rnd('sum(a.z * b.z)', 6)} as v
+        from p a join p b on b.CHROM = a.CHROM and b.POS = a.POS and b.i >= a.i group by a.CHROM, a.i, b.i""",
+)
+def _(d):
+    return rounded(linkage.gram_cells(linkage.gram_tiles(dense(d))), 6)
+
+
 @query("agg14_independent_tests")
 def _(d):
     return rounded(linkage.total_independent_tests(linkage.independent_tests(dense(d))), 6)
@@ -190,13 +211,6 @@ def _prune_sql(typed: str, limit: float) -> str:
         gone as (select CHROM, POS from r where fired)"""
 
 
-_DENSE = """select v.CHROM, v.POS, n.n_nationkey as strain, case when c.code between 6 and 10 then 1.0 else -1.0 end::double as x,
-     least(avg(case when c.code between 6 and 10 then 1.0 else 0.0 end) over (partition by v.pk),
-           1 - avg(case when c.code between 6 and 10 then 1.0 else 0.0 end) over (partition by v.pk)) as maf
-   from d_variants v join (select distinct pk from d_calls) y on y.pk = v.pk
-   cross join nation n left join d_calls c on c.pk = v.pk and c.nk = n.n_nationkey"""
-
-
 @query(
     "agg15_ld_prune",
     f"with recursive {_prune_sql(_DENSE, 0.5)} select 'dense' as marker_set_id, CHROM, POS from gone",

@@ -16,6 +16,7 @@ from locuspark.sinks import database as DB
 from locuspark.sinks import plink as plink_sink
 from locuspark.sinks import text as TX
 from locuspark.sources import bgzf, catalog, genotypes, params, plink, results
+from locuspark.sources.footers import footers
 
 
 def put(folder, name, text):
@@ -364,9 +365,9 @@ def test_database_life_cycle(spark, tmp_path):
         for table in ("markers", "mappings", "metadata", "marker_set_metadata")
         for d, _s, fs in os.walk(catalog.table_path(base, table))
         for f in fs
-        if f.endswith(".parquet") and "mapping_id=" in d
+        if f.endswith(".parquet")
     )
-    assert stats["n_partitions"] == 2 and stats["total_size_mb"] == round(size / 1024**2, 2)
+    assert stats["n_partitions"] == 2 and stats["n_unreadable_files"] == 0 and stats["total_size_mb"] == round(size / 1024**2, 2)
 
 
 def test_unreadable_partition_counts_as_empty(spark, tmp_path):
@@ -380,6 +381,11 @@ def test_unreadable_partition_counts_as_empty(spark, tmp_path):
     expected = spark.createDataFrame([("m1",), ("m2",), ("m3",)], "mapping_id string")
     got = catalog.empty_mappings(expected, catalog.read_tolerant(spark, base))
     assert sorted(r[0] for r in got.collect()) == ["m2", "m3"]
+    (broken,) = footers(spark, catalog.table_path(base, "mappings")).where("problem is not null").collect()
+    assert "mapping_id=m2" in broken.path and broken.bytes == 6 and broken.n_rows is None
+    found = catalog.empty_partitions(spark, base, expected)
+    assert sorted(map(tuple, found.collect())) == [("m2", 1, 1), ("m3", 0, 0)]
+    assert footers(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_file_hashes(spark, tmp_path):

@@ -233,6 +233,27 @@ def test_independent_tests_match_the_full_correlation_matrix(spark):
     assert len(got) == 1 and got[0]["n_tests"] == pytest.approx(want, abs=1e-6)
 
 
+def test_gram_in_tiles_equals_the_product(spark, monkeypatch):
+    """Tiles smaller than the panel, more tasks than are added up at once."""
+    monkeypatch.setattr(linkage, "TILE", 4)
+    monkeypatch.setattr(linkage, "ADDED", 2)
+    m = random_matrix(6, 60, 11, copy=0.2)
+    m = m[~np.isnan(m).any(axis=1)]
+    frame = genotype_frame(spark, m).repartition(7)
+    names = sorted({r["strain"] for r in frame.select("strain").distinct().collect()})
+    tiles = linkage.gram_tiles(frame)
+    assert {(t.a, t.b) for t in tiles.collect()} == {(a, b) for a in range(3) for b in range(a, 3)}
+    got = {(r.i, r.j): r.v for r in linkage.gram_cells(tiles).collect()}
+    wide = frame.groupBy("CHROM", "POS").pivot("strain", names).agg(F.first("allele")).toPandas()[names].to_numpy(float)
+    af = (wide == 1).mean(axis=1)
+    wide = wide[(af >= 0.05) & (af <= 0.95)]
+    z = wide - wide.mean(axis=1, keepdims=True)
+    z /= np.sqrt((z * z).sum(axis=1, keepdims=True))
+    want = z.T @ z
+    assert set(got) == {(i, j) for i in range(11) for j in range(i, 11)}
+    assert all(v == pytest.approx(want[i, j], abs=1e-9) for (i, j), v in got.items())
+
+
 def test_quantiles_are_exact(spark):
     """400,000 rows in one group, heavy ties, any scale and both signs, null groups and single values."""
     rng = np.random.default_rng(4)
