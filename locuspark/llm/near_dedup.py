@@ -9,12 +9,14 @@
    component with the probability Jaccard similarity of the weighted sets. A
    text that repeats a shingle has a second signature, of weights 1, which
    agrees with the Jaccard similarity of the sets; both are banded.
-3. Bands of components are bucket keys. In each bucket the members are compared
-   with leaders, not with each other: first with one, then, in buckets whose
-   other members are not all connected yet, with more and more leaders at once,
-   until every pair of the bucket was compared or is connected anyway. So no
-   link between contents that share a bucket is lost, and groups of copies of
-   any size cost one comparison per member and leader.
+3. Bands of components are bucket keys. In each bucket the members are first
+   compared with one leader: groups of copies of any size cost one comparison per
+   member. Members of buckets that are not connected then meet at their rarest
+   shingles, see ``_rare``: two contents that reach the similarity always share one,
+   while contents with enough shingles of their own meet nobody, however crowded
+   their bucket. Where several meet they are again compared with leaders, more and
+   more at once, until every pair was compared or is connected anyway. So no link
+   between contents that share a bucket is lost.
 4. Compared pairs are verified on their shingles. Links are joined to components
    by star contraction. All of this is tables in the shared folder.
 """
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from locuspark.llm.common import arrow_batches, mix64, slices, stage, text_of
@@ -196,6 +198,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _node_shingles(docs: DataFrame, contents: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """node, h, c: the shingles of every node in ``nodes``, read from one document of its content.
 
+    c are the counts; it is empty where every shingle occurs once.
     Texts are read once for all rounds, and only those of these documents are looked at.
     """
     wanted = stage(contents.select("node", "key", F.col("doc_id").alias("of")).join(nodes, "node"), "near-wanted")
@@ -204,7 +207,7 @@ def _node_shingles(docs: DataFrame, contents: DataFrame, nodes: DataFrame, id_co
         for batch in slices(batches, "text", 1_000_000):
             sets = [shingles(t) for t in batch.column("text").to_pylist()]
             h = pa.array([x.tobytes() for x, _ in sets], pa.binary())
-            c = pa.array([x.astype("<u4").tobytes() for _, x in sets], pa.binary())
+            c = pa.array([x.astype("<u4").tobytes() if (x > 1).any() else b"" for _, x in sets], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("node"), h, c], names=["node", "h", "c"])
 
     known, unknown = wanted.where("of is not null"), wanted.where("of is null")
@@ -224,6 +227,10 @@ def _possible(contents: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(alike).select("a", "b")
 
 
+def _counts(c: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(c, "<u4") if c else np.ones(n, np.uint32)
+
+
 def _links(sets: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
     """The pairs whose similarity is ``least`` or more: of their sets, or of their weighted sets."""
 
@@ -232,10 +239,8 @@ def _links(sets: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
             kept = []
             for ah, ac, bh, bc in zip(*[batch.column(c).to_pylist() for c in ("ah", "ac", "bh", "bc")]):
                 a, b = np.frombuffer(ah, np.uint64), np.frombuffer(bh, np.uint64)
-                kept.append(
-                    jaccard(a, b) >= least
-                    or probability_jaccard(a, np.frombuffer(ac, "<u4"), b, np.frombuffer(bc, "<u4")) >= least
-                )
+                weighted = bool(ac or bc)  # else both similarities are the same
+                kept.append(jaccard(a, b) >= least or (weighted and probability_jaccard(a, _counts(ac, len(a)), b, _counts(bc, len(b))) >= least))
             mask = pa.array(kept, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
 
@@ -248,6 +253,43 @@ def _links(sets: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
     return stage(arrow_batches(with_b).mapInArrow(run, "a long, b long"), "near-links")
 
 
+def _rare(sets: DataFrame, open_: DataFrame, least: float) -> DataFrame:
+    """node, n, repeats, band, short: the rarest shingles of every node of ``open_``, as keys where nodes meet.
+
+    Shingles are ordered by the number of these nodes that hold them. Of two sets
+    of similarity t, the shared shingles are t of either set and 2t / (1 + t) of the
+    smaller one; probability Jaccard t means that they have t of either's weight. So
+    the first shared one in that order comes before the rest of that share, in both,
+    and no linked pair is lost. ``short`` says that it does so for the smaller set.
+    Shingles of one node alone come first and need no key. The order is taken within
+    one content at a time.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "h", 2_000_000):
+            h = [np.frombuffer(x, np.int64) for x in batch.column("h").to_pylist()]
+            c = [_counts(x, len(own)) for x, own in zip(batch.column("c").to_pylist(), h)]
+            sizes = np.array([len(x) for x in h])
+            weight = np.repeat(np.array([x.sum() for x in c], np.int64), sizes)
+            node = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), sizes)
+            columns = [node, np.concatenate(h), np.concatenate(c).astype(np.int64), np.repeat(sizes, sizes), weight]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["node", "band", "c", "n", "weight"])
+
+    nodes = stage(open_.select("node").distinct(), "near-open")
+    spelt = stage(arrow_batches(sets.join(nodes, "node", "left_semi")).mapInArrow(run, "node long, band long, c long, n long, weight long"), "near-spelt")
+    often = spelt.groupBy("band").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    own = Window.partitionBy("node")
+    before = own.orderBy("holders", "band").rowsBetween(Window.unboundedPreceding, -1)
+    placed = spelt.join(often, "band").select(
+        "*",
+        (F.col("n") - F.count(F.lit(1)).over(own) + F.count(F.lit(1)).over(before)).alias("rank"),
+        (F.col("weight") - F.sum("c").over(own) + F.coalesce(F.sum("c").over(before), F.lit(0))).alias("lighter"),
+    )
+    by_set, by_weight = (F.col(x) <= F.col(whole) * (1 - least + 1e-9) for x, whole in (("rank", "n"), ("lighter", "weight")))
+    short = F.col("rank") <= F.col("n") * ((1 - least) / (1 + least) + 1e-9)
+    return placed.where(by_set | by_weight).select("node", "n", (F.col("weight") > F.col("n")).alias("repeats"), "band", short.alias("short"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, comp for every node of edges (a, b); comp is the smallest node it is connected with.
 
@@ -315,9 +357,8 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, least: float = SIMILAR
     sets = _node_shingles(docs, contents, found.select(F.explode(F.array("a", "b")).alias("node")).distinct(), id_col, text_col)
     links = _links(sets, _possible(contents, found, least), least)
     forest = components(links)
-    # From here on members carry what comparing them in a bucket takes.
-    open_ = _unsettled(open_.select("node", "band"), forest).join(contents.select("node", "n", "repeats"), "node")
-    open_ = stage(open_, "near-members")
+    open_ = stage(_unsettled(open_.select("node", "band"), forest), "near-members")
+    open_ = stage(_unsettled(stage(_rare(sets, open_, least), "near-rare"), forest), "near-members")
     leaders = 1
     while not open_.isEmpty():
         leaders *= 8
@@ -341,12 +382,15 @@ def _unsettled(open_: DataFrame, forest: DataFrame) -> DataFrame:
 
 
 def _next(open_: DataFrame, leaders: int, least: float) -> tuple[DataFrame, DataFrame]:
-    """Possible pairs of up to ``leaders`` members of each bucket with the others of other components, and who is left."""
+    """Possible pairs of up to ``leaders`` holders of each rare shingle with the others of other components, and who is left."""
+    names = ("node", "n", "repeats", "comp", "short")
     part = F.pmod(F.xxhash64("node"), F.lit(leaders))
-    lead = open_.groupBy("band", part.alias("part")).agg(F.min(F.struct("node", "n", "repeats", "comp")).alias("lead"))
-    lead = stage(lead.select(F.col("band").alias("l_band"), "lead.*").withColumnsRenamed({c: f"l_{c}" for c in ("node", "n", "repeats", "comp")}), "near-leaders")
+    lead = open_.groupBy("band", part.alias("part")).agg(F.min(F.struct(*names)).alias("lead"))
+    lead = stage(lead.select(F.col("band").alias("l_band"), "lead.*").withColumnsRenamed({c: f"l_{c}" for c in names}), "near-leaders")
     meet = (F.col("band") == F.col("l_band")) & (F.col("comp") != F.col("l_comp"))
-    joined = open_.join(lead, meet & _alike(F.col("n"), F.col("l_n"), F.col("repeats") | F.col("l_repeats"), least))
+    repeats = F.col("repeats") | F.col("l_repeats")
+    smaller = F.when(F.col("n") <= F.col("l_n"), F.col("short")).otherwise(F.col("l_short"))
+    joined = open_.join(lead, meet & (repeats | smaller) & _alike(F.col("n"), F.col("l_n"), repeats, least))
     pairs = _ordered(joined.select(F.col("node").alias("x"), F.col("l_node").alias("y")))
     rest = open_.join(lead, (F.col("band") == F.col("l_band")) & (F.col("node") == F.col("l_node")), "left_anti")
     return pairs, stage(rest, "near-members")

@@ -4,8 +4,10 @@ import hashlib
 import random
 import re
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from locuspark.llm import exact_dedup, near_dedup
@@ -154,6 +156,62 @@ def test_near_groups_compares_whole_buckets(table):
     assert {r.doc_id: r.class_id for r in near_dedup.near_groups(table(rows), least=0.95, bands=6, rows=1).collect()} == near_by_hand(rows, 0.95)
 
 
+def crowd(seed: int, groups: int, common: int):
+    """Texts that share most words but not enough, among them near copies that no leader of the whole bucket finds."""
+    rng = random.Random(seed)
+    head = [f"c{k}" for k in range(common)]
+    rows = []
+    for g in range(groups):
+        own = [f"g{g}x{k}" for k in range(rng.randint(20, 60))]
+        for k in range(rng.choice([1, 1, 2, 4])):
+            text = head + own[: len(own) - rng.randint(0, 12)]
+            if rng.random() < 0.3:
+                text = text + [f"g{g}r{j}" for j in range(8)] * rng.randint(2, 4)
+            rows.append((10 * g + k, " ".join(text)))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_groups_in_a_crowd_of_unlike_texts(table, seed):
+    rows = crowd(seed, 60, 50)
+    sets = {i: near_dedup.shingles(t) for i, t in rows}
+    own = {i: i for i in sets}
+    for a, b in combinations(sorted(sets), 2):
+        if near_dedup.jaccard(sets[a][0], sets[b][0]) >= 0.8 or near_dedup.probability_jaccard(*sets[a], *sets[b]) >= 0.8:
+            old, new = max(own[a], own[b]), min(own[a], own[b])
+            own = {i: new if r == old else r for i, r in own.items()}
+    assert {r.doc_id: r.class_id for r in near_dedup.near_groups(table(rows), bands=60, rows=1).collect()} == own
+
+
+def test_rare_shingles_meet_every_linked_pair_and_few_others(spark):
+    """Sets with and without counts, of a pool with common and rare members; all pairs against those that share a key."""
+    rng = np.random.default_rng(4)
+    pool = rng.integers(0, 2**63, 400, dtype=np.uint64)
+    sets = []
+    for g in range(30):
+        base = np.concatenate([pool[:60], pool[60 + 10 * g : 60 + 10 * g + rng.integers(10, 40)]])
+        for _ in range(4):
+            h = np.sort(base[rng.random(len(base)) < rng.uniform(0.85, 1)])
+            c = rng.integers(1, 9, len(h)) if rng.random() < 0.4 else np.ones(len(h), int)
+            sets.append((h, c))
+    rows = [(k, h.tobytes(), c.astype("<u4").tobytes() if (c > 1).any() else b"") for k, (h, c) in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "node long, h binary, c binary")
+    keys: dict[int, dict[int, bool]] = {}
+    for r in near_dedup._rare(frame, frame, 0.8).collect():
+        keys.setdefault(r.node, {})[r.band] = r.short
+        assert r.n == len(sets[r.node][0]) and r.repeats == (sets[r.node][1] > 1).any()
+    links = 0
+    for a, b in combinations(range(len(sets)), 2):
+        (ha, ca), (hb, cb) = sets[a], sets[b]
+        if near_dedup.jaccard(ha, hb) >= 0.8 or near_dedup.probability_jaccard(ha, ca, hb, cb) >= 0.8:
+            links += 1
+            both = keys.get(a, {}).keys() & keys.get(b, {}).keys()
+            small = keys.get(a if len(ha) <= len(hb) else b, {})
+            assert both and ((ca > 1).any() or (cb > 1).any() or any(small[h] for h in both))
+    assert links > 20
+
+
 def test_near_groups_odd_rows(table):
     got = {(r.doc_id, r.class_id, r.class_size, r.kept) for r in near_dedup.near_groups(table(ODD)).collect()}
     assert got == {(1, 1, 1, True), (2, 2, 1, True), (3, 3, 1, True), (4, 4, 1, True), (5, 5, 1, True), (6, 6, 2, True), (None, None, 1, True)}
