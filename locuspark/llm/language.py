@@ -213,10 +213,12 @@ def _samples(texts: DataFrame, counts: dict[str, int], sample: int) -> dict[str,
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred, lang_score and lang_rejected; its own columns stay.
+    """``docs`` with lang_pred, lang_score and lang_rejected, which replace columns of these names; its others stay.
 
     A null text, or one without a letter, is ``und``, scores 0 and is rejected.
+    Repeated rows stay, an empty table gives an empty result.
     """
+    docs = docs.drop("lang_pred", "lang_score", "lang_rejected")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     at = names.index(text_col)
@@ -237,6 +239,8 @@ def fit_held_in(docs: DataFrame, id_col: str = "doc_id", **options) -> Model:
 
 
 def recognised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` whose language is recognised, columns unchanged."""
+    """The rows of ``docs`` whose language is recognised; all columns, whatever their names, unchanged."""
     model = fit_held_in(docs, id_col, text_col=text_col, lang_col=lang_col)
-    return predict(docs, model, id_col, text_col).where(~F.col("lang_rejected")).select(*docs.columns)
+    numbered = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    found = predict(docs.toDF(*numbered.values()), model, numbered[id_col], numbered[text_col]).where(~F.col("lang_rejected"))
+    return found.select(*[F.col(k).alias(c) for c, k in numbered.items()])

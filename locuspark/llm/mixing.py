@@ -164,17 +164,28 @@ def mix(
 
     ``sources`` is an array of strings for each document; the sources of a
     document share its words. New columns: mix_sources (name, size and target of
-    each source), mix_size, mix_copies; columns of ``docs`` keep their names.
+    each source), mix_size, mix_copies; they replace columns of ``docs`` with these
+    names, all others keep theirs, whatever they are called.
     A null text has no words. Rows with the same id, size and sources are taken
-    together or not at all; a document without sources is never taken. Weights default to 1, 2, 3, repeating. Without
-    words nothing is taken; an empty table gives an empty result.
+    together or not at all; a document whose array is null or empty is never taken.
+    Weights default to 1, 2, 3, repeating. Without words nothing is taken; an empty
+    table gives an empty result.
     """
+    new = ("mix_sources", "mix_size", "mix_copies")
+    own = [c for c in docs.columns if c.lower() not in new]
+    return _mix(docs, sources, weights, limit, seed, id_col, text_col).select(*[F.col("row").getField(c).alias(c) for c in own], *new)
+
+
+def _mix(docs: DataFrame, sources: Column, weights: Mapping[str | None, int] | None, limit: int, seed: int, id_col: str, text_col: str) -> DataFrame:
+    """row (all columns of a document), mix_sources, mix_size, mix_copies."""
     spark = docs.sparkSession
     size = word_count(F.coalesce(docs[text_col].cast("string"), F.lit("")))
     key = F.shiftrightunsigned(F.xxhash64(F.lit(seed), docs[id_col].cast("string")), 64 - KEY_BITS)
-    marked = docs.withColumns({"mix_pattern": F.to_json(sources), "mix_size": size, "mix_key": key})
+    named = F.coalesce(sources, F.array().cast("array<string>"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    marked = docs.select(row, F.to_json(named).alias("mix_pattern"), size.alias("mix_size"), key.alias("mix_key"), docs[id_col].cast("string").alias("mix_doc_id"))
     narrow = stage(
-        marked.groupBy("mix_pattern", F.col("mix_key").alias("key"), F.col(id_col).cast("string").alias("doc_id"), F.col("mix_size").alias("size"))
+        marked.groupBy("mix_pattern", F.col("mix_key").alias("key"), F.col("mix_doc_id").alias("doc_id"), F.col("mix_size").alias("size"))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumnRenamed("mix_pattern", "pattern"),
         "mix-documents",
@@ -208,20 +219,28 @@ def mix(
     chosen = stage(cell.groupBy("pattern").applyInPandas(_fill, "pattern string, key long, doc_id string, size long, extra int"), "mix-chosen")
     names_of = {c: f"mix_{c}" for c in ("pattern", "key", "size", "doc_id")}
     chosen = chosen.withColumnsRenamed(names_of)
-    placed = marked.withColumn("mix_doc_id", F.col(id_col).cast("string")).join(state.withColumnRenamed("pattern", "mix_pattern"), "mix_pattern")
+    placed = marked.join(state.withColumnRenamed("pattern", "mix_pattern"), "mix_pattern")
     same = [marked_c.eqNullSafe(chosen[c]) if c == "mix_doc_id" else marked_c == chosen[c] for c, marked_c in ((c, placed[c]) for c in names_of.values())]
     joined = placed.join(chosen, same, "left")
     extra = F.when(placed["mix_key"] < placed["lo"], 1).otherwise(F.coalesce(chosen["extra"], F.lit(0)))
     return joined.select(
-        *[placed[c] for c in docs.columns],
+        placed["row"],
         placed["sources"].alias("mix_sources"),
         placed["mix_size"],
         (placed["full"] + extra).cast("int").alias("mix_copies"),
     )
 
 
-def mixed(docs: DataFrame, source_col: str = "source", **options) -> DataFrame:
-    """The documents of a mix of single sources: each row as often as it is taken."""
-    columns = docs.columns
-    taken = mix(docs, F.array(F.col(source_col).cast("string")), **options).where("mix_copies > 0")
-    return taken.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), "mix_copies"))).select(*columns)
+def mixed(
+    docs: DataFrame,
+    source_col: str = "source",
+    weights: Mapping[str | None, int] | None = None,
+    limit: int = 3,
+    seed: int = 7,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The documents of a mix of single sources: each row as often as it is taken, with the columns of ``docs`` as they are."""
+    taken = _mix(docs, F.array(F.col(source_col).cast("string")), weights, limit, seed, id_col, text_col).where("mix_copies > 0")
+    copies = taken.select("row", F.explode(F.sequence(F.lit(1), "mix_copies")))
+    return copies.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -3,7 +3,10 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
+from locuspark.llm import language, mixing
 from tests.llm.test_duplicates import near_by_hand, norm
 
 
@@ -32,3 +35,19 @@ def test_first_stages_against_plain_python(spark, table):
     numbered = sorted(((i, t) for t, i in first.items()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
     root = near_by_hand(list(enumerate(t for _, t in numbered)))
     assert rows(stages["near_duplicates"](spark, exact, "")) == Counter(numbered[k] for k in set(root.values()))
+
+
+def test_stages_leave_columns_with_their_own_names_alone(spark):
+    """Input columns bear the names that the stages use themselves."""
+    names = ["lang_pred", "lang_score", "lang_rejected", "row", "lo", "hi", "rest", "full", "docs", "sources", "mix_copies", "mix_size", "mix_pattern", "mix_key", "mix_doc_id", "pattern"]
+    text = "the house by the river was old and the people of the town knew every room of it"
+    rows = [(k, f"{text} number {k} " * 3, "en", "ab"[k % 2], *range(100 * k, 100 * k + len(names))) for k in range(12)]
+    frame = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", "lang string", "source string", *[f"{c} long" for c in names]]))
+    for stage in (language.recognised, mixing.mixed):
+        got = stage(frame)
+        assert got.columns == frame.columns
+        found = {tuple(r) for r in got.collect()}
+        assert found and found <= set(rows)
+    mixed = mixing.mix(frame, F.when(F.col("doc_id") > 0, F.array("source"))).collect()
+    assert len(mixed) == 12 and [(r.mix_copies, r.lo) for r in mixed if r.doc_id == 0] == [(0, 4)]
+    assert all(r.mix_size == len(r.text.split()) for r in mixed)
