@@ -1,12 +1,17 @@
-"""Licences: TF-IDF cosine of whole lines to templates, then inheritance from the nearest directory.
+"""Licences: TF-IDF cosine of headers and licence files to templates, then inheritance from the nearest directory.
 
 Terms of the templates get their document frequency over all documents; a term
-outside the templates counts as the rarest. Each line of a text is a sparse
-vector. A line can only reach the wanted cosine with a template if it holds one
-of its heaviest terms: the others together are too short a vector (prefix
-filter), so lines without such a term are never scored. A file named like a
-licence hands its best licence to its directory; files without one of their own
-take that of the nearest directory above them.
+outside the templates counts as the rarest, each occurrence for itself. Every
+run of as many terms as a template has is a sparse vector and gets its cosine
+with that template, over the whole text: line breaks, comment marks and what
+stands before or after do not matter. A file named like a licence is besides
+compared as a whole. It hands its best licence to its directory; files without
+one of their own take that of the nearest directory above them.
+
+The cosines of all runs of a text come from running sums: when a run moves on
+by one term, its squared length changes by what that term occurs within reach.
+Texts whose terms hold too little of a template's vector to reach the limit in
+any run (Cauchy-Schwarz) are not looked at further for that template.
 """
 
 from __future__ import annotations
@@ -20,81 +25,123 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from locuspark.llm.common import arrow_batches, slices, stage, text_of
-
-#: Usual header lines by licence.
-TEMPLATES: dict[str, tuple[str, ...]] = {
-    "Apache-2.0": ("Licensed under the Apache License, Version 2.0.", "Apache License Version 2.0"),
-    "BSD-3-Clause": ("Released under the BSD 3-Clause License.", "BSD 3-Clause License"),
-    "CC-BY-4.0": ("Licensed under CC BY 4.0.", "Creative Commons Attribution 4.0 International"),
-    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "Creative Commons Attribution-NonCommercial 4.0 International"),
-    "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "Creative Commons Attribution-ShareAlike 4.0 International"),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.", "GNU General Public License version 2"),
-    "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3.", "GNU General Public License version 3"),
-    "LGPL-3.0": ("Licensed under the GNU Lesser General Public License, version 3.",),
-    "MIT": ("Released under the MIT License.", "The MIT License"),
-    "MPL-2.0": ("This file is subject to the Mozilla Public License, version 2.0.",),
-}
-LEAST = 0.6
-_TERM = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
+from locuspark.llm.common import arrow_batches, slices, stage
+from locuspark.llm.license_texts import TEMPLATES
+
+#: Least cosine of a match.
+LEAST = 0.7
+_TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 _LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 
+#: cosine, licence, position of the first term of the run that belongs to the template
+Hit = tuple[float, str, int]
+
 
 def terms(text: str) -> list[str]:
     return _TERM.findall(text.lower())
 
 
+def needed(template: str) -> list[str]:
+    """Terms between asterisks."""
+    return sorted({t for part in re.findall(r"\*([^*]+)\*", template) for t in terms(part)})
+
+
+class _Runs:
+    """The terms of one text and the squared lengths of its runs."""
+
+    def __init__(self, ids: np.ndarray, weight: np.ndarray, reach: int) -> None:
+        self.ids, self.n, self.stride = ids, len(ids), len(ids) + reach + 1
+        self.weight = weight[ids]
+        self.known = np.flatnonzero(ids < len(weight) - 1)
+        self.keys = ids[self.known].astype("int64") * self.stride + self.known
+        self.sorted = np.sort(self.keys)
+        self.place = np.searchsorted(self.sorted, self.keys)
+
+    def sums(self, values: np.ndarray, size: int, leaving: np.ndarray | None = None) -> np.ndarray:
+        """Sum of every run of ``size`` terms, by its last term; the first runs are shorter."""
+        total = np.cumsum(values)
+        gone = total if leaving is None else np.cumsum(leaving)
+        if self.n > size:
+            total[size:] -= gone[:-size].copy()
+        return total
+
+    def squares(self, size: int) -> np.ndarray:
+        before = self.place - np.searchsorted(self.sorted, self.keys - (size - 1))
+        after = np.searchsorted(self.sorted, self.keys + (size - 1), "right") - self.place - 1
+        base = self.weight**2
+        enter, leave = base.copy(), base.copy()
+        enter[self.known] *= 2 * before + 1
+        leave[self.known] *= 2 * after + 1
+        return self.sums(enter, size, leave)
+
+
 class Matcher:
     """Unit vectors of the templates under given document frequencies."""
 
     def __init__(self, templates: Mapping[str, tuple[str, ...]], frequency: Mapping[str, int], documents: int, least: float) -> None:
+        listed = [(name, x) for name, lines in sorted(templates.items()) for x in lines if terms(x)]
         self.least = least
-        self.rarest = float(np.log((1 + documents) / 1) + 1)
-        self.idf = {t: float(np.log((1 + documents) / (1 + frequency.get(t, 0))) + 1) for lines in templates.values() for x in lines for t in terms(x)}
-        self.vectors: list[tuple[str, dict[str, float]]] = []
-        anchors: set[str] = set()
-        for name, lines in sorted(templates.items()):
-            for line in lines:
-                raw = {t: n * self.idf[t] for t, n in Counter(terms(line)).items()}
-                norm = sum(v * v for v in raw.values()) ** 0.5
-                unit = {t: v / norm for t, v in raw.items()}
-                self.vectors.append((name, unit))
-                light = 0.0
-                for t, v in sorted(unit.items(), key=lambda x: (x[1], x[0])):
-                    light += v * v
-                    if light >= (least - 1e-9) ** 2:
-                        anchors.add(t)
-        self.anchors = sorted(anchors)
-        self.find = re.compile("|".join(re.escape(t) for t in sorted(anchors, key=len, reverse=True)) or r"(?!)")
-
-    def line(self, line: str) -> tuple[float, str] | None:
-        """The best licence of a line and its cosine, if that is high enough; ties go to the first name."""
-        raw = {t: n * self.idf.get(t, self.rarest) for t, n in Counter(terms(line)).items()}
-        norm = sum(v * v for v in raw.values()) ** 0.5
-        best = None
-        for name, unit in self.vectors:
-            cosine = sum(v * raw[t] for t, v in unit.items() if t in raw) / norm if norm else 0.0
-            if cosine >= self.least and (best is None or cosine > best[0] + 1e-12):
-                best = (cosine, name)
-        return best
-
-    def scan(self, text: str) -> list[tuple[float, str, int]]:
-        """(cosine, licence, line number from 0) of every line that matches."""
+        self.ids = {t: i for i, t in enumerate(sorted({t for _, x in listed for t in terms(x)}))}
+        self.words = frozenset(self.ids)
+        idf = [float(np.log((1 + documents) / (1 + frequency.get(t, 0))) + 1) for t in self.ids]
+        self.weight = np.array([*idf, float(np.log(1 + documents) + 1)])  # the last is that of all other terms
+        self.names = [name for name, _ in listed]
+        self.sizes = [len(terms(x)) for _, x in listed]
+        self.keys = [[self.ids[t] for t in needed(x)] for _, x in listed]
+        self.unit = np.zeros((len(listed), len(self.weight)))
+        for row, (_, x) in zip(self.unit, listed):
+            for t, n in Counter(terms(x)).items():
+                row[self.ids[t]] = n * self.weight[self.ids[t]]
+            row /= np.sqrt((row**2).sum())
+        self.must = np.zeros(self.unit.shape)
+        for row, keys in zip(self.must, self.keys):
+            row[keys] = 1
+
+    def possible(self, words: list[str]) -> list[int]:
+        """Templates that some run of these terms may match."""
+        have = np.zeros(len(self.weight))
+        have[[self.ids[t] for t in self.words.intersection(words)]] = 1
+        enough = (self.unit**2) @ have >= (self.least - 1e-9) ** 2
+        return np.flatnonzero(enough & (self.must @ have >= self.must.sum(axis=1))).tolist()
+
+    def scan(self, text: str, whole: bool = False) -> tuple[float, str, int] | None:
+        """(cosine, licence, line number from 0) of the best match.
+
+        The highest cosine counts, then the first place, then the name.
+        ``whole``: the text as one run is compared too.
+        """
         low = text.lower()
-        if len(low) != len(text):  # lower-casing moved offsets: look at all lines
-            wanted = enumerate(text.split("\n"))
-        else:
-            found, end, number, counted = [], 0, 0, 0
-            for m in self.find.finditer(low):
-                if m.start() < end:
-                    continue
-                start = text.rfind("\n", 0, m.start()) + 1
-                stop = text.find("\n", m.start())
-                end = len(text) if stop < 0 else stop
-                number, counted = number + text.count("\n", counted, start), start
-                found.append((number, text[start:end]))
-            wanted = iter(found)
-        return [(*hit, n) for n, line in wanted if (hit := self.line(line))]
+        words = _TERM.findall(low)
+        hits = self._runs(words, self.possible(words), whole) if words else []
+        if not hits:
+            return None
+        cosine, name, place = min(hits, key=lambda h: (-h[0], h[2], h[1]))
+        for i, m in enumerate(_TERM.finditer(low)):
+            if i == place:
+                return cosine, name, low.count("\n", 0, m.start())
+        raise AssertionError("a match lies inside its text")
+
+    def _runs(self, words: list[str], templates: list[int], whole: bool) -> list[Hit]:
+        if not templates:
+            return []
+        other, n = len(self.weight) - 1, len(words)
+        ids = np.fromiter((self.ids.get(w, other) for w in words), "int32", n)
+        runs = _Runs(ids, self.weight, max(n, *self.sizes) if whole else max(self.sizes))
+        squares: dict[int, np.ndarray] = {}
+        hits: list[Hit] = []
+        for i in templates:
+            part = runs.weight * self.unit[i][ids]
+            for size in {self.sizes[i], n} if whole else {self.sizes[i]}:
+                if size not in squares:
+                    squares[size] = runs.squares(size)
+                cosine = np.round(runs.sums(part, size) / np.sqrt(squares[size]), 9)
+                for key in self.keys[i]:
+                    cosine[runs.sums((ids == key).astype("float64"), size) < 0.5] = 0
+                end = int(np.argmax(cosine)) if size == self.sizes[i] else n - 1
+                if cosine[end] >= self.least:
+                    start = max(0, end - size + 1)
+                    hits.append((float(cosine[end]), self.names[i], start + int(np.argmax(part[start : end + 1] > 0))))
+        return hits
 
 
 def _frequencies(texts: DataFrame, words: frozenset[str]) -> tuple[dict[str, int], int]:
@@ -113,6 +160,10 @@ def _frequencies(texts: DataFrame, words: frozenset[str]) -> tuple[dict[str, int
     return found, found.pop("", 0)
 
 
+def _named_like_licence() -> Column:
+    return F.element_at(F.split("path", "/"), -1).rlike(_LICENCE_FILE)
+
+
 def scan_licenses(
     files: DataFrame,
     path: Column,
@@ -124,18 +175,22 @@ def scan_licenses(
     """doc_id, path, own_license, own_score, own_line, license, inherited_from of every row.
 
     ``path`` is a text column with ``/`` between names. A null text is empty, a
-    null path belongs to no directory. Of several matching lines the highest
-    cosine counts, then the first line. Of several licence files of a directory
-    the one with the highest cosine counts, then the first path. Repeated rows
-    stay, other columns are ignored, an empty table gives an empty result.
+    null path belongs to no directory. ``own_line`` is the line, from 0, where the
+    match begins. Of several matches the highest cosine (to 9 places) counts, then
+    the first place, then the name. Of several licence files of a directory
+    the one with the highest cosine counts, then the first path. Very long texts
+    are compared in whole. Repeated rows stay, other columns are ignored, an empty
+    table gives an empty result.
     """
     texts = arrow_batches(files.select(files[id_col].alias("doc_id"), path.cast("string").alias("path"), F.coalesce(files[text_col].cast("string"), F.lit("")).alias("text")))
+    texts = texts.withColumn("whole", F.coalesce(_named_like_licence(), F.lit(False)))
     words = frozenset(t for lines in templates.values() for x in lines for t in terms(x))
     matcher = Matcher(templates, *_frequencies(texts, words), least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            best = [min(matcher.scan(t), key=lambda h: (-h[0], h[2]), default=(None, None, None)) for t in batch.column("text").to_pylist()]
+            files = zip(batch.column("text").to_pylist(), batch.column("whole").to_pylist())
+            best = [matcher.scan(text, whole) or (None, None, None) for text, whole in files]
             new = [pa.array(c, k) for c, k in zip(zip(*best), (pa.float64(), pa.string(), pa.int32()))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("path"), *new], names=["doc_id", "path", "own_score", "own_license", "own_line"])
 
@@ -150,10 +205,9 @@ def inherit(found: DataFrame) -> DataFrame:
     Directories, not files, are joined with their ancestors, so a directory with
     very many files is one row there.
     """
-    name = F.element_at(F.split("path", "/"), -1)
     folder = F.when(F.instr("path", "/") > 0, F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.when(F.col("path").isNotNull(), ""))
     placed = found.withColumn("folder", folder)
-    holders = placed.where(name.rlike(_LICENCE_FILE) & F.col("own_license").isNotNull())
+    holders = placed.where(_named_like_licence() & F.col("own_license").isNotNull())
     given = stage(
         holders.groupBy(F.col("folder").alias("above")).agg(F.min(F.struct(-F.col("own_score"), "path", "own_license")).alias("best")).select("above", F.col("best.own_license").alias("license")),
         "license-folders",
