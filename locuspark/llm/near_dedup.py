@@ -254,15 +254,15 @@ def _links(sets: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
 
 
 def _rare(sets: DataFrame, open_: DataFrame, least: float) -> DataFrame:
-    """node, n, repeats, band, short: the rarest shingles of every node of ``open_``, as keys where nodes meet.
+    """node, n, repeats, band, rank, light: the rarest shingles of every node of ``open_``, as keys where nodes meet.
 
     Shingles are ordered by the number of these nodes that hold them. Of two sets
-    of similarity t, the shared shingles are t of either set and 2t / (1 + t) of the
-    smaller one; probability Jaccard t means that they have t of either's weight. So
-    the first shared one in that order comes before the rest of that share, in both,
-    and no linked pair is lost. ``short`` says that it does so for the smaller set.
-    Shingles of one node alone come first and need no key. The order is taken within
-    one content at a time.
+    of similarity t, the shared shingles are t of either set; probability Jaccard t
+    means that they have t of either's weight. So the first shared one in that order
+    comes before the rest of that share, in both, and no linked pair is lost. ``rank``
+    is how many shingles of the node come before, ``light`` says that by their weight
+    the key is among the first. Shingles of one node alone come first and need no
+    key. The order is taken within one content at a time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,8 +286,7 @@ def _rare(sets: DataFrame, open_: DataFrame, least: float) -> DataFrame:
         (F.col("weight") - F.sum("c").over(own) + F.coalesce(F.sum("c").over(before), F.lit(0))).alias("lighter"),
     )
     by_set, by_weight = (F.col(x) <= F.col(whole) * (1 - least + 1e-9) for x, whole in (("rank", "n"), ("lighter", "weight")))
-    short = F.col("rank") <= F.col("n") * ((1 - least) / (1 + least) + 1e-9)
-    return placed.where(by_set | by_weight).select("node", "n", (F.col("weight") > F.col("n")).alias("repeats"), "band", short.alias("short"))
+    return placed.where(by_set | by_weight).select("node", "n", (F.col("weight") > F.col("n")).alias("repeats"), "band", "rank", by_weight.alias("light"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -382,15 +381,22 @@ def _unsettled(open_: DataFrame, forest: DataFrame) -> DataFrame:
 
 
 def _next(open_: DataFrame, leaders: int, least: float) -> tuple[DataFrame, DataFrame]:
-    """Possible pairs of up to ``leaders`` holders of each rare shingle with the others of other components, and who is left."""
-    names = ("node", "n", "repeats", "comp", "short")
+    """Possible pairs of up to ``leaders`` holders of each rare shingle with the others of other components, and who is left.
+
+    At their first shared shingle, two sets share at most what either has from there
+    on; similarity t takes t / (1 + t) of both sizes together. Where a text repeats
+    shingles, the weights may link as well, if the key is among the first of both.
+    Meetings that allow neither are no pairs; a link has one that does.
+    """
+    names = ("node", "n", "repeats", "comp", "rank", "light")
     part = F.pmod(F.xxhash64("node"), F.lit(leaders))
     lead = open_.groupBy("band", part.alias("part")).agg(F.min(F.struct(*names)).alias("lead"))
     lead = stage(lead.select(F.col("band").alias("l_band"), "lead.*").withColumnsRenamed({c: f"l_{c}" for c in names}), "near-leaders")
     meet = (F.col("band") == F.col("l_band")) & (F.col("comp") != F.col("l_comp"))
     repeats = F.col("repeats") | F.col("l_repeats")
-    smaller = F.when(F.col("n") <= F.col("l_n"), F.col("short")).otherwise(F.col("l_short"))
-    joined = open_.join(lead, meet & (repeats | smaller) & _alike(F.col("n"), F.col("l_n"), repeats, least))
+    shared = F.least(F.col("n") - F.col("rank"), F.col("l_n") - F.col("l_rank"))
+    by_set = shared >= (F.col("n") + F.col("l_n")) * (least / (1 + least) - 1e-9)
+    joined = open_.join(lead, meet & (by_set | (repeats & F.col("light") & F.col("l_light"))))
     pairs = _ordered(joined.select(F.col("node").alias("x"), F.col("l_node").alias("y")))
     rest = open_.join(lead, (F.col("band") == F.col("l_band")) & (F.col("node") == F.col("l_node")), "left_anti")
     return pairs, stage(rest, "near-members")

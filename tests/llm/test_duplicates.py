@@ -197,18 +197,23 @@ def test_rare_shingles_meet_every_linked_pair_and_few_others(spark):
             sets.append((h, c))
     rows = [(k, h.tobytes(), c.astype("<u4").tobytes() if (c > 1).any() else b"") for k, (h, c) in enumerate(sets)]
     frame = spark.createDataFrame(rows, "node long, h binary, c binary")
-    keys: dict[int, dict[int, bool]] = {}
-    for r in near_dedup._rare(frame, frame, 0.8).collect():
-        keys.setdefault(r.node, {})[r.band] = r.short
-        assert r.n == len(sets[r.node][0]) and r.repeats == (sets[r.node][1] > 1).any()
-    links = 0
+    rare = near_dedup._rare(frame, frame, 0.8)
+    keys: dict[int, set[int]] = {}
+    for r in rare.collect():
+        keys.setdefault(r.node, set()).add(r.band)
+        assert r.n == len(sets[r.node][0]) and r.repeats == (sets[r.node][1] > 1).any() and 0 <= r.rank < r.n
+    pairs, _ = near_dedup._next(rare.withColumn("comp", F.col("node")), 1 << 40, 0.8)  # every holder is a leader
+    met = {(r.a, r.b) for r in pairs.collect()}
+    links, unlike = 0, 0
     for a, b in combinations(range(len(sets)), 2):
         (ha, ca), (hb, cb) = sets[a], sets[b]
+        both = keys.get(a, set()) & keys.get(b, set())
         if near_dedup.jaccard(ha, hb) >= 0.8 or near_dedup.probability_jaccard(ha, ca, hb, cb) >= 0.8:
             links += 1
-            both = keys.get(a, {}).keys() & keys.get(b, {}).keys()
-            small = keys.get(a if len(ha) <= len(hb) else b, {})
-            assert both and ((ca > 1).any() or (cb > 1).any() or any(small[h] for h in both))
+            assert both and (a, b) in met
+        else:
+            unlike += bool(both) and (a, b) not in met
+    assert unlike > 100  # share a rare shingle, but are no pair
     assert links > 20
 
 
