@@ -238,7 +238,10 @@ def top_processes(stats: DataFrame, k: int = 10, total: str = "total_gb_sum") ->
     """The k largest processes, ties at the border kept.
 
     The k-th value is a scalar subquery (a bounded top-k) that the scan is filtered by.
+    The totals are written first: sums of doubles differ from run to run in their last
+    digits, and a border taken from another run may miss its own row.
     """
+    stats = stage(stats, "process-totals")
     border = stats.select(total).orderBy(F.desc(total)).limit(k).agg(F.min(total))
     return stats.where(F.col(total) >= border.scalar())
 
