@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -491,3 +492,26 @@ def test_flagship(spark):
 
     df = __spark_entry__.entry(spark)
     assert df.count() > 0 and "peak_id" in df.columns
+
+
+def test_encoded_files_are_not_broadcast(spark, tmp_path):
+    """A few MB of encoded files are tens of MB in rows; those do not go through the driver."""
+    ids = spark.range(300_000).withColumn("work_dir", F.concat(F.lit("w"), F.col("id").cast("string"))).drop("id")
+    parts = {
+        "tasks": ids.withColumns({"process": F.lit("GCTA_PERFORM_GWA"), "tag": F.lit("ce.n100_r1")}),
+        "usage": ids.withColumn("total_bytes", F.lit(1e6)),
+        "files": ids.withColumns({"kind": F.lit("f"), "bytes": F.lit(10.0), "file_name": F.lit("a.n90_1.tsv")}),
+    }
+    for name, rows in parts.items():
+        rows.write.parquet(str(tmp_path / name))
+    tasks, usage, files = [spark.read.parquet(str(tmp_path / name)) for name in parts]
+    joined = workdir.join_workdir(tasks, usage, files).agg(F.count(F.lit(1)).alias("n"), F.max(F.hash("*")))
+    assert joined.collect()[0].n == 300_000
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_top_processes_reads_its_totals_once(spark):
+    later = F.udf(lambda _: time.time_ns(), "long").asNondeterministic()
+    stats = spark.range(0, 20, 1, 1).select("id", later("id").alias("total_gb_sum"))
+    assert workdir.top_processes(stats, 3).count() == 3
