@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -129,37 +130,37 @@ def read_bed(spark: SparkSession, path: str, markers: DataFrame | None = None, c
     places = bim.numbered("row").select(prefix, (F.col("line") - 1).alias("at"), "CHROM", F.col("POS").cast("int").alias("POS"))
     if markers is not None:
         places = places.join(markers.select("CHROM", "POS").distinct(), ["CHROM", "POS"], "left_semi")
-    ranges = places.groupBy("prefix", F.floor(F.col("at") / chunk).alias("range")).agg(F.array_sort(F.collect_list(F.struct("at", "CHROM", "POS"))).alias("places"))
+    ranges = places.groupBy("prefix", F.floor(F.col("at") / chunk).alias("range")).agg(F.array_sort(F.collect_list(F.struct("at", "CHROM", "POS"))).alias("p"))
+    ranges = ranges.select("prefix", "range", *[F.col(f"p.{c}").alias(c) for c in ("at", "CHROM", "POS")])
     # A fileset without a sample list has no samples to join: it fails, instead of vanishing.
     listed = F.when(F.col("samples").isNotNull(), F.col("samples")).otherwise(F.raise_error(F.concat("prefix", F.lit(": no sample list"))))
     work = ranges.join(counts, "prefix").join(samples, "prefix", "left").withColumn("samples", listed)
     value = np.array([np.nan if a is None else a for a in ALLELES])
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
+        # Rows stay in Arrow until their turn: a batch may hold thousands of ranges.
         for batch in batches:
-            for row in batch.itertuples():
-                bed = f"{row.prefix}.bed"
+            for k in range(len(batch)):
+                prefix, n, samples, at, chrom, pos = [batch.column(c)[k] for c in ("prefix", "n", "samples", "at", "CHROM", "POS")]
+                bed = f"{prefix.as_py()}.bed"
                 filesystem, file = fs.FileSystem.from_uri(bed)
-                names = np.array(list(row.samples), dtype=object)
-                width = (len(names) + 3) // 4
-                at = np.array([p["at"] for p in row.places])
+                strains, at = samples.values, at.values.to_numpy()
+                width = (len(strains) + 3) // 4
                 with filesystem.open_input_file(file) as source:
                     if source.read_at(3, 0) != BED_MAGIC:
                         raise ValueError(f"not a variant-major binary genotype file: {bed}")
-                    if source.size() != 3 + row.n * width:
-                        raise ValueError(f"{bed} has {source.size()} bytes; {row.n} variants of {len(names)} samples take {3 + row.n * width}")
+                    if source.size() != 3 + n.as_py() * width:
+                        raise ValueError(f"{bed} has {source.size()} bytes; {n} variants of {len(strains)} samples take {3 + n.as_py() * width}")
                     data = source.read_at(int(at[-1] - at[0] + 1) * width, 3 + int(at[0]) * width)
-                codes = _unpacked(np.frombuffer(data, np.uint8).reshape(-1, width)[at - at[0]], len(names))
-                yield pd.DataFrame(
-                    {
-                        "CHROM": np.repeat([p["CHROM"] for p in row.places], len(names)),
-                        "POS": np.repeat([p["POS"] for p in row.places], len(names)),
-                        "strain": np.tile(names, len(at)),
-                        "allele": value[codes].ravel(),
-                    }
+                codes = _unpacked(np.frombuffer(data, np.uint8).reshape(-1, width)[at - at[0]], len(strains))
+                each, every = np.repeat(np.arange(len(at)), len(strains)), np.tile(np.arange(len(strains)), len(at))
+                yield pa.RecordBatch.from_arrays(
+                    [chrom.values.take(pa.array(each)), pos.values.take(pa.array(each)), strains.take(pa.array(every)), pa.array(value[codes].ravel())],
+                    names=["CHROM", "POS", "strain", "allele"],
                 )
 
-    found = work.repartition("prefix", "range").mapInPandas(read, "CHROM string, POS int, strain string, allele double")
+    found = work.select("prefix", "range", "n", "samples", "at", "CHROM", "POS").repartition("prefix", "range")
+    found = found.mapInArrow(read, "CHROM string, POS int, strain string, allele double")
     return found.withColumn("allele", F.when(~F.isnan("allele"), F.col("allele")))

@@ -156,6 +156,24 @@ def test_filesets_written_and_read(spark, tmp_path):
         plink.read_bed(spark, str(tmp_path / "sets")).collect()
 
 
+def test_a_fileset_is_written_in_batches(spark, tmp_path):
+    """No task gathers a fileset: batches of a few variants, several filesets in a task, shuffled and absent calls."""
+    calls = [(g, "1", 1000 - p, f"s{s}", [-1.0, 1.0, None][(p + s + len(g)) % 3]) for g in ("a", "bb") for p in range(50) for s in (4, 0, 2)]
+    frame = spark.createDataFrame(calls, "g string, CHROM string, POS int, strain string, allele double").repartition(3)
+    names = [f"s{i}" for i in range(5)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        written = plink_sink.write_bed(frame, names, str(tmp_path / "sets"), ("g", "CHROM"))
+        assert "FlatMapGroups" not in written._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.n_variants for r in written.collect()) == [50, 50]
+        read = {(r.POS, r.strain): r.allele for r in plink.read_bed(spark, str(tmp_path / "sets" / "bb-1"), chunk=8).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert read == {(p, s): None for p in range(951, 1001) for s in names} | {(p, s): a for g, _, p, s, a in calls if g == "bb"}
+    with pytest.raises(Exception, match="not a sample: s4"):
+        plink_sink.write_bed(frame, names[:4], str(tmp_path / "few"), ("g", "CHROM")).collect()
+
+
 def test_genotype_files(spark, tmp_path):
     trait = "0123456789abcdef0123"
     put(
