@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -174,16 +175,16 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
     counts = {r["lang"]: r["count"] for r in texts.groupBy("lang").count().collect()}  # a row per language
     languages: list[str] = []
     centres, least = [np.zeros((0, DIMENSIONS), np.float32)], []
-    for lang, x in sorted(_samples(texts, counts, sample).items()):
-        c = spherical_kmeans(_normalised(x * idf), CENTROIDS)
-        languages += [lang] * len(c)
+    for r in sorted(_centred(_samples(texts, counts, sample), idf, sample).collect(), key=lambda r: r["lang"]):
+        c = np.frombuffer(r["centres"], np.float32).reshape(-1, DIMENSIONS)
+        languages += [r["lang"]] * len(c)
         centres.append(c)
-        least += [_rejection_limits(x, idf)] * len(c)
+        least += [np.frombuffer(r["least"], np.float64)] * len(c)
     return Model(tuple(languages), idf, np.vstack(centres), np.array(least).reshape(-1, LENGTHS))
 
 
-def _samples(texts: DataFrame, counts: dict[str, int], sample: int) -> dict[str, np.ndarray]:
-    """Vectors of at most ``sample`` documents of each language, those with the smallest id hashes.
+def _samples(texts: DataFrame, counts: dict[str, int], sample: int) -> DataFrame:
+    """lang, key (id hash), vector: about ``sample`` documents of each language, or a few more, with the smallest id hashes.
 
     Hashes are uniform: a bound on them that ``sample`` documents are expected to
     meet is known from the counts, so nothing is sorted or shuffled.
@@ -203,13 +204,20 @@ def _samples(texts: DataFrame, counts: dict[str, int], sample: int) -> dict[str,
                 [batch.column("lang").filter(mask), batch.column("key").filter(mask), pa.array(rows, pa.binary())], names=["lang", "key", "vector"]
             )
 
-    rows = texts.where(wanted).select("lang", key.alias("key"), "text").mapInArrow(run, "lang string, key long, vector binary").collect()
-    out: dict[str, list[bytes]] = {}
-    for r in sorted(rows, key=lambda r: r["key"]):
-        kept = out.setdefault(r["lang"], [])
-        if len(kept) < sample:
-            kept.append(r["vector"])
-    return {k: np.frombuffer(b"".join(v), np.float16).astype(np.float32).reshape(len(v), DIMENSIONS) for k, v in out.items()}
+    return texts.where(wanted).select("lang", key.alias("key"), "text").mapInArrow(run, "lang string, key long, vector binary")
+
+
+def _centred(samples: DataFrame, idf: np.ndarray, sample: int) -> DataFrame:
+    """Centroids and limits of each language, fitted in a task that holds its ``sample`` vectors; the driver gets a row per language."""
+
+    def learn(rows: pd.DataFrame) -> pd.DataFrame:
+        kept = rows.sort_values(["key", "vector"])[:sample]
+        x = np.frombuffer(b"".join(kept["vector"]), np.float16).astype(np.float32).reshape(len(kept), DIMENSIONS)
+        c = spherical_kmeans(_normalised(x * idf), CENTROIDS)
+        limits = _rejection_limits(x, idf).astype(np.float64)
+        return pd.DataFrame({"lang": [kept["lang"].iloc[0]], "centres": [c.tobytes()], "least": [limits.tobytes()]})
+
+    return samples.groupBy("lang").applyInPandas(learn, "lang string, centres binary, least binary")
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
