@@ -117,6 +117,36 @@ def write_bytes(partitions: DataFrame, folder: str, data: bytes, name: str) -> D
     return partitions.mapInPandas(write, "path string")
 
 
+def write_files(files: DataFrame, folder: str) -> DataFrame:
+    """A text file for every row, called ``name`` and holding ``value``; returns the paths.
+
+    Files lie in as many folders as there are shuffle partitions, written by a
+    task each: a folder per file would have to be committed and listed one by one.
+    A task that runs again writes the same files.
+    """
+    spark = files.sparkSession
+    base, folders = qualified_uri(spark, folder), int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        filesystem, root = fs.FileSystem.from_uri(base)
+        made = set()
+        for batch in batches:
+            paths = []
+            for row in batch.itertuples(index=False):
+                if row.folder not in made:
+                    filesystem.create_dir(f"{root}/{row.folder}", recursive=True)
+                    made.add(row.folder)
+                with filesystem.open_output_stream(f"{root}/{row.folder}/{row.name}") as out:
+                    out.write(row.value.encode())
+                paths.append(f"{base}/{row.folder}/{row.name}")
+            yield pd.DataFrame({"path": paths})
+
+    placed = files.select("name", "value", F.expr(f"pmod(hash(name), {folders})").cast("string").alias("folder"))
+    return placed.repartition(folders, "folder").mapInPandas(write, "path string")
+
+
 def hash_manifest(spark: SparkSession, directory: str, block: int = 1 << 22) -> DataFrame:
     """path, bytes and SHA-256 of every file below a folder, sorted by path.
 

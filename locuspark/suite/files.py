@@ -165,7 +165,7 @@ def eigen_files(d: Domain) -> str:
         ).alias("name"),
         F.concat(F.col("s_acctbal").cast("string"), F.lit("\nrest")).alias("value"),
     )
-    rows.repartition("name").write.partitionBy("name").text(base)
+    TX.write_files(rows, base).write.format("noop").mode("overwrite").save()
     return base
 
 

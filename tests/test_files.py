@@ -425,3 +425,16 @@ def test_assessment_text(spark, tmp_path):
     assert len(lines) == 1
     cells = lines[0].split("\t")
     assert len(cells) == 35 and cells[:3] == ["1:5", "TRUE", "NA"]
+
+
+def test_many_small_files_share_folders(spark, tmp_path):
+    """A file per row, in as many folders as there are shuffle partitions and by as many tasks."""
+    table = spark.range(300).select(F.concat(F.lit("p"), "id", F.lit("_0.05_total_independent_tests.txt")).alias("name"), F.concat("id", F.lit("\nrest")).alias("value"))
+    folder = str(tmp_path / "eigen")
+    paths = TX.write_files(table, folder).withColumn("task", F.spark_partition_id()).collect()
+    assert len({r.path for r in paths}) == 300
+    folders = {r.path.rsplit("/", 2)[1] for r in paths}
+    assert len(folders) == len(os.listdir(folder)) == 4
+    assert len({r.task for r in paths}) > 1
+    got = params.build_eigen_lookup(spark, folder).select("population", "n_tests", "problem").collect()
+    assert sorted((int(r.population[1:]), r.n_tests, r.problem) for r in got) == [(i, float(i), None) for i in range(300)]
