@@ -93,12 +93,15 @@ def read_lines(
     numbers, those in ``numbers`` numbers or a text for an unknown one. A line
     whose field ``header[0]`` is ``header[1]`` is a header. ``only`` is a pattern
     of file names.
+
+    Words and problem are generated as a row: a filter on ``kind`` is not pushed
+    below that, where it would split the line again for every field and check.
     """
     reader = spark.read.option("recursiveFileLookup", "true")
     lines = (reader if only is None else reader.option("pathGlobFilter", only)).text(path)
     split = lines.select(
         F.col("value").alias("raw"),
-        words(F.col("value")).alias("_w"),
+        F.explode(F.array(words(F.col("value")))).alias("_w"),
         F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("_block"),
@@ -110,8 +113,10 @@ def read_lines(
     for name in numbers:
         unreadable = cell[name].try_cast("double").isNull() & ~cell[name].isin(*UNKNOWN)
         problem = problem.when(unreadable, F.concat(F.lit(f"{name} is not a number: "), cell[name]))
-    blank = F.trim(F.regexp_replace("raw", r"\s+", " ")) == ""
+    blank = (F.size("_w") == 1) & (F.col("_w")[0] == "")
     is_header = F.lit(False) if header is None else F.coalesce(cell[header[0]] == header[1], F.lit(False))
-    kind = F.when(blank, "blank").when(is_header, "header").when(problem.isNotNull(), "reject").otherwise("row")
-    table = split.select("raw", "source_file", "path", "_block", kind.alias("kind"), problem.alias("problem"), *[c.alias(n) for n, c in cell.items()])
+    kind = F.when(blank, "blank").when(is_header, "header").when(F.col("problem").isNotNull(), "reject").otherwise("row")
+    table = split.select("*", F.explode(F.array(problem)).alias("problem")).select(
+        "raw", "source_file", "path", "_block", kind.alias("kind"), "problem", *[c.alias(n) for n, c in cell.items()]
+    )
     return Lines(table, tuple(fields))

@@ -346,13 +346,14 @@ def _accounting(name, ending, fields, header, wrong, lines_of, read):
                    count(*) filter ({spoilt}) as n_rejects from l""",
     )
     def _(d):
-        value = F.expr(text)
-        x = F.substring(F.sha2(value, 256), 1, 1)
+        value, x = F.col("value"), F.col("x")
+        named = d.table(fields[1]).select(F.expr(text).alias("value")).withColumn("x", F.substring(F.sha2(value, 256), 1, 1))
         cells = F.split(value, " ")
         word = F.concat_ws(" ", F.slice(cells, 1, wrong - 1), F.lit("word"), F.slice(cells, wrong + 1, 20))
         spoil = F.when(x == "3", F.concat_ws(" ", F.slice(cells, 1, 2))).when(x == "7", word).otherwise(value)
-        more = F.when(x == "5", F.array(spoil, F.lit("  "))).otherwise(F.array(spoil))
-        path = text_file(d, "x" + ending, d.table(fields[1]).select(F.explode(more).alias("value")), header)
+        spoilt_lines = named.select("x", spoil.alias("value"))
+        more = F.when(x == "5", F.array(value, F.lit("  "))).otherwise(F.array(value))
+        path = text_file(d, "x" + ending, spoilt_lines.select(F.explode(more).alias("value")), header)
         lines = lines_of(d.spark, path)
         counts = lines.account().drop("source_file").groupBy().sum()
         counts = counts.select(*[F.col(f"sum({c})").alias(c) for c in ("n_lines", "n_header", "n_blank", "n_rows", "n_rejected")])

@@ -427,6 +427,21 @@ def test_assessment_text(spark, tmp_path):
     assert len(cells) == 35 and cells[:3] == ["1:5", "TRUE", "NA"]
 
 
+def test_lines_are_split_once(spark, tmp_path):
+    """A filter on the kind of a line reads its words, it does not split the line for every field again."""
+    path = put(tmp_path, "a.fastGWA", "1 1:5 5 A C 9 0.1 nan NA 1e-9\n \n1 1:6 x A C 9 0.1 0 0 0\n1 1:7\n")
+    lines = results.gwa_lines(spark, path)
+    for table in (lines.rows("skip"), lines.rejects(), lines.account()):
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_replace(") == plan.count("Relation ["), plan
+    assert [r.SNP for r in lines.rows("skip").collect()] == ["1:5"]
+    assert sorted((r.line, r.problem) for r in lines.rejects().collect()) == [
+        (3, "POS is not a whole number: x"),
+        (4, "2 fields instead of 10"),
+    ]
+    assert rows(lines.account()) == [("a.fastGWA", 4, 0, 1, 1, 2)]
+
+
 def test_many_small_files_share_folders(spark, tmp_path):
     """A file per row, in as many folders as there are shuffle partitions and by as many tasks."""
     table = spark.range(300).select(F.concat(F.lit("p"), "id", F.lit("_0.05_total_independent_tests.txt")).alias("name"), F.concat("id", F.lit("\nrest")).alias("value"))
