@@ -226,3 +226,22 @@ def test_missing_test_count_fails_or_is_reported(spark):
     ]
     found = thresholds.missing_thresholds(rows, more, sets, ["BF"], bf_count="marker_set")
     assert sorted(map(tuple, found.collect())) == [("unknown", "BF", "no test count"), ("zero", "BF", "no positive test count")]
+
+
+def test_interval_borders_over_many_blocks(spark):
+    """Borders equal plain Python across block and bucket borders, without a list of all blocks of a chromosome."""
+    rng = random.Random(7)
+    places = {("m1", "1"): sorted(rng.sample(range(1, 400_000), 3000)), ("m1", "2"): [5, 900, 70_000], ("m2", "1"): list(range(10, 26_000, 10))}
+    rows = [(m, c, p) for (m, c), ps in places.items() for p in ps]
+    index = blocks.position_index(spark.createDataFrame(rows, "mapping_id string, CHROM string, POS int"), width=2000)
+    ranges = []
+    for (m, c), ps in places.items():
+        for i in {1, len(ps), *(rng.randint(1, len(ps)) for _ in range(60)), *(i for i in (1023, 1024, 1025, 2048, 2049) if i <= len(ps))}:
+            ranges.append((m, c, i, min(len(ps), i + rng.randint(0, 40)), len(ps)))
+    peaks = spark.createDataFrame(ranges, "mapping_id string, CHROM string, _min_index int, _max_index int, _total long")
+    found = intervals.interval_bounds(peaks, index, 7, keys=("mapping_id",))
+    want = sorted(
+        (m, c, a, b, n, places[m, c][max(a - 7, 1) - 1], places[m, c][min(b + 7, n) - 1]) for m, c, a, b, n in ranges
+    )
+    assert sorted(tuple(r)[:7] for r in found.collect()) == want
+    assert "lambdafunction" not in found._jdf.queryExecution().optimizedPlan().toString()
