@@ -154,3 +154,20 @@ def test_power_and_fdr(spark):
     assert strict["a"]["Power"] == 0.5
     only = {r["g"]: r for r in performance.power_only(counts).collect()}
     assert only["a"]["Detected"] == 3 and "False_Discovery" not in only["a"].asDict()
+
+
+def test_a_name_is_matched_once(spark):
+    """All fields come from one match; text after the name, as a line end, is no part of the last group."""
+    from locuspark.functions.names import parse_mapping_name, parse_result_name
+
+    names = ["/d/5_1_0.8_0.05_gamma_ce.p_processed_LMM-EXACT-LOCO_PCA_mapping.tsv", "5_1_0.8_._gamma_a_b_processed_LMM-EXACT-INBRED_mapping_reprocessed.tsv", "x", "", None]
+    df = spark.createDataFrame([(n,) for n in names], "n string").select(parse_mapping_name(F.col("n")).alias("p")).select("p.*")
+    assert [tuple(r) for r in df.collect()] == [
+        (5, 1, 0.8, 0.05, "gamma", "ce.p", "LOCO", True),
+        (5, 1, 0.8, None, "gamma", "a_b", "INBRED", False),
+        *[(None,) * 8] * 3,
+    ]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_processed_LMM") == 1, plan
+    line = spark.createDataFrame([("5_1_0.8_0.05_gamma_p_lmm-exact_loco_pca\n.mlma",)], "n string")
+    assert line.select(parse_result_name(F.col("n")).alias("p")).first().p.pca is True
