@@ -17,3 +17,10 @@ def test_shared_tables_are_read_back(spark):
         assert sorted(map(str, df.collect())) == sorted(map(str, d.sql(f"select * from {name}").collect()))
     physical = d.sql("select * from mappings", d._stored("mappings"))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in physical and "SortMergeJoin" not in physical
+
+
+def test_tasks_stay_small(spark):
+    """A task reads a bounded, small part of its input, so that its hash tables and sorts need not spill."""
+    d = Domain(spark, SF)
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
+        assert int(d.spark.conf.get(key)) <= 16 << 20
