@@ -515,3 +515,23 @@ def test_top_processes_reads_its_totals_once(spark):
     later = F.udf(lambda _: time.time_ns(), "long").asNondeterministic()
     stats = spark.range(0, 20, 1, 1).select("id", later("id").alias("total_gb_sum"))
     assert workdir.top_processes(stats, 3).count() == 3
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while files.hasNext():
+        names.add(files.next().getName())
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffle_files(spark), spark.conf.get(name)
+    counted = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    kept = stage(counted.join(counted.withColumnRenamed("count", "again"), "k"), "counted")
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert kept.count() == 10 and counted.count() == 10 and spark.conf.get(name) == setting
