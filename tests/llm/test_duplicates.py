@@ -241,3 +241,30 @@ def test_signatures_estimate_probability_jaccard():
     slow = sum(1 / sum(max(wx.get(j, 0) / wx[i], wy.get(j, 0) / wy[i]) for j in both.tolist()) for i in both.tolist() if i in wx and i in wy)
     assert abs(exact - slow) < 1e-9 and abs((s[0] == s[1]).mean() - exact) < 0.04
     assert near_dedup.probability_jaccard(a, np.ones(120), b, np.ones(120)) == near_dedup.jaccard(a, b) or abs(near_dedup.probability_jaccard(a, np.ones(120), b, np.ones(120)) - near_dedup.jaccard(a, b)) < 1e-9
+
+
+def test_texts_nobody_asked_for_are_not_shuffled(spark, table):
+    docs = near_dedup.stage(table([(i, f"text {i} " + "of some words " * (i % 7 + 1)) for i in range(4000)]), "docs")
+    contents = docs.select((F.col("doc_id") * 2).alias("node"), "doc_id", near_dedup._content(F.col("text")).alias("key"))
+    nodes = near_dedup.stage(contents.where("doc_id % 100 = 7").select("node"), "nodes")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    store, first = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = near_dedup._node_shingles(docs, near_dedup.stage(contents, "contents"), nodes, "doc_id", "text").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    want = {2 * i: near_dedup.shingles(f"text {i} " + "of some words " * (i % 7 + 1))[0].tobytes() for i in range(7, 4000, 100)}
+    assert {r.node: bytes(r.h) for r in found} == want and len(found) == 40
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    rows_out = []
+    for job in range(first, spark.sparkContext._jsc.sc().dagScheduler().nextJobId()):
+        stages = store.job(job).stageIds().iterator()
+        while stages.hasNext():
+            try:
+                done = store.lastStageAttempt(stages.next())
+            except Exception:  # a stage that was skipped
+                continue
+            rows_out.append(done.shuffleWriteRecords())
+    # Their ids (once for the join that names them), never their texts.
+    assert sum(n for n in rows_out if n >= 4000) <= 4000
