@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,23 +22,49 @@ from locuspark.session import stage
 SNAP = 1e-9
 
 
-def marker_vectors(genotypes: DataFrame) -> DataFrame:
-    """marker_set_id, CHROM, POS, ordinal, n_strains, strains, alleles.
-
-    ``strains`` are positions in the marker set's sorted strain list, ``alleles``
-    the known codes at those positions. The ordinal counts markers along the
-    chromosome from 0.
-    """
+def strain_numbers(genotypes: DataFrame) -> DataFrame:
+    """marker_set_id, strain, _s (its place in the marker set's sorted strains), n_strains."""
     names = genotypes.select("marker_set_id", "strain").distinct()
     in_set = Window.partitionBy("marker_set_id")
-    numbered = names.select(
+    return names.select(
         "marker_set_id",
         "strain",
         (F.row_number().over(in_set.orderBy("strain")) - 1).alias("_s"),
         F.count(F.lit(1)).over(in_set).alias("n_strains"),
     )
+
+
+def numbered_codes(genotypes: DataFrame) -> DataFrame:
+    """marker_set_id, CHROM, POS, ordinal, n_strains, _s, allele: every genotype row with its marker's and strain's number.
+
+    Markers are counted as in ``marker_vectors``. Rows stay narrow and are not
+    gathered per marker, which costs more than their products.
+    """
+    keys = ["marker_set_id", "CHROM", "_block"]
+    blocked = genotypes.withColumn("_block", block_of(F.col("POS")))
+    offsets = block_offsets(blocked.select(*keys, "POS").distinct(), ("marker_set_id",)).drop("_total")
+    rows = blocked.join(strain_numbers(genotypes), ["marker_set_id", "strain"])
+    local = F.dense_rank().over(Window.partitionBy(*keys).orderBy("POS"))
+    return rows.withColumn("_local", local).join(offsets, keys).select(
+        "marker_set_id",
+        "CHROM",
+        "POS",
+        (F.col("_before") + F.col("_local") - 1).alias("ordinal"),
+        F.col("n_strains").cast("int").alias("n_strains"),
+        "_s",
+        F.col("allele").cast("double").alias("allele"),
+    )
+
+
+def marker_vectors(genotypes: DataFrame) -> DataFrame:
+    """marker_set_id, CHROM, POS, ordinal, n_strains, strains, alleles.
+
+    ``strains`` are positions in the marker set's sorted strain list, ``alleles``
+    the known codes at those positions. The ordinal counts markers along the
+    chromosome from 0.
+    """
     packed = (
-        genotypes.join(numbered, ["marker_set_id", "strain"])
+        genotypes.join(strain_numbers(genotypes), ["marker_set_id", "strain"])
         .groupBy("marker_set_id", "CHROM", "POS")
         .agg(
             F.first("n_strains").cast("int").alias("n_strains"),
@@ -181,67 +208,55 @@ def total_independent_tests(per_chrom: DataFrame) -> DataFrame:
     )
 
 
+#: Markers whose products with their neighbours are taken at once.
+STRIP = 64
+_PAIRS = "marker_set_id string, CHROM string, i long, j long, pos_a int, pos_b int, r2 double"
+
+
 def ld_pairs(genotypes: DataFrame, window: int = 50, block: int = 512) -> DataFrame:
     """r-squared of every two markers fewer than ``window`` places apart.
 
     Markers are cut into blocks of ``block`` along the chromosome; the first
     ``window - 1`` of a block are also given to the block before, so every pair
-    is found once, in the block of its first marker. Strains unknown in either
+    is found once, in the block of its first marker. A task gets the codes of a
+    block one by one, at most panel size for each marker. Strains unknown in either
     marker are left out of a pair; r-squared is null without variation.
     """
-    vectors = marker_vectors(genotypes)
+    codes = numbered_codes(genotypes)
     own = F.floor(F.col("ordinal") / block)
     shared = (F.col("ordinal") % block < window - 1) & (own > 0)
-    placed = vectors.withColumn(
-        "_blk", F.explode(F.when(shared, F.array(own, own - 1)).otherwise(F.array(own)))
-    )
-
-    def correlate(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("ordinal", ignore_index=True)
-        x = _matrix(rows, int(rows["n_strains"].iloc[0]))
+    placed = codes.withColumn("_blk", F.explode(F.when(shared, F.array(own, own - 1)).otherwise(F.array(own))))
+
+    def correlate(rows: pa.Table) -> pa.Table:
+        first = rows["_blk"][0].as_py() * block
+        row, allele = rows["ordinal"].to_numpy() - first, rows["allele"].to_numpy()
+        total = int(row.max()) + 1
+        lead = min(block, total)
+        pos = np.zeros(total, np.int32)
+        pos[row] = rows["POS"].to_numpy()
+        x = np.full((total, rows["n_strains"][0].as_py()), np.nan)
+        np.fmax.at(x, (row, rows["_s"].to_numpy()), allele)
         known = ~np.isnan(x)
         x, m = np.where(known, x, 0.0), known.astype(float)
-        first = int(rows["_blk"].iloc[0]) * block
-        order, pos = rows["ordinal"].to_numpy(), rows["POS"].to_numpy()
-        lead = int(((order >= first) & (order < first + block)).sum())
-        out = []
-        for d in range(1, window):
-            k = min(lead, len(rows) - d)
-            if k <= 0:
-                break
-            a, b = slice(0, k), slice(d, d + k)
-            n = (m[a] * m[b]).sum(axis=1)
-            sa, sb = (x[a] * m[b]).sum(axis=1), (m[a] * x[b]).sum(axis=1)
-            saa, sbb = (x[a] ** 2 * m[b]).sum(axis=1), (m[a] * x[b] ** 2).sum(axis=1)
-            sab = (x[a] * x[b]).sum(axis=1)
-            cov = n * sab - sa * sb
-            spread = (n * saa - sa * sa) * (n * sbb - sb * sb)
-            r2 = np.divide(cov * cov, spread, out=np.full(k, np.nan), where=spread > 0)
-            out.append(
-                pd.DataFrame(
-                    {
-                        "i": order[a],
-                        "j": order[b],
-                        "pos_a": pos[a],
-                        "pos_b": pos[b],
-                        "r2": pd.array(r2, dtype="Float64"),
-                    }
-                )
-            )
-        if not out:
-            return pd.DataFrame(
-                columns=["marker_set_id", "CHROM", "i", "j", "pos_a", "pos_b", "r2"]
-            )
-        pairs = pd.concat(out, ignore_index=True)
-        pairs.insert(0, "CHROM", rows["CHROM"].iloc[0])
-        pairs.insert(0, "marker_set_id", rows["marker_set_id"].iloc[0])
-        return pairs
-
-    pairs = placed.groupBy("marker_set_id", "CHROM", "_blk").applyInPandas(
-        correlate,
-        "marker_set_id string, CHROM string, i long, j long, pos_a int, pos_b int, r2 double",
-    )
-    return pairs.withColumn("r2", F.when(~F.isnan("r2"), F.col("r2")))
+        a = np.repeat(np.arange(lead), window - 1)
+        b = a + np.tile(np.arange(1, window), lead)
+        a, b = a[b < total], b[b < total]
+        sums = np.empty((6, len(a)))
+        for k in range(0, lead, STRIP):
+            lo, hi = np.searchsorted(a, [k, k + STRIP])
+            here, there = slice(k, min(k + STRIP, lead)), slice(k, k + STRIP + window - 1)
+            cells = (a[lo:hi] - k, b[lo:hi] - k)
+            for out, (u, v) in zip(sums, ((m, m), (x, m), (m, x), (x * x, m), (m, x * x), (x, x))):
+                out[lo:hi] = (u[here] @ v[there].T)[cells]
+        n, sa, sb, saa, sbb, sab = sums
+        cov = n * sab - sa * sb
+        spread = (n * saa - sa * sa) * (n * sbb - sb * sb)
+        r2 = np.divide(cov * cov, spread, out=np.full(len(a), np.nan), where=spread > 0)
+        names = [pa.repeat(rows[c][0], len(a)) for c in ("marker_set_id", "CHROM")]
+        columns = [*names, a + first, b + first, pos[a], pos[b], pa.array(r2, from_pandas=True)]
+        return pa.table(columns, names=["marker_set_id", "CHROM", "i", "j", "pos_a", "pos_b", "r2"])
+
+    return placed.groupBy("marker_set_id", "CHROM", "_blk").applyInArrow(correlate, _PAIRS)
 
 
 def ld_edges(

@@ -159,6 +159,19 @@ def test_pairwise_r2_matches_a_plain_loop(spark):
             assert p.r2 == pytest.approx(want[p.i, p.j], abs=1e-12)
 
 
+def test_codes_of_a_marker_are_not_gathered_for_pairs(spark):
+    m = random_matrix(3, 150, 9, missing=0.3)
+    frame = genotype_frame(spark, m)
+    pairs = linkage.ld_pairs(frame.unionByName(frame.limit(5)).repartition(5), window=20, block=100)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "FlatMapGroupsInArrow" in plan
+    found = {(p.i, p.j): p.r2 for p in pairs.collect()}
+    assert set(found) == {(i, j) for i in range(150) for j in range(i + 1, min(i + 20, 150))}
+    for (i, j), r2 in found.items():
+        want = r2_by_hand(m[i], m[j])
+        assert (r2 is None) == (want is None) and (want is None or r2 == pytest.approx(want, abs=1e-12))
+
+
 def prune_by_hand(m, limit, window, step, maf=None):
     """Windows one after the other over the whole chromosome."""
     if maf is None:
