@@ -120,8 +120,11 @@ def frequency_ranks(tokens: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids, width in zip(batch.column("ids").to_pylist(), batch.column("width").to_pylist()):
-                part = np.bincount(np.frombuffer(ids, f"<u{width}"))
+            # Counted for all documents of a batch at once: a count is as long as the vocabulary.
+            widths = batch.column("width").to_numpy()
+            for width in np.unique(widths).tolist():
+                raw = b"".join(batch.column("ids").filter(pa.array(widths == width)).to_pylist())
+                part = np.bincount(np.frombuffer(raw, f"<u{width}"))
                 if len(part) > len(total):
                     part, total = total, part.astype(np.int64)
                 total[: len(part)] += part

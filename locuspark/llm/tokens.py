@@ -11,6 +11,7 @@ kind whole texts are encoded.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
@@ -38,9 +39,15 @@ def public_path(name: str = "byte_bpe_50k.json") -> str:
 
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
-    """One encoder per worker process and file."""
+    """One encoder per worker process and file.
+
+    Spark runs a worker on each core. Threads that the library starts beside them
+    only wait for one another, and that costs CPU; whoever wants them sets the variable.
+    """
     from tokenizers import Tokenizer
 
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
     return Encoder(Tokenizer.from_file(path))
 
 

@@ -1,9 +1,13 @@
 from __future__ import annotations
 
 import json
+import os
 import random
+import subprocess
+import sys
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -139,3 +143,23 @@ def test_packing_is_near_best_fit(spark, kind):
             gaps.remove(fit)
             gaps.append(fit - s)
     assert len(used) <= 1.03 * len(gaps)
+
+
+def test_the_library_starts_no_threads_beside_workers():
+    code = """if True:
+        import os
+        from locuspark.llm import tokens
+        enc = tokens.encoder(tokens.public_path())
+        before = len(os.listdir("/proc/self/task"))
+        enc.encode([f"text {i} of a batch, in words{i}" for i in range(3000)])
+        print(len(os.listdir("/proc/self/task")) - before)
+    """
+    clean = {k: v for k, v in os.environ.items() if k not in ("TOKENIZERS_PARALLELISM", "RAYON_NUM_THREADS")}
+    done = subprocess.run([sys.executable, "-c", code], env=clean | {"ARROW_NUM_THREADS": "1"}, cwd=Path(__file__).parents[2], capture_output=True, text=True)
+    assert done.stdout.split() == ["0"], done.stderr
+
+
+def test_ids_of_both_widths_are_counted(spark):
+    rows = [(np.array([1, 5, 5, 9], "<u2").tobytes(), 2), (np.array([5, 70000], "<u4").tobytes(), 4), (np.array([9], "<u2").tobytes(), 2)]
+    found = token_files.frequency_ranks(spark.createDataFrame(rows, "ids binary, width int")).collect()
+    assert sorted((r["rank"], r["id"], r["n"]) for r in found) == [(0, 5, 3), (1, 9, 2), (2, 1, 1), (3, 70000, 1)]
