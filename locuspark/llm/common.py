@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from locuspark.session import stage
 
-__all__ = ["add", "arrow_batches", "documents", "held_out", "mix64", "stage", "staged_in_batches", "text_of"]
+__all__ = ["add", "arrow_batches", "documents", "held_out", "mix64", "small_table", "stage", "staged_in_batches", "text_of"]
 
 #: Rows an Arrow batch may hold. Texts are long, and a batch is what a Python task has in memory at once.
 BATCH_ROWS = 1000
@@ -58,6 +60,18 @@ def staged_in_batches(df: DataFrame, label: str, rows: int) -> DataFrame:
         conf.set(name, before)
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """Rows of the driver's as a local table.
+
+    Given as a list, they would pass through Python tasks, whose workers are others
+    than those of Arrow tasks: every executor would hold two sets of them.
+    """
+    fields = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(fields)
+    columns = list(zip(*rows)) or [()] * len(arrow)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow), fields)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of one piece hold about ``most`` bytes, one row at least."""
     for batch in batches:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from locuspark.llm.common import stage
+from locuspark.llm.common import small_table, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Costs of the first, second and third use of a document.
@@ -209,7 +209,7 @@ def _mix(docs: DataFrame, sources: Column, weights: Mapping[str | None, int] | N
         (r.pattern, words // max(r.words, 1), words % max(r.words, 1), r.docs, 0, 1 << KEY_BITS, [(s, sizes[s], float(goal[s])) for s in dict.fromkeys(r.sources or [])])
         for r, words in zip(found, given)
     ]
-    state = stage(spark.createDataFrame(rows, STATE), "mix-state")
+    state = stage(small_table(spark, rows, STATE), "mix-state")
     for bits in range(KEY_BITS - BITS, -1, -BITS):
         if state.where((F.col("rest") > 0) & (F.col("docs") > CELL)).isEmpty():
             break

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from locuspark.llm.common import arrow_batches, stage, text_of
+from locuspark.llm.common import arrow_batches, small_table, stage, text_of
 from locuspark.llm.tokens import encoder, gathered, public_path
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
@@ -129,7 +129,7 @@ def _round(spark: SparkSession, state: DataFrame, gaps: np.ndarray, items: np.nd
             parts = max(1, -(-int(count[size]) // PART))
             below, new, matched = (int(base[size]), 0, 0) if kind == 0 else (int(base[size] + gaps[size]), int(opened[size]), int(placed[size]))
             rows.append((kind, size, parts, below, new, matched))
-    classes = spark.createDataFrame(rows, "kind int, size int, parts int, level long, opened long, matched long")
+    classes = small_table(spark, rows, "kind int, size int, parts int, level long, opened long, matched long")
     kept = state.where((F.col("kind") == 1) | (F.col("kind") == 0) & (F.col("size") >= smallest))
     salted = kept.join(classes, ["kind", "size"]).withColumn("part", F.pmod(F.xxhash64("pid"), F.col("parts")))
     # One column for kind, size and part, so that ranking is never dealt by kind and size alone.

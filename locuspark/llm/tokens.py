@@ -20,10 +20,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Text that is cut and looked up together.
-BATCH_BYTES = 12_000_000
+#: Text that is cut and looked up together. A worker takes some twenty times that, and an executor has one on each core.
+BATCH_BYTES = 6_000_000
 #: Texts given to the library at once, and pieces joined into one of them.
 GIVEN, JOINED = 4096, 256
+#: Pieces whose ids are gathered at once.
+STRUNG = 1 << 17
 MARKS = ".,;:!?"
 # White space before a space: characters of Unicode's White_Space property, and four control characters that Python counts as such.
 _BLANKS = r"\t-\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -79,6 +81,30 @@ def splits_at_spaces(tokenizer) -> bool:
     return bool(byte_level and plain and rules.get("normalizer") is None and rules["model"].get("type") == "BPE")
 
 
+def _strung(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray, entry: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all pieces and their marks in order, and how many ids there are up to the end of each piece.
+
+    An id's place takes four times the id's own memory or more; only those of ``STRUNG`` pieces exist at once.
+    """
+    counts = sizes[entry]
+    counts[mark >= 0] += sizes[mark[mark >= 0]]
+    upto = np.cumsum(counts)
+    ids = np.empty(upto[-1], pool.dtype)
+    for a in range(0, len(entry), STRUNG):
+        own, behind = entry[a : a + STRUNG], mark[a : a + STRUNG]
+        has = behind >= 0
+        # One unit for each piece and each mark, and then one number for each id of a unit.
+        units = np.cumsum(1 + has)
+        unit = np.repeat(own, 1 + has)
+        unit[units[has] - 1] = behind[has]
+        taken = sizes[unit]
+        place = np.repeat(starts[unit] - np.cumsum(taken) + taken, taken)
+        place += np.arange(len(place))
+        end = upto[a + len(own) - 1]
+        ids[end - len(place) : end] = pool[place]
+    return ids, upto
+
+
 class Encoder:
     """Encodes batches of texts."""
 
@@ -154,21 +180,14 @@ class Encoder:
         pool = np.concatenate([*ids, *single])
         sizes = np.concatenate([sizes, np.fromiter(map(len, single), np.int64, len(single))])
         starts = np.cumsum(sizes) - sizes
-        entry, mark = np.empty(len(flat), np.int64), np.full(len(flat), -1)
+        entry, mark = np.empty(len(flat), np.int32), np.full(len(flat), -1, np.int32)
         entry[alone] = len(bare.dictionary) + np.arange(len(singles))
         code = coded.indices.to_numpy()
         entry[~alone] = bare.indices.to_numpy()[code]
         mark[~alone] = np.where(marked, len(bare.dictionary) + len(singles) + last, -1)[code]
-        # One unit for each piece and each mark, and then one number for each id of a unit.
-        units = np.cumsum(1 + (mark >= 0))
-        unit = np.repeat(entry, 1 + (mark >= 0))
-        unit[units[mark >= 0] - 1] = mark[mark >= 0]
-        taken = sizes[unit]
-        upto = np.cumsum(taken)
-        place = np.repeat(starts[unit] - upto + taken, taken)
-        place += np.arange(len(place))
-        all_ids = pool[place]
-        stops = upto[units[ends - 1] - 1]
+        del cut, flat, coded, known, bare, alone, first, code
+        all_ids, upto = _strung(pool, starts, sizes, entry, mark)
+        stops = upto[ends - 1]
         runs = runs.to_numpy(zero_copy_only=False)
         out: list[np.ndarray] = [pool[:0]] * len(texts)
         for k, a, b in zip(np.argsort(runs, kind="stable").tolist(), np.append(0, stops[:-1]).tolist(), stops.tolist()):

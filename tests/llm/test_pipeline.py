@@ -6,7 +6,8 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from locuspark.llm import language, mixing
+from locuspark.llm import language, mixing, packing
+from locuspark.llm.common import small_table
 from tests.llm.test_duplicates import near_by_hand, norm
 
 
@@ -51,3 +52,19 @@ def test_stages_leave_columns_with_their_own_names_alone(spark):
     mixed = mixing.mix(frame, F.when(F.col("doc_id") > 0, F.array("source"))).collect()
     assert len(mixed) == 12 and [(r.mix_copies, r.lo) for r in mixed if r.doc_id == 0] == [(0, 4)]
     assert all(r.mix_size == len(r.text.split()) for r in mixed)
+
+
+def test_rows_of_the_driver_pass_through_no_python_tasks(spark, table, monkeypatch):
+    """Their workers are others than those of Arrow tasks and would stay beside them."""
+    docs = table([(i, f"one of the texts {i} " * (i % 9 + 1), "en", "ab"[i % 2]) for i in range(60)])
+
+    def refused(*args, **options):
+        raise AssertionError("rows of the driver given to Python tasks")
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", refused)
+    assert packing.pack(docs).select("doc_id").distinct().count() == 60
+    assert mixing.mixed(docs).count() > 0
+    rows = [("a", 1, [("b", 2, 0.5), (None, None, None)]), (None, None, None), ("c", 3, [])]
+    schema = "k string, n long, s array<struct<name: string, size: long, target: double>>"
+    assert [tuple(r) for r in small_table(spark, rows, schema).collect()] == rows
+    assert small_table(spark, [], schema).count() == 0

@@ -163,3 +163,24 @@ def test_ids_of_both_widths_are_counted(spark):
     rows = [(np.array([1, 5, 5, 9], "<u2").tobytes(), 2), (np.array([5, 70000], "<u4").tobytes(), 4), (np.array([9], "<u2").tobytes(), 2)]
     found = token_files.frequency_ranks(spark.createDataFrame(rows, "ids binary, width int")).collect()
     assert sorted((r["rank"], r["id"], r["n"]) for r in found) == [(0, 5, 3), (1, 9, 2), (2, 1, 1), (3, 70000, 1)]
+
+
+def test_a_worker_that_tokenizes_stays_small():
+    code = """if True:
+        import random, re
+        import pyarrow as pa
+        from locuspark.llm import tokens
+        rng = random.Random(2)
+        words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(1, 9))) for _ in range(40000)]
+        texts = pa.array([" ".join(rng.choices(words, k=600)) + "." for _ in range(6000)])
+        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+        enc = tokens.encoder(tokens.public_path())
+        peak = lambda: int(re.search(r"VmHWM:\\s+(\\d+)", open("/proc/self/status").read()).group(1)) / 1024
+        before = peak()
+        for b in tokens.gathered(iter([batch]), "text"):
+            enc.encode(b.column("text"))
+        print(batch.nbytes / 1e6 > 18, round(peak() - before))
+    """
+    done = subprocess.run([sys.executable, "-c", code], env=os.environ | {"OMP_NUM_THREADS": "1"}, cwd=Path(__file__).parents[2], capture_output=True, text=True)
+    large, grown = done.stdout.split()
+    assert large == "True" and int(grown) < 120, done.stderr + grown
