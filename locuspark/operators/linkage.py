@@ -210,7 +210,7 @@ def total_independent_tests(per_chrom: DataFrame) -> DataFrame:
 
 #: Markers whose products with their neighbours are taken at once.
 STRIP = 64
-_PAIRS = "marker_set_id string, CHROM string, i long, j long, pos_a int, pos_b int, r2 double"
+_PAIRS = "marker_set_id string, CHROM string, i long, j long, pos_a long, pos_b long, r2 double"
 
 
 def ld_pairs(genotypes: DataFrame, window: int = 50, block: int = 512) -> DataFrame:
@@ -232,7 +232,7 @@ def ld_pairs(genotypes: DataFrame, window: int = 50, block: int = 512) -> DataFr
         row, allele = rows["ordinal"].to_numpy() - first, rows["allele"].to_numpy()
         total = int(row.max()) + 1
         lead = min(block, total)
-        pos = np.zeros(total, np.int32)
+        pos = np.zeros(total, np.int64)
         pos[row] = rows["POS"].to_numpy()
         x = np.full((total, rows["n_strains"][0].as_py()), np.nan)
         np.fmax.at(x, (row, rows["_s"].to_numpy()), allele)

@@ -44,7 +44,7 @@ def read_causal_genotypes_tsv(
 def read_genotype_matrix_tsv(spark: SparkSession, path: str) -> DataFrame:
     """A wide matrix (one column per strain) as one row per strain."""
     wide = spark.read.csv(path, sep="\t", header=True, nullValue="NA")
-    return melt_genotypes(wide.withColumn("POS", F.col("POS").cast("int")))
+    return melt_genotypes(wide.withColumn("POS", F.col("POS").cast("long")))
 
 
 def variant_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
@@ -89,7 +89,7 @@ def read_vcf(spark: SparkSession, path: str, partitions: int | None = None) -> D
     )
     return calls.select(
         "CHROM",
-        F.col("POS").cast("int").alias("POS"),
+        F.col("POS").cast("long").alias("POS"),
         "ID",
         "REF",
         "ALT",

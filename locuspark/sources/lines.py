@@ -109,7 +109,7 @@ def read_lines(
     cell = {name: F.try_element_at(F.col("_w"), F.lit(i + 1)) for i, name in enumerate(fields)}
     problem = F.when(F.size("_w") < len(fields), F.concat(F.size("_w").cast("string"), F.lit(f" fields instead of {len(fields)}")))
     for name in whole:
-        problem = problem.when(cell[name].try_cast("int").isNull(), F.concat(F.lit(f"{name} is not a whole number: "), cell[name]))
+        problem = problem.when(cell[name].try_cast("long").isNull(), F.concat(F.lit(f"{name} is not a whole number: "), cell[name]))
     for name in numbers:
         unreadable = cell[name].try_cast("double").isNull() & ~cell[name].isin(*UNKNOWN)
         problem = problem.when(unreadable, F.concat(F.lit(f"{name} is not a number: "), cell[name]))

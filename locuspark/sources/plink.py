@@ -43,7 +43,7 @@ def par_lines(spark: SparkSession, path: str) -> Lines:
 
 def read_bim(spark: SparkSession, path: str, bad: str = "fail") -> DataFrame:
     """Marker list; the marker is always CHROM:POS, whatever id the file carries."""
-    typed = bim_lines(spark, path).rows(bad).withColumn("POS", F.col("POS").try_cast("int"))
+    typed = bim_lines(spark, path).rows(bad).withColumn("POS", F.col("POS").try_cast("long"))
     return typed.select(make_marker(F.col("CHROM"), F.col("POS")).alias("marker"), "CHROM", "POS", "A1", "A2")
 
 
@@ -103,7 +103,7 @@ def decode_packed(packed: DataFrame, strains: list[str]) -> DataFrame:
             )
 
     out = packed.select("CHROM", "POS", "bytes").mapInPandas(
-        unpack, "CHROM string, POS int, strain string, allele double"
+        unpack, "CHROM string, POS long, strain string, allele double"
     )
     return out.withColumn("allele", F.when(~F.isnan("allele"), F.col("allele")))
 
@@ -127,7 +127,7 @@ def read_bed(spark: SparkSession, path: str, markers: DataFrame | None = None, c
     # One row per fileset: its samples in order, and how many variants it has.
     samples = fam.numbered("row").groupBy(prefix).agg(F.array_sort(F.collect_list(F.struct("line", "iid"))).alias("s")).select("prefix", F.col("s.iid").alias("samples"))
     counts = bim.table.groupBy(prefix).agg(F.count(F.lit(1)).alias("n"))
-    places = bim.numbered("row").select(prefix, (F.col("line") - 1).alias("at"), "CHROM", F.col("POS").cast("int").alias("POS"))
+    places = bim.numbered("row").select(prefix, (F.col("line") - 1).alias("at"), "CHROM", F.col("POS").cast("long").alias("POS"))
     if markers is not None:
         places = places.join(markers.select("CHROM", "POS").distinct(), ["CHROM", "POS"], "left_semi")
     ranges = places.groupBy("prefix", F.floor(F.col("at") / chunk).alias("range")).agg(F.array_sort(F.collect_list(F.struct("at", "CHROM", "POS"))).alias("p"))
@@ -162,5 +162,5 @@ def read_bed(spark: SparkSession, path: str, markers: DataFrame | None = None, c
                 )
 
     found = work.select("prefix", "range", "n", "samples", "at", "CHROM", "POS").repartition("prefix", "range")
-    found = found.mapInArrow(read, "CHROM string, POS int, strain string, allele double")
+    found = found.mapInArrow(read, "CHROM string, POS long, strain string, allele double")
     return found.withColumn("allele", F.when(~F.isnan("allele"), F.col("allele")))

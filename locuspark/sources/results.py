@@ -39,7 +39,7 @@ def read_gwa(spark: SparkSession, paths: str | Iterable[str], bad: str = "fail")
         .select(
             F.col("SNP").alias("marker"),
             F.col("CHR").alias("CHROM"),
-            F.col("POS").try_cast("int").alias("POS"),
+            F.col("POS").try_cast("long").alias("POS"),
             "A1",
             "A2",
             *[number(F.col(c)).alias(c) for c in ("AF1", "BETA", "SE", "P")],
@@ -58,5 +58,5 @@ def read_mapping_tsv(
     if absent:
         raise ValueError(f"missing columns in {path}: {', '.join(absent)}")
     numeric = ("AF1", "BETA", "SE", "P", "log10p", "var_exp")
-    out = df.withColumn("POS", F.col("POS").try_cast("int"))
+    out = df.withColumn("POS", F.col("POS").try_cast("long"))
     return out.withColumns({c: number(F.col(c)) for c in numeric if c in df.columns})

@@ -453,3 +453,33 @@ def test_many_small_files_share_folders(spark, tmp_path):
     assert len({r.task for r in paths}) > 1
     got = params.build_eigen_lookup(spark, folder).select("population", "n_tests", "problem").collect()
     assert sorted((int(r.population[1:]), r.n_tests, r.problem) for r in got) == [(i, float(i), None) for i in range(300)]
+
+
+def test_positions_beyond_an_int_are_read(spark, tmp_path):
+    far = 7_200_000_000
+    bim = put(tmp_path, "x.bim", f"1\trs5\t0\t{far}\tA\tG\n")
+    assert rows(plink.read_bim(spark, bim)) == [(f"1:{far}", "1", far, "A", "G")]
+    par = put(tmp_path, "x.par", f"QTL RefAllele Frequency Effect\n2:{far} A 0.1 0.5\n")
+    assert rows(plink.read_par(spark, par).select("CHROM", "POS")) == [("2", far)]
+    gwa = put(tmp_path, "x.mlma", f"Chr SNP bp A1 A2 Freq b se p\n2 2:{far} {far} A C 0.2 1.1 1.2 0.37\n")
+    assert rows(results.read_gwa(spark, gwa).select("marker", "POS")) == [(f"2:{far}", far)]
+    matrix = put(tmp_path, "m.tsv", f"CHROM\tPOS\tREF\tALT\tS0\n1\t{far}\tA\tG\t-1\n")
+    assert rows(genotypes.read_genotype_matrix_tsv(spark, matrix)) == [("1", far, "S0", -1.0)]
+    variants = put(tmp_path, "v.vcf", f"#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS0\n1\t{far}\t.\tA\tG\t.\t.\t.\tGT\t0/0\n")
+    assert rows(genotypes.read_vcf(spark, variants).select("POS", "gt")) == [(far, "0/0")]
+    packed = spark.createDataFrame([("1", far, bytearray([0b11]))], "CHROM string, POS long, bytes binary")
+    assert rows(plink.decode_packed(packed, ["S0"])) == [("1", far, "S0", 1.0)]
+    typed = spark.createDataFrame([("1", far, "S0", 1.0), ("1", far + 5, "S0", None)], "CHROM string, POS long, strain string, allele double")
+    plink_sink.write_bed(typed, ["S0"], str(tmp_path / "sets")).collect()
+    assert sorted(rows(plink.read_bed(spark, str(tmp_path / "sets"))))[0] == ("1", far, "S0", 1.0)
+    assert len(rows(plink.read_bed(spark, str(tmp_path / "sets")))) == 2
+
+
+def test_tables_stored_with_int_positions_are_read(spark, tmp_path):
+    base = str(tmp_path)
+    old = spark.createDataFrame([("m1", "1", 100, "S0", 1.0)], "marker_set_id string, CHROM string, POS int, strain string, allele double")
+    old.write.partitionBy("marker_set_id").parquet(catalog.table_path(base, "genotypes"))
+    new = spark.createDataFrame([("m2", "1", 7_200_000_000, "S0", 1.0)], "marker_set_id string, CHROM string, POS long, strain string, allele double")
+    DB.write_genotypes(new, base)
+    got = catalog.read_table(spark, base, "genotypes").select("marker_set_id", "POS")
+    assert sorted(rows(got)) == [("m1", 100), ("m2", 7_200_000_000)]
