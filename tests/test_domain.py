@@ -82,3 +82,10 @@ def test_positions_beyond_an_int(spark, tmp_path):
             continue
         want = Counter(str(tuple(r)) for r in was)
         assert want and Counter(str(tuple(map(moved_back, r))) for r in now) == want, name
+
+
+def test_marker_correlations_shuffle_genotypes_not_their_traits(spark, tmp_path):
+    """One shuffle, of the markers; the rows of their traits, several times as many, stay where they are."""
+    plan = QUERIES["agg09_marker_r2"](spark, small_tables(tmp_path / "t", 0))._jdf.queryExecution().executedPlan().toString()
+    shuffles = re.findall(r"hashpartitioning\((.*?)\)", plan)
+    assert len(shuffles) == 1 and "marker_set_id" in shuffles[0] and "trait_id" not in shuffles[0], plan
