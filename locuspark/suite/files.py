@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from locuspark import schemas
 from locuspark.operators import regions as R
 from locuspark.operators.intervals import detect
-from locuspark.session import scratch_dir, stage
+from locuspark.session import make_folder, scratch_dir, stage
 from locuspark.sinks import database as DB
 from locuspark.sinks import text as TX
 from locuspark.sinks.plink import write_bed
@@ -423,17 +423,25 @@ def _(d):
 # ---- stored database ------------------------------------------------------
 
 
-def database(d: Domain) -> str:
-    """A complete database, written once per session."""
-
-    def build(base: str) -> None:
-        DB.write_marker_sets(d.markers, d.marker_set_metadata, base)
-        DB.write_genotypes(d.genotypes, base)
-        DB.write_traits(d.traits, d.causal_variants, d.phenotypes, d.causal_genotypes, base)
-        DB.write_mappings(d.mappings, base)
-        DB.write_sidecars(d.metadata, base)
-
-    return d.kept("database", build)
+# The parts of a database by the calls that write them.
+_PARTS = {
+    "markers": lambda d, base: DB.write_marker_sets(d.markers, d.marker_set_metadata, base),
+    "genotypes": lambda d, base: DB.write_genotypes(d.genotypes, base),
+    "traits": lambda d, base: DB.write_traits(d.traits, d.causal_variants, d.phenotypes, d.causal_genotypes, base),
+    "mappings": lambda d, base: DB.write_mappings(d.mappings, base),
+    "metadata": lambda d, base: DB.write_sidecars(d.metadata, base),
+}
+_written: set[tuple[str, str]] = set()
+
+
+def database(d: Domain, *parts: str) -> str:
+    """A database with these parts, or with all of them; each is written once per session."""
+    base = d.kept("database", lambda path: make_folder(d.spark, path))
+    for part in parts or _PARTS:
+        if (base, part) not in _written:
+            _PARTS[part](d, base)
+            _written.add((base, part))
+    return base
 
 
 @query(
@@ -443,7 +451,7 @@ def database(d: Domain) -> str:
         join markers k on k.marker_set_id = m.marker_set_id and k.marker = s.marker""",
 )
 def _(d):
-    catalog.open_db(d.spark, database(d))
+    catalog.open_db(d.spark, database(d, "markers", "mappings", "metadata"))
     joined = d.spark.sql(
         """select s.population, s.mapping_id, s.marker, s.P, m.algorithm, k.POS
            from mappings s join metadata m on m.mapping_id = s.mapping_id
@@ -459,7 +467,7 @@ def _(d):
 )
 def _(d):
     first = d.genotypes.agg(F.min("marker_set_id")).first()[0]
-    return catalog.read_by_key(d.spark, database(d), "genotypes", "marker_set_id", first)
+    return catalog.read_by_key(d.spark, database(d, "genotypes"), "genotypes", "marker_set_id", first)
 
 
 @query(
@@ -469,7 +477,7 @@ def _(d):
 )
 def _(d):
     return rounded(
-        catalog.read_or_empty(d.spark, database(d), "marker_set_metadata").select(
+        catalog.read_or_empty(d.spark, database(d, "markers"), "marker_set_metadata").select(
             "marker_set_id", "population", "species", "vcf_release_id", "n_markers", "n_independent_tests"
         ),
         6,
@@ -494,7 +502,7 @@ def _(d):
     "select mapping_id, trait_id, marker_set_id, population, nqtl, rep, h2, algorithm, pca, n_markers from metadata",
 )
 def _(d):
-    return catalog.read_table(d.spark, database(d), "metadata").select(
+    return catalog.read_table(d.spark, database(d, "metadata"), "metadata").select(
         "mapping_id", "trait_id", "marker_set_id", "population", "nqtl", "rep", "h2", "algorithm", "pca", "n_markers"
     )
 
@@ -515,7 +523,7 @@ def _(d):
     "snk04_write_genotypes", "select marker_set_id, CHROM, POS, strain, allele from genotypes"
 )
 def _(d):
-    return catalog.read_table(d.spark, database(d), "genotypes")
+    return catalog.read_table(d.spark, database(d, "genotypes"), "genotypes")
 
 
 @query(
@@ -527,7 +535,7 @@ def _(d):
 )
 def _(d):
     read = {
-        t: catalog.read_table(d.spark, database(d), t)
+        t: catalog.read_table(d.spark, database(d, "traits"), t)
         for t in ("traits", "phenotypes", "causal_variants", "causal_genotypes")
     }
     n = F.count(F.lit(1))
@@ -693,7 +701,7 @@ def _(d):
 
 @query("snk10_hash_manifest")
 def _(d):
-    return TX.hash_manifest(d.spark, catalog.table_path(database(d), "markers")).select(
+    return TX.hash_manifest(d.spark, catalog.table_path(database(d, "markers"), "markers")).select(
         "bytes", "sha256"
     )
 

@@ -5,10 +5,13 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 
+from locuspark.sources import catalog
+from locuspark.suite import files
 from locuspark.suite.catalog_of_queries import QUERIES
 from locuspark.suite.domain import Domain
 
@@ -89,3 +92,16 @@ def test_marker_correlations_shuffle_genotypes_not_their_traits(spark, tmp_path)
     plan = QUERIES["agg09_marker_r2"](spark, small_tables(tmp_path / "t", 0))._jdf.queryExecution().executedPlan().toString()
     shuffles = re.findall(r"hashpartitioning\((.*?)\)", plan)
     assert len(shuffles) == 1 and "marker_set_id" in shuffles[0] and "trait_id" not in shuffles[0], plan
+
+
+def test_stored_tables_are_written_when_a_query_needs_them(spark, tmp_path):
+    """A query of one stored table does not write the others; what is there is written once."""
+    d = Domain(spark, small_tables(tmp_path / "t", 0))
+    QUERIES["snk10_hash_manifest"](spark, d.sf_dir).collect()
+    base = files.database(d, "markers")
+    at = Path(catalog.table_path(base, "markers"))
+    first = sorted(at.rglob("*.parquet"))
+    assert first and not Path(catalog.table_path(base, "mappings")).exists() and not Path(catalog.table_path(base, "genotypes")).exists()
+    assert files.database(d) == base and sorted(at.rglob("*.parquet")) == first
+    for table in ("genotypes", "traits", "phenotypes", "causal_variants", "causal_genotypes", "mappings", "metadata"):
+        assert catalog.read_table(spark, base, table).count() == d.table(table).count() > 0, table
