@@ -245,3 +245,17 @@ def test_interval_borders_over_many_blocks(spark):
     )
     assert sorted(tuple(r)[:7] for r in found.collect()) == want
     assert "lambdafunction" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_repeated_markers_share_a_peak(spark, monkeypatch):
+    """Every copy of a marker that opens a peak is in it, in whichever order a join leaves the copies."""
+    at = [3, 4, 30, 31, 60, 90, 91]
+    rows = [("m", "BF", "1", 1000 * i, i, copy) for i in at for copy in range(3)]
+    hits = spark.createDataFrame(rows, "mapping_id string, sig_threshold_method string, CHROM string, POS long, marker_index int, copy int")
+    want = {i: 1 + sum(i >= first for first in (30, 60, 90)) for i in at}
+    join = type(hits).join
+    for hint in (None, "broadcast", "shuffle_hash", "merge"):
+        # A hash join that is built on the markers turns the order of their copies around.
+        monkeypatch.setattr(type(hits), "join", lambda a, b, *on: join(a.hint(hint) if hint else a, b, *on))
+        got = intervals.assign_peaks(hits, 5, width=20_000).collect()
+        assert len(got) == len(rows) and all(r["peak_id"] == want[r["marker_index"]] for r in got), hint
